@@ -6,9 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm import toxicity
+from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.piece_codec import encode_decode
 from tidemark.llm.token_count import token_counts
 from tidemark.llm.token_store import read_store, write_store
+from tidemark.llm.warc import page_records, write_archives
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
@@ -18,6 +22,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(PIECE_MODEL))
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html")))
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(PIECE_MODEL))
 
@@ -27,6 +44,22 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(*write_store(documents, public_tokenizers.path(WORD_MODEL), end_id=1))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op8_piece_codec, op9_token_store)}
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_toxicity, op4_warc, op8_piece_codec, op9_token_store, op10_html_text)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": r"""
+        WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS cp, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+        r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY cp DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM d)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+        m AS (SELECT html, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY html)
+        SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+               CASE WHEN m.top IS NULL OR m.top = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN m.top <> p.page_id THEN m.top END AS refers_to
+        FROM p LEFT JOIN m ON p.n >= 1000 AND p.html = m.html""",
+}
