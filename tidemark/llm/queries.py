@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm import toxicity
+from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.html_text import extract_text
+from tidemark.llm.order_minhash import near_duplicates
 from tidemark.llm.piece_codec import encode_decode
 from tidemark.llm.token_count import token_counts
 from tidemark.llm.token_store import read_store, write_store
@@ -35,6 +37,14 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html")))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(PIECE_MODEL))
 
@@ -48,7 +58,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_toxicity, op4_warc, op8_piece_codec, op9_token_store, op10_html_text)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_toxicity, op4_warc, op5_order_minhash, op7_decontamination, op8_piece_codec, op9_token_store, op10_html_text)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
