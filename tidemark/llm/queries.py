@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
-from tidemark.llm import toxicity
+from tidemark.llm import license_scan, toxicity
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.html_text import extract_text
@@ -41,6 +41,11 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return license_scan.scan(documents, license_scan.train(documents))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -58,7 +63,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_toxicity, op4_warc, op5_order_minhash, op7_decontamination, op8_piece_codec, op9_token_store, op10_html_text)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_toxicity, op4_warc, op5_order_minhash, op6_license_scan, op7_decontamination, op8_piece_codec, op9_token_store, op10_html_text)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
