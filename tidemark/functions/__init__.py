@@ -1,0 +1 @@
+"""Column functions: built-in expressions only."""
