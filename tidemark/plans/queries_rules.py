@@ -53,13 +53,13 @@ def local_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 WHEN 1 THEN epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 END AS lead0,
-CASE l_linenumber % 3 WHEN 0 THEN o_orderdate <= l_shipdate WHEN 2 THEN false END AS eligible FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+CASE l_linenumber % 3 WHEN 0 THEN CAST(o_orderdate <= l_shipdate AS VARCHAR) WHEN 2 THEN 'false' END AS eligible FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def forecast_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     kind = F.when(F.col("l_linenumber") % 3 == 0, "current_forecast").when(F.col("l_linenumber") % 3 == 1, "historical_forecast").otherwise("station_observation")
     lead, eligible = times.lead_and_eligibility(kind, F.col("l_shipdate"), F.col("o_orderdate"), F.col("l_shipdate"))
     whole = F.when(kind != "station_observation", times.seconds_of(F.col("l_shipdate")) - times.seconds_of(F.col("o_orderdate")))
-    return both.select("l_orderkey", "l_linenumber", F.coalesce(lead, whole).alias("lead0"), eligible.alias("eligible"))
+    return both.select("l_orderkey", "l_linenumber", F.coalesce(lead, whole).alias("lead0"), eligible.cast("string").alias("eligible"))
 
 
 @query("""WITH v AS (SELECT event_id, event_id % 7 AS m, CAST(props->>'k' AS INT) AS k FROM events)
