@@ -118,11 +118,11 @@ def closed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").where(F.col("ts").between(instant("2024-01-05 00:00:00"), instant("2024-01-06 00:00:00"))).select("event_id", "ts", "value")
 
 
-@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'")
+@query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'")
 def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     near = o.where((F.col("o_orderdate") >= instant("1996-03-01 00:00:00")) & (F.col("o_orderdate") < instant("1996-04-01 00:00:00")))  # reaches the scan
-    return near.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return near.select("o_orderkey", F.to_date("o_orderdate").cast("string").alias("day"))
 
 
 @query(LOG + """, r AS (SELECT *, CASE WHEN lag(event_type) OVER w IS DISTINCT FROM event_type THEN 1 ELSE 0 END AS start, lag(event_type) OVER w AS os, lag(k) OVER w AS ok FROM log WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),

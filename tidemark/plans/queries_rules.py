@@ -26,11 +26,11 @@ def season_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT o_orderkey, o_orderkey % 2 = 0 AS nba, CASE WHEN o_orderkey % 2 = 0 AND month(o_orderdate) < 7 THEN year(o_orderdate) - 1 ELSE year(o_orderdate) END AS y FROM orders)
-SELECT o_orderkey, CASE WHEN nba THEN make_date(y, 7, 1) ELSE make_date(y, 1, 1) END AS first_day, CASE WHEN nba THEN make_date(y + 1, 6, 30) ELSE make_date(y, 12, 31) END AS last_day FROM s""")
+SELECT o_orderkey, CAST(CASE WHEN nba THEN make_date(y, 7, 1) ELSE make_date(y, 1, 1) END AS VARCHAR) AS first_day, CAST(CASE WHEN nba THEN make_date(y + 1, 6, 30) ELSE make_date(y, 12, 31) END AS VARCHAR) AS last_day FROM s""")
 def season_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     league = F.when(F.col("o_orderkey") % 2 == 0, "NBA").otherwise("MLB")
     y = times.season_year(league, F.col("o_orderdate"))
-    return read(spark, sf_dir, "orders").select("o_orderkey", times.season_start(league, y).alias("first_day"), times.season_end(league, y).alias("last_day"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", times.season_start(league, y).cast("string").alias("first_day"), times.season_end(league, y).cast("string").alias("last_day"))
 
 
 @query("""SELECT event_id, make_timestamp((g0 + CAST(floor((s - g0) / g) AS BIGINT) * g) * 1000000) AS grid FROM (SELECT event_id, CAST(floor(epoch_us(ts) / 1e6) AS BIGINT) AS s, 1591401600 AS g0, CASE WHEN ts >= TIMESTAMP '2022-09-18' THEN 300 ELSE 600 END AS g FROM (SELECT event_id, ts - to_days(CAST(event_id % 2000 AS INT)) AS ts FROM events))""")
@@ -44,12 +44,12 @@ def target_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", times.bucket_before(F.col("ts")).alias("bucket"), times.available_at(F.col("ts"), F.lit(6)).alias("available"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate - INTERVAL 5 HOUR AS DATE) WHEN o_orderkey % 3 = 1 THEN DATE '1999-09-09' ELSE CAST(o_orderdate AS DATE) END AS day, CASE o_orderkey % 3 WHEN 0 THEN 'venue' WHEN 1 THEN 'provider' ELSE 'utc' END AS basis FROM orders""")
+@query("""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate - INTERVAL 5 HOUR AS DATE) WHEN o_orderkey % 3 = 1 THEN DATE '1999-09-09' ELSE CAST(o_orderdate AS DATE) END AS VARCHAR) AS day, CASE o_orderkey % 3 WHEN 0 THEN 'venue' WHEN 1 THEN 'provider' ELSE 'utc' END AS basis FROM orders""")
 def local_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = F.when(F.col("o_orderkey") % 3 == 0, "America/Panama").otherwise("No/Where")
     given = F.when(F.col("o_orderkey") % 3 == 1, F.lit("1999-09-09").cast("date"))
     day, basis = times.local_date(F.col("o_orderdate"), zone, given, F.lit(None).cast("string"), ["America/Panama", "Europe/Paris"])
-    return read(spark, sf_dir, "orders").select("o_orderkey", day.alias("day"), basis.alias("basis"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", day.cast("string").alias("day"), basis.alias("basis"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 WHEN 1 THEN epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 END AS lead0,
@@ -126,13 +126,13 @@ def http_status_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", texts.http_class(200 + F.col("event_id") % 400).alias("class"))
 
 
-@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, split_part(t, ' at ', 1) AS away, split_part(t, ' at ', 2) AS home FROM (SELECT *, 'Team ' || (o_orderkey % 7) || ' at Team ' || (o_custkey % 9) AS t FROM orders) WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
+@query("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, split_part(t, ' at ', 1) AS away, split_part(t, ' at ', 2) AS home FROM (SELECT *, 'Team ' || (o_orderkey % 7) || ' at Team ' || (o_custkey % 9) AS t FROM orders) WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
 def ticker_and_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").where(F.col("o_orderdate") >= instant("2000-01-01 00:00:00"))
     ticker = F.concat(F.lit("KXGAME-"), F.upper(F.date_format("o_orderdate", "yyMMMdd")), F.lit("ABCDEF"))
     title = F.concat(F.lit("Team "), (F.col("o_orderkey") % 7).cast("string"), F.lit(" at Team "), (F.col("o_custkey") % 9).cast("string"))
     parsed = texts.title_teams(title)
-    return o.select("o_orderkey", texts.ticker_date(ticker).alias("day"), parsed["first"].alias("away"), parsed["second"].alias("home"))
+    return o.select("o_orderkey", texts.ticker_date(ticker).cast("string").alias("day"), parsed["first"].alias("away"), parsed["second"].alias("home"))
 
 
 @query("""SELECT event_id, CASE m WHEN 0 THEN 'missing' WHEN 1 THEN 'ok' WHEN 2 THEN 'ok' ELSE 'malformed' END AS state, CASE WHEN m IN (1, 2) THEN date_trunc('second', ts) END AS at FROM (SELECT *, event_id % 4 AS m FROM events)""")
