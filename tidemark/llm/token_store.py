@@ -11,13 +11,19 @@ last, so files of failed or repeated task attempts are never read.
 from __future__ import annotations
 
 import io
+import itertools
+import json
 import os
+import string
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,7 +31,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import filesystem, map_batches, shared_dir
 
 SHARD_IDS = 1 << 26
+TEXT_BYTES = 8 << 20  # texts that are encoded at once
 GAMMA, LEVELS = 2.0, 40
+PUNCTUATION = string.punctuation.replace("'", "")
 MANIFEST = "shard string, part int, roll int, n_docs long, n_tokens long, min_key long, max_key long"
 
 
@@ -141,24 +149,109 @@ class ShardReader:
         return [self.ids(e) for e in self.entries(np.array([key], np.int64))[0]]
 
 
-def encode_texts(texts: list[str | None], tokenizer, known: dict[str, bytes], width: int, limit: int = 300_000) -> list[bytes]:
-    """Ids as bytes.  ``tokenizer`` drops white space and no token reaches across it, so parts between spaces and
-    line feeds are encoded once each, many at a time."""
-    parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-    wanted = set().union(*parts)
-    new = wanted - known.keys()
-    if len(known) + len(new) > limit:
-        known.clear()
-        new = wanted
-    new = list(new)
-    kind = "<u2" if width == 2 else "<u4"
-    for part, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[part] = np.array(e.ids, kind).tobytes()
-    out = [b"".join([known[p] for p in ps]) for ps in parts]
-    for part in new:
-        if len(part) > 64:
-            del known[part]
-    return out
+class WordEncoder:
+    """Ids of texts as bytes, for a tokenizer that drops white space, splits letters from punctuation, lower-cases, and
+    marks the last token of every word.
+
+    No token reaches across white space, so the parts between spaces and line feeds are looked up, and those not known
+    are put together from a word and the ASCII punctuation after it.  Words not known are encoded by the library, many
+    at a time in one text, whose ids are cut after each token that ends a word.
+    """
+
+    def __init__(self, path: str, end_id: int, limit: int = 800_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        mark = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        size = max(self.tokenizer.get_vocab_size(), end_id + 1)
+        self.kind, self.width = ("<u2", 2) if size <= 1 << 16 else ("<u4", 4)
+        self.ends = np.zeros(size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = bool(mark) and token.endswith(mark)
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.limit = limit
+
+    def _learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
+            if len(stops) != len(some):  # the tokenizer cuts one of them
+                self._learn_whole(self.words, some)
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, stop in zip(some, stops, strict=True):
+                self.words[word] = raw[start:stop]
+                start = stop
+
+    def _learn_whole(self, into: dict[str, bytes], texts: list[str]) -> None:
+        for text, e in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            into[text] = np.array(e.ids, self.kind).tobytes()
+
+    def _learn(self, wanted: list[str]) -> None:
+        new = [p for p in wanted if p not in self.parts]
+        if len(self.parts) + len(new) > self.limit:
+            self.parts.clear()
+            new = wanted
+        split, other = [], []
+        for part in new:
+            word = part.rstrip(PUNCTUATION)
+            if word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()):  # no marks come up
+                split.append((part, word.lower() if word.isascii() else word, part[len(word) :]))
+            else:
+                other.append(part)
+        self._learn_whole(self.parts, other)
+        needed = {w for _, w, _ in split}
+        if len(self.words) + len(needed) > self.limit:
+            self.words.clear()
+        self._learn_words([w for w in needed if w not in self.words])
+        if len(self.tails) > self.limit:
+            self.tails.clear()
+        self._learn_whole(self.tails, list({t for _, _, t in split} - self.tails.keys()))
+        for part, word, tail in split:
+            self.parts[part] = self.words[word] + self.tails[tail]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text.  Distinct parts are looked up once; their ids are then gathered by position."""
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = lists.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn(distinct)
+        found = list(map(self.parts.__getitem__, distinct))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        ids = np.frombuffer(b"".join(found), self.kind)
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = lengths[index]
+        ends = np.cumsum(sizes)
+        gathered = ids[np.repeat((np.cumsum(lengths) - lengths)[index] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        bounds = np.r_[0, ends][lists.offsets.to_numpy()]
+        for part in distinct:
+            if len(part) > 64:
+                del self.parts[part]
+                self.words.pop(part.rstrip(PUNCTUATION).lower(), None)
+        return [gathered[i:j] for i, j in itertools.pairwise(bounds.tolist())]
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str, end_id: int) -> WordEncoder:
+    """Kept for all tasks of a Python worker."""
+    return WordEncoder(path, end_id)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Keys and texts of as many batches as hold about ``TEXT_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(1).nbytes
+        if size >= TEXT_BYTES:
+            yield tuple(pa.concat_arrays([b.column(i) for b in held]) for i in (0, 1))
+            held, size = [], 0
+    if held:
+        yield tuple(pa.concat_arrays([b.column(i) for b in held]) for i in (0, 1))
 
 
 def write_store(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> tuple[str, DataFrame]:
@@ -173,22 +266,18 @@ def write_store(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        end = int(end_id).to_bytes(width, "little")
-        known: dict[str, bytes] = {}
+        encoder = word_encoder(tokenizer_path, end_id)
+        end = int(end_id).to_bytes(encoder.width, "little")
         part, roll, writer, rows = TaskContext.get().partitionId(), 0, None, []
-        for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), encode_texts(batch.column(1).to_pylist(), tokenizer, known, width), strict=True):
+        for keys, texts in _gathered(batches):
+            for key, ids in zip(keys.to_pylist(), encoder.encode(texts), strict=True):
                 if writer and writer.n >= SHARD_IDS:
                     rows.append(writer.close())
                     roll, writer = roll + 1, None
-                writer = writer or ShardWriter(folder, part, roll, width)
-                writer.add(key, ids + end)
+                writer = writer or ShardWriter(folder, part, roll, encoder.width)
+                writer.add(key, ids.tobytes() + end)
         if writer:
             rows.append(writer.close())
         kinds = (pa.string(), pa.int32(), pa.int32(), *[pa.int64()] * 4)
