@@ -18,9 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``ROWS_PER_BATCH`` rows, so a task never holds many long texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int = ROWS_PER_BATCH) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``rows`` rows, so a task never holds many long texts.
+
+    Spark reads the setting when it plans an action, so other than the usual ``rows`` are for frames that are written
+    at once.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df.mapInArrow(fn, schema)
 
 

@@ -30,8 +30,8 @@ BANDS, PICK = 48, 6
 #: Slots of the signature that screens pairs inside a bucket; its standard error at the least similarity is 0.025.
 SLOTS = 256
 SCREEN = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / SLOTS) ** 0.5
-#: Largest number of documents that are compared with each other in one task step.
-BLOCK = 1024
+#: What one task step compares on either side: documents, and bytes of their shingles, at most (about).
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 STEP = 4096
 
@@ -165,32 +165,37 @@ def verify(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     return materialise(map_batches(joined, run, "a long, b long"), "near-links")
 
 
-def screen(groups: DataFrame) -> DataFrame:
-    """Pairs of a residual document and a member (of another component) whose signatures agree often enough.
+def connect(groups: DataFrame) -> DataFrame:
+    """Links between documents of different components of a cluster, one for each document and component at most.
 
-    ``groups``: one row per block pair of a bucket, ``rest`` and ``members`` being arrays of at most about ``BLOCK``
-    (id, component, signature) each.
+    ``groups``: one row per block pair of a cluster, ``rest`` and ``members`` being arrays of bounded size of (id,
+    component, signature, shingles).  Pairs whose signatures agree often enough are aligned, the most similar first.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = ("id", "component", "signature", "shingles")
         for batch in batches:
             a, b = [], []
             for i in range(batch.num_rows):
-                rest, members = ([(x["id"], x["component"], x["signature"]) for x in batch.column(c)[i].as_py()] for c in (0, 1))
+                rest, members = ([tuple(x[f] for f in fields) for x in batch.column(c)[i].as_py()] for c in (0, 1))
                 if not rest or not members:
                     continue
-                ids, groups_, signatures = zip(*members, strict=True)
-                ids, groups_ = np.array(ids), np.array(groups_)
+                ids, parts, signatures, found = zip(*members, strict=True)
+                parts = np.array(parts)
                 signatures = np.frombuffer(b"".join(signatures), np.uint8).reshape(len(ids), SLOTS)
-                for one, component, signature in rest:
+                for one, component, signature, x in rest:
                     same = (signatures == np.frombuffer(signature, np.uint8)).mean(axis=1)
-                    for other in ids[(same >= SCREEN) & (groups_ != component)].tolist():
-                        a.append(min(one, other))
-                        b.append(max(one, other))
+                    near = np.flatnonzero((same >= SCREEN) & (parts != component))
+                    linked = set()
+                    for j in near[np.argsort(-same[near], kind="stable")].tolist():
+                        if parts[j] not in linked and alignment(np.frombuffer(x, np.uint32), np.frombuffer(found[j], np.uint32)) >= SIMILARITY:
+                            linked.add(parts[j])
+                            a.append(min(one, ids[j]))
+                            b.append(max(one, ids[j]))
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return map_batches(groups, run, "a long, b long")
+    return materialise(map_batches(groups, run, "a long, b long", rows=4), "near-more")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,8 +207,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     2. A bucket holds the representatives that agree in a band.  Its leader is the member with the most company in all
        its buckets; every other member is verified against it.  So a group of copies, however large, costs a pair per
        member and band at most, and no pairs within it are made.
-    3. What leaders did not connect is compared inside each bucket with all members of other components: in blocks of
-       bounded size, by signature, and then by alignment.  No pair that shares a band goes unexamined.
+    3. What leaders did not connect is compared with all of other components in the buckets that one component leads:
+       in blocks of bounded size, by signature, then by alignment, and without making rows of pairs.  No pair that
+       shares a band goes unexamined.
 
     Null and empty texts and texts without words have no shingle; they are one text.  Repeated rows are each returned.
     Rows with a null id have no class and are not returned.  An empty table gives an empty result; other columns are
@@ -225,17 +231,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labels = components(links, "near-components")
     labelled = led.where("size > 2").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     heads = labelled.groupBy("key").agg(F.max(F.when(F.col("id") == F.col("leader"), F.col("component"))).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
-    apart = materialise(labelled.join(heads.where("low <> high").select("key", "head"), "key").join(sketched.select("id", "signature").dropDuplicates(["id"]), "id"), "near-apart")
-    counts = apart.groupBy("key").agg(F.count_if(F.col("component") != F.col("head")).alias("n"))
-    of = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    spread = apart.join(counts, "key").where("id <> leader").withColumn("entry", F.struct("id", "component", "signature"))
-    own = lambda n: F.pmod(F.xxhash64("id"), of(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), of(n) - 1))
-    rest = spread.where("component <> head").select("key", own("n").alias("r"), "size", "entry").select("key", "r", every("size").alias("m"), F.col("entry").alias("rest"))
-    others = spread.select("key", own("size").alias("m"), "n", "entry").select("key", every("n").alias("r"), "m", F.col("entry").alias("member"))
-    blocks = rest.unionByName(others, allowMissingColumns=True).groupBy("key", "r", "m").agg(F.collect_list("rest").alias("rest"), F.collect_list("member").alias("members"))
-    second = screen(blocks.select("rest", "members")).distinct()
-    more = verify(materialise(second, "near-second"), sketched)
+    apart = labelled.join(heads.where("low <> high").select("key", "head"), "key").select("head", "id", "component").distinct()
+    data = sketched.select("id", "signature", "shingles").dropDuplicates(["id"])
+    cluster = materialise(apart.join(data, "id").withColumn("bytes", F.octet_length("shingles")).withColumn("other", F.col("component") != F.col("head")), "near-apart")
+    blocks_of = lambda rows, size: F.greatest(F.lit(1), F.ceil(rows / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
+    sizes = cluster.groupBy("head").agg(
+        blocks_of(F.count("*"), F.sum("bytes")).alias("n_m"), blocks_of(F.count_if("other"), F.sum(F.when(F.col("other"), F.col("bytes")))).alias("n_r")
+    )
+    spread = cluster.join(sizes, "head").withColumn("entry", F.struct("id", "component", "signature", "shingles"))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rest = spread.where("other").select("head", own("n_r").alias("r"), "n_m", "entry").select("head", "r", every("n_m").alias("m"), F.col("entry").alias("rest"))
+    others = spread.select("head", own("n_m").alias("m"), "n_r", "entry").select("head", every("n_r").alias("r"), "m", F.col("entry").alias("member"))
+    blocks = rest.unionByName(others, allowMissingColumns=True).groupBy("head", "r", "m").agg(F.collect_list("rest").alias("rest"), F.collect_list("member").alias("members"))
+    more = connect(blocks.select("rest", "members"))
 
     classes = components(links.unionByName(more), "near-classes")
     rows = sketched.select("id", "content").join(texts, "content")
