@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,9 +39,20 @@ def chronological_split(df: DataFrame, order: Sequence[str], fraction: float, gr
     return ranked.crossJoin(F.broadcast(total)).withColumn("train", F.col("rank") <= F.floor(F.col("__total") * fraction)).drop("__total", "rank")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Written to the session's checkpoint folder, which all executors share; a temporary one where none is set."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+    return df.checkpoint()
+
+
 def global_rank(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``rank`` from 1 in a total order, without a single task for all rows."""
-    placed = df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
+    """``rank`` from 1 in a total order, without a single task for all rows.
+
+    Range bounds are sampled, so the placement is written before it is read twice.
+    """
+    placed = checkpointed(df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()))
     within = placed.withColumn("__r", F.row_number().over(W.partitionBy("__p").orderBy(*order)))
     sizes = within.groupBy("__p").agg(F.max("__r").alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
