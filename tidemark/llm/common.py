@@ -56,16 +56,35 @@ def filesystem(uri: str):
 
 
 class BoundedCache(dict):
-    """Results by key; computed on first use and forgotten all at once when ``limit`` keys are held."""
+    """Results by key, computed on first use.
+
+    Two generations of half the limit each: when the younger is full it becomes the older, whose keys come back as
+    they are used, so what is used often stays.  Long keys are not kept.
+    """
 
     def __init__(self, compute: Callable, limit: int = 800_000, longest: int = 64):
         super().__init__()
-        self.compute, self.limit, self.longest = compute, limit, longest
+        self.compute, self.half, self.longest = compute, limit // 2, longest
+        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= self.longest:
-            if len(self) >= self.limit:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
+
+
+_HELD: dict = {}
+
+
+def worker_cache(key, make: Callable):
+    """What a Python worker keeps between tasks: the object of the operator it works for now, no other's."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]

@@ -12,7 +12,6 @@ import bisect
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BoundedCache, map_batches, materialise
+from tidemark.llm.common import BoundedCache, map_batches, materialise, worker_cache
 from tidemark.llm.graph import components
 
 WORDS_PER_SHINGLE = 5
@@ -47,11 +46,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> BoundedCache:
-    return BoundedCache(xxhash.xxh3_64_intdigest, limit=1_000_000)
-
-
 def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
@@ -61,7 +55,8 @@ def shingles(found: list[str]) -> np.ndarray:
     n = len(found)
     if not n:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_word_hashes().__getitem__, found), np.uint64, n)
+    hashes = worker_cache("word hashes", lambda: BoundedCache(xxhash.xxh3_64_intdigest, limit=400_000))
+    w = np.fromiter(map(hashes.__getitem__, found), np.uint64, n)
     k = min(n, WORDS_PER_SHINGLE)
     x = np.zeros(n - k + 1, np.uint64)
     for i in range(k):

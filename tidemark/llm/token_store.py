@@ -19,7 +19,6 @@ import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filesystem, map_batches, shared_dir
+from tidemark.llm.common import filesystem, map_batches, shared_dir, worker_cache
 
 SHARD_IDS = 1 << 26
 TEXT_BYTES = 8 << 20  # texts that are encoded at once
@@ -235,12 +234,6 @@ class WordEncoder:
         return [gathered[i:j] for i, j in itertools.pairwise(bounds.tolist())]
 
 
-@lru_cache(maxsize=2)
-def word_encoder(path: str, end_id: int) -> WordEncoder:
-    """Kept for all tasks of a Python worker."""
-    return WordEncoder(path, end_id)
-
-
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Keys and texts of as many batches as hold about ``TEXT_BYTES``."""
     held, size = [], 0
@@ -268,7 +261,7 @@ def write_store(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = word_encoder(tokenizer_path, end_id)
+        encoder = worker_cache(("words", tokenizer_path, end_id), lambda: WordEncoder(tokenizer_path, end_id))
         end = int(end_id).to_bytes(encoder.width, "little")
         part, roll, writer, rows = TaskContext.get().partitionId(), 0, None, []
         for keys, texts in _gathered(batches):
