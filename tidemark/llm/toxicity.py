@@ -97,7 +97,9 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     features, both bounded.
     """
     ids = labels.where(~held_out(id_col) & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("__y"))
-    sample = ids.orderBy(F.xxhash64(id_col), id_col).limit(rows)
+    place, n = F.pmod(F.xxhash64(id_col), 1 << 30), ids.count()
+    few = ids.where(place < (2 * rows << 30) // n) if n > 2 * rows else ids  # so that few rows meet for the last choice
+    sample = few.orderBy(place, id_col).limit(rows)
     chosen = df.select(id_col, text_col).join(F.broadcast(sample), id_col).select("__y", text_col)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
