@@ -28,13 +28,14 @@ class SequenceFold:
     def __init__(self, state: dict | None = None):
         state = state or {}
         self.expected: int | None = state.get("expected")
+        self.high: int | None = state.get("high")  # every position up to it is seen or missing
         self.held: set[int] = set(state.get("held", ()))
         self.missing: set[int] = set(state.get("missing", ()))
         self.seen: set[int] = set(state.get("seen", ()))
         self.contents: dict[int, str] = {int(k): v for k, v in state.get("contents", {}).items()}
 
     def dump(self) -> str:
-        return json.dumps({"expected": self.expected, "held": sorted(self.held), "missing": sorted(self.missing), "seen": sorted(self.seen), "contents": self.contents})
+        return json.dumps({"expected": self.expected, "high": self.high, "held": sorted(self.held), "missing": sorted(self.missing), "seen": sorted(self.seen), "contents": self.contents})
 
     def _correction(self, sequence: int, content: str, flagged: bool) -> str:
         held = self.contents.get(sequence)
@@ -64,9 +65,10 @@ class SequenceFold:
                 self.expected, released = self.expected + 1, released + 1
         else:
             status = "gap"
-            self.missing.update(i for i in range(self.expected, sequence) if i not in self.seen)
+            self.missing.update(range(max(self.expected, self.high + 1 if self.high is not None else self.expected), sequence))
             self.held.add(sequence)
             self.seen.add(sequence)
+        self.high = sequence if self.high is None else max(self.high, sequence)
         return status, not self.missing, released, len(self.missing), correction
 
 
