@@ -195,7 +195,7 @@ def fold_merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT o_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS n_final, max(o_totalprice) AS largest, bool_or(o_orderstatus = 'P') AS any_pending,
-CASE WHEN count(DISTINCT o_orderpriority) = 1 THEN min(o_orderpriority) END AS priority, list_sort(list_distinct(list(o_orderpriority))) AS priorities, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS newest, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS oldest
+CASE WHEN count(DISTINCT o_orderpriority) = 1 THEN min(o_orderpriority) END AS priority, array_to_string(list_sort(list_distinct(list(o_orderpriority))), ',') AS priorities, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS newest, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS oldest
 FROM orders GROUP BY o_custkey""")
 def combine_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").withColumns({"final": (F.col("o_orderstatus") == "F").cast("long"), "pending": F.col("o_orderstatus") == "P", "set": F.array("o_orderpriority")})
@@ -203,7 +203,7 @@ def combine_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_final": ("additive", "final"), "largest": ("maximum", "o_totalprice"), "any_pending": ("any", "pending"), "priority": ("identity", "o_orderpriority"),
         "priorities": ("union", "set"), "newest": ("latest", "o_orderkey"), "oldest": ("first_evidence", "o_orderkey"),
     }
-    return sets.combine(o, ["o_custkey"], rules, order=["o_orderdate"])
+    return sets.combine(o, ["o_custkey"], rules, order=["o_orderdate"]).withColumn("priorities", F.array_join("priorities", ","))
 
 
 @query("""SELECT 'events' AS table_name, count(*) AS n_rows, CAST(min(ts) AS VARCHAR) AS first_at, CAST(max(ts) AS VARCHAR) AS last_at FROM events
@@ -236,9 +236,10 @@ def dq_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(FINDINGS + """, r AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY l_orderkey, l_suppkey) AS n FROM f WHERE severity IS NOT NULL)
-SELECT severity, count(*) AS n_rows, list(l_orderkey ORDER BY n) FILTER (n <= 5) AS examples FROM r GROUP BY severity""")
+SELECT severity, count(*) AS n_rows, string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY n) FILTER (n <= 5) AS examples FROM r GROUP BY severity""")
 def top_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.top_examples(_findings(spark, sf_dir).where("severity IS NOT NULL"), ["severity"], [F.asc("l_orderkey"), F.asc("l_suppkey")], "l_orderkey", 5)
+    top = quality.top_examples(_findings(spark, sf_dir).where("severity IS NOT NULL"), ["severity"], [F.asc("l_orderkey"), F.asc("l_suppkey")], "l_orderkey", 5)
+    return top.withColumn("examples", F.array_join(F.col("examples").cast("array<string>"), ","))
 
 
 @query(FINDINGS + "SELECT l_suppkey % 10 AS bucket, count(*) FILTER (severity = 'blocking') AS blocking, count(*) FILTER (severity = 'issue') AS issue, count(*) FILTER (severity = 'note') AS note FROM f GROUP BY 1")

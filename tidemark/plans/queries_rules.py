@@ -129,7 +129,7 @@ def http_status_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, split_part(t, ' at ', 1) AS away, split_part(t, ' at ', 2) AS home FROM (SELECT *, 'Team ' || (o_orderkey % 7) || ' at Team ' || (o_custkey % 9) AS t FROM orders) WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
 def ticker_and_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").where(F.col("o_orderdate") >= instant("2000-01-01 00:00:00"))
-    ticker = F.concat(F.lit("KXGAME-"), F.upper(F.date_format("o_orderdate", "yyMMMdd")), F.lit("ABCDEF"))
+    ticker = F.concat(F.lit("GAMES-"), F.upper(F.date_format("o_orderdate", "yyMMMdd")), F.lit("ABCDEF"))
     title = F.concat(F.lit("Team "), (F.col("o_orderkey") % 7).cast("string"), F.lit(" at Team "), (F.col("o_custkey") % 9).cast("string"))
     parsed = texts.title_teams(title)
     return o.select("o_orderkey", texts.ticker_date(ticker).cast("string").alias("day"), parsed["first"].alias("away"), parsed["second"].alias("home"))
@@ -239,10 +239,10 @@ def digest_tampering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.digest_mismatches(tampered, ["p_partkey", "p_brand"], "digest").select("p_partkey")
 
 
-@query("SELECT make_timestamp(CAST(floor((epoch_us(ts) // 1000000 - 3600) / 300) AS BIGINT) * 300000000) AS bucket, list_sort(list(DISTINCT user_id)) AS games, count(DISTINCT user_id) AS n_games FROM events GROUP BY 1")
+@query("SELECT make_timestamp(CAST(floor((epoch_us(ts) // 1000000 - 3600) / 300) AS BIGINT) * 300000000) AS bucket, array_to_string(list_sort(list(DISTINCT user_id)), ',') AS games, count(DISTINCT user_id) AS n_games FROM events GROUP BY 1")
 def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = read(spark, sf_dir, "events").select(times.bucket_before(F.col("ts")).alias("bucket"), "user_id")
-    return provenance.request_plan(t, "bucket", "user_id")
+    return provenance.request_plan(t, "bucket", "user_id").withColumn("games", F.array_join(F.col("games").cast("array<string>"), ","))
 
 
 @query("SELECT conv_id, CASE WHEN conv_id % 4 = 1 AND n > 2 THEN 'missing' WHEN conv_id % 4 = 2 THEN 'cycle' WHEN conv_id % 4 = 3 THEN 'duplicate' ELSE 'complete' END AS verdict FROM (SELECT conv_id, max(turn) + 1 AS n, count(*) FROM conversations GROUP BY 1 HAVING count(*) = max(turn) + 1 AND count(DISTINCT turn) = count(*) AND min(turn) = 0)")

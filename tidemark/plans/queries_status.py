@@ -103,11 +103,12 @@ def report_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH l AS (SELECT l_orderkey, list_sort(list_distinct(list(l_suppkey) FILTER (l_linenumber <= 3))) AS a, list_sort(list_distinct(list(l_suppkey) FILTER (l_linenumber >= 2))) AS b FROM lineitem GROUP BY 1)
-SELECT l_orderkey, list_sort(list_filter(coalesce(b, []), lambda x: NOT list_contains(coalesce(a, []), x))) AS entered, list_sort(list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(b, []), x))) AS left_out FROM l""")
+SELECT l_orderkey, array_to_string(list_sort(list_filter(coalesce(b, []), lambda x: NOT list_contains(coalesce(a, []), x))), ',') AS entered, array_to_string(list_sort(list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(b, []), x))), ',') AS left_out FROM l""")
 def lineup_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lambda c: F.collect_set(F.when(c, F.col("l_suppkey")))
+    text = lambda ids: F.array_join(F.array_sort(ids).cast("array<string>"), ",")
     both = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(at(F.col("l_linenumber") <= 3).alias("a"), at(F.col("l_linenumber") >= 2).alias("b"))
-    return both.select("l_orderkey", F.array_sort(F.array_except("b", "a")).alias("entered"), F.array_sort(F.array_except("a", "b")).alias("left_out"))
+    return both.select("l_orderkey", text(F.array_except("b", "a")).alias("entered"), text(F.array_except("a", "b")).alias("left_out"))
 
 
 @query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS newest FROM orders GROUP BY 1")
