@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BoundedCache, map_batches, materialise, worker_cache
+from tidemark.llm.common import ROWS_PER_BATCH, BoundedCache, map_batches, materialise, worker_cache
 from tidemark.llm.graph import components
 
 WORDS_PER_SHINGLE = 5
@@ -190,7 +190,9 @@ def connect(groups: DataFrame) -> DataFrame:
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return materialise(map_batches(groups, run, "a long, b long", rows=4), "near-more")
+    links = materialise(map_batches(groups, run, "a long, b long", rows=4), "near-more")
+    groups.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))  # the usual again
+    return links
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
