@@ -175,3 +175,31 @@ def test_license_scan(spark):
     assert license_scan.scan(df, license_scan.train(df)).count() == len(rows)
     empty = df.limit(0)
     assert license_scan.scan(empty, license_scan.train(empty)).count() == 0
+
+
+def wrapped(text, width):
+    out, line = [], ""
+    for w in text.split():
+        if line and len(line) + len(w) >= width:
+            out, line = [*out, line], ""
+        line = f"{line} {w}".strip()
+    return "\n".join([*out, line])
+
+
+def test_license_families_flat_and_wrapped(spark):
+    rows = [(100 + i, prose(50, i) + "\n" + prose(30, 100 + i)) for i in range(120)]
+    notices = [(family, t) for family, texts in license_scan.TEMPLATES.items() for t in texts]
+    notices.append(("Proprietary", "All rights reserved."))
+    for k, (_, t) in enumerate(notices):
+        rows += [(1000 + k, prose(30, k) + "\n" + t), (2000 + k, prose(30, k) + "\n\n" + wrapped(t, 50) + "\n\n" + prose(9, k)), (3000 + k, prose(30, k) + "\n * " + wrapped(t, 40).replace("\n", "\n * ") + "\n *\n")]
+    cut = [
+        ("BSD", "Redistribution and use in source and binary forms, with or without"),
+        ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ]
+    rows += [(4000 + k, prose(30, k) + "\n" + t) for k, (_, t) in enumerate(cut)]
+    rows += [(5000, "\n" * 100_000 + "Released under\nthe MIT License.\n" + " \n" * 100_000)]
+    df = documents(spark, rows)
+    got = {r.doc_id: r.licences for r in license_scan.scan(df, license_scan.train(df)).collect()}
+    want = {n + k: [family] for n in (1000, 2000, 3000) for k, (family, _) in enumerate(notices)} | {4000 + k: [family] for k, (family, _) in enumerate(cut)} | {5000: ["MIT"]}
+    assert {i: got[i] for i in want if got[i] != want[i]} == {}
+    assert not any(got[100 + i] for i in range(120))
