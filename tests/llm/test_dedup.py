@@ -124,3 +124,13 @@ def test_sketch_recall():
             hit += bool(set(om.sketch(x)[0].tolist()) & set(om.sketch(y)[0].tolist()))
     assert tries > 20 and hit == tries
     assert F is not None
+
+
+def test_short_near_duplicates_equal_brute_force(spark):
+    rows = []
+    for k in range(40):  # texts of 8 to 20 words, with a word before, after or both
+        w = prose(8 + k % 13, 1000 + k)
+        rows += [(10 * k, w), (10 * k + 1, w + " after"), (10 * k + 2, "before " + w), (10 * k + 3, "before " + w + " after")]
+    want = brute_classes(rows)
+    assert want[1] == 0 and want[11] == 10  # 8 and 9 words, 9 and 10 words
+    assert {r.doc_id: r.class_id for r in om.near_duplicates(documents(spark, rows)).collect()} == want
