@@ -134,3 +134,9 @@ def test_short_near_duplicates_equal_brute_force(spark):
     want = brute_classes(rows)
     assert want[1] == 0 and want[11] == 10  # 8 and 9 words, 9 and 10 words
     assert {r.doc_id: r.class_id for r in om.near_duplicates(documents(spark, rows)).collect()} == want
+
+
+def test_drop_copies_keeps_each_text_under_null_and_under_one_id(spark):
+    rows = [(None, "one"), (None, "two"), (None, "two"), (None, "three"), (5, "thr ee"), (7, "four"), (7, "five"), (7, "five"), (8, "fo ur")]
+    kept = drop_copies(documents(spark, rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [(5, "thr ee"), (7, "five"), (8, "fo ur"), (None, "one"), (None, "two")]

@@ -52,6 +52,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, whole, one of each content (repeated rows of the id that stays: one of them)."""
-    keep = content_groups(df, id_col, text_col).select(F.col("keep_id").alias("__keep"))
-    return df.join(keep, df[id_col].cast("long").eqNullSafe(keep["__keep"]), "left_semi").dropDuplicates([id_col])
+    """The rows that stay, whole, one of each content (of rows with the id that stays and the same content: one of them).
+
+    A row is decided by its content and its id together, so different texts under one id, or without id, each stay.
+    """
+    groups = content_groups(df, id_col, text_col).select(F.col("text_sha256").alias("__content"), F.col("keep_id").alias("__keep"))
+    rows = df.withColumn("__text", F.sha2(normalised(text_col), 256))
+    stay = rows.join(groups, (F.col("__text") == F.col("__content")) & F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    return stay.dropDuplicates(["__text", id_col]).drop("__text")
