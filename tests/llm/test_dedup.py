@@ -84,9 +84,9 @@ def test_near_duplicates_equal_brute_force(spark):
 def test_near_duplicates_of_nothing(spark):
     assert om.near_duplicates(documents(spark, []).limit(0)).count() == 0
     only = documents(spark, [(None, "a b c"), (1, "a b c")])
-    assert [r.class_id for r in om.near_duplicates(only).collect()] == [1]
+    assert [r.class_id for r in om.near_duplicates(only).collect()] == [1, 1]
     kept = om.drop_near_duplicates(only)
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "None"] and kept.columns == only.columns
+    assert [r.doc_id for r in kept.collect()] == [1] and kept.columns == only.columns
 
 
 def test_order_matters_and_alignment_is_exact():
@@ -140,3 +140,75 @@ def test_drop_copies_keeps_each_text_under_null_and_under_one_id(spark):
     rows = [(None, "one"), (None, "two"), (None, "two"), (None, "three"), (5, "thr ee"), (7, "four"), (7, "five"), (7, "five"), (8, "fo ur")]
     kept = drop_copies(documents(spark, rows))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [(5, "thr ee"), (7, "five"), (8, "fo ur"), (None, "one"), (None, "two")]
+
+
+def independent_classes(rows):
+    """Smallest id by class, from the definition alone: labelled five-word shingles, longest common subsequence by
+    dynamic programming, links at 0.8.  Rows are known by their place."""
+    sequences = []
+    for _, t in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+        k = min(5, len(w))
+        seen, out = defaultdict(int), []
+        for i in range(len(w) - k + 1 if w else 0):
+            g = tuple(w[i : i + k])
+            out.append((g, seen[g]))
+            seen[g] += 1
+        sequences.append((tuple(w), out))
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            (wa, x), (wb, y) = sequences[a], sequences[b]
+            near = wa == wb
+            if not near and x and y:
+                row = [0] * (len(y) + 1)
+                for u in x:
+                    last = 0
+                    for j, v in enumerate(y, 1):
+                        last, row[j] = row[j], last + 1 if u == v else max(row[j], row[j - 1])
+                near = row[-1] / (len(x) + len(y) - row[-1]) >= 0.8 - 1e-12
+            if near and label[a] != label[b]:
+                old, new = label[a], label[b]
+                label = [new if v == old else v for v in label]
+    ids = defaultdict(list)
+    for v, (i, _) in zip(label, rows, strict=True):
+        ids[v].append(i)
+    return [min((i for i in ids[v] if i is not None), default=None) for v in label], label
+
+
+def test_null_and_repeated_ids_with_different_texts(spark):
+    a, b, c, d = (prose(60, 900 + k) for k in range(4))
+    rows = [(None, a), (None, b), (None, b + " more"), (None, c), (4, d), (4, edited(c, 1, 3)), (4, prose(50, 950)), (7, d + " end"), (7, d), (9, prose(40, 951)), (9, prose(40, 951)), (None, None), (11, "")]
+    want, label = independent_classes(rows)
+    got = om.near_duplicates(documents(spark, rows))
+    assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == sorted(zip([i for i, _ in rows], want, strict=True), key=str)
+    kept = om.drop_near_duplicates(documents(spark, rows)).collect()
+    texts = {}
+    for v, row in zip(label, rows, strict=True):
+        texts.setdefault(v, set()).add(row)
+    assert len(kept) == len(texts) and all(sum((r.doc_id, r.text) in some for r in kept) == 1 for some in texts.values())
+
+
+def test_near_duplicates_equal_an_independent_brute_force(spark):
+    base = prose(40, 77)
+    rows = [(i, edited(base, i % 4, i)) for i in range(24)] + [(100 + k, prose(8 + k, 300 + k)) for k in range(6)] + [(110 + k, prose(8 + k, 300 + k) + " tail") for k in range(6)]
+    want, _ = independent_classes(rows)
+    assert {r.doc_id: r.class_id for r in om.near_duplicates(documents(spark, rows)).collect()} == dict(zip([i for i, _ in rows], want, strict=True))
+
+
+def test_blocks_of_a_hot_cluster_are_dealt_over_tasks(spark):
+    entry = "0L AS head, id AS at, id AS component, unhex('00') AS signature, unhex('00') AS shingles, 8000000L AS bytes, id % 2 = 0 AS other"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        blocks = om.block_pairs(spark.range(12).selectExpr(*entry.split(", ")))
+        plan = blocks._jdf.queryExecution().executedPlan().toString()
+        assert blocks.count() > 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"hashpartitioning\(head#\d+L?, r#\d+, m#\d+", plan)
+
+
+def test_repeated_short_labels_do_not_break_the_alignment():
+    x = np.array([5, 7, 7, 9, 11, 13, 15, 17, 19, 21], np.uint32)
+    assert om.alignment(x, x) > 0.8 and om.alignment(x, np.array([5, 7, 9, 9, 11, 13, 15, 17, 19, 21], np.uint32)) > 0

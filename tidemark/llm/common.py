@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_BATCH = 256  # texts can be megabytes long, so Arrow batches stay small
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -18,23 +20,44 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int = ROWS_PER_BATCH) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``rows`` rows, so a task never holds many long texts.
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose function sees batches of at most ``ROWS_PER_BATCH`` rows, so what it makes of one stays small.
 
-    Spark reads the setting when it plans an action, so other than the usual ``rows`` are for frames that are written
-    at once.
+    Batches also cross to Python so small where the session still has Spark's own default, 10,000 rows: that many long
+    texts are gigabytes, and Spark reads the setting when it plans the action, which is not ours.  A session that sets
+    another number keeps it.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df.mapInArrow(fn, schema)
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_ROWS) == "10000":
+        conf.set(ARROW_ROWS, str(ROWS_PER_BATCH))
+
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(b.slice(at, ROWS_PER_BATCH) for b in batches for at in range(0, b.num_rows, ROWS_PER_BATCH))
+
+    return df.mapInArrow(small, schema)
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Actions inside send Arrow batches of at most ``rows`` rows; the session's own setting comes back after."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder URI that the driver and all executors see.
 
-    It lies in ``spark.checkpoint.dir``; only where that is unset (local tests) a temporary folder serves.
+    It lies in ``spark.checkpoint.dir``; where that is unset a temporary folder serves a local master, and a cluster,
+    on which no executor would find it, is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROWS_PER_BATCH, BoundedCache, map_batches, materialise, worker_cache
+from tidemark.llm.common import BoundedCache, batch_rows, map_batches, materialise, worker_cache
 from tidemark.llm.graph import components
 
 WORDS_PER_SHINGLE = 5
@@ -112,14 +112,14 @@ def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Matched over all shingles in the best order-keeping alignment inside the band; 0 when below ``least``.
 
     A pair that reaches ``least`` has at most (1 - least) / (1 + least) of its shingles unmatched, so no match lies
-    further than that off the diagonal.  Labels are unique on each side, so the best alignment is a longest
-    increasing run of positions.
+    further than that off the diagonal.  Labels are unique on each side, but for those that fell together when they were
+    cut to 32 bits, of which the first counts; so the best alignment is a longest increasing run of positions.
     """
     n = len(a) + len(b)
     need = least / (1 + least) * n - 1e-9
     if min(len(a), len(b)) < need:
         return 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    _, i, j = np.intersect1d(a, b, return_indices=True)
     if len(i) < need:
         return 0.0
     near = np.abs(i - j) <= int(n - 2 * need) + 1
@@ -135,29 +135,35 @@ def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``content`` (hash of the word sequence), ``keys``, ``signature`` and ``shingles`` of every row."""
+    """A row per input row: ``at`` (its number once written), ``id``, ``raw`` (MD5 of the text), ``content`` (hash of the
+    word sequence), ``keys``, ``signature`` and ``shingles``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 found = words(text)
                 x = shingles(found)
                 keys, signature = sketch(x) if len(x) else (np.zeros(0, np.int64), b"")
                 rows.append((hashlib.blake2b(" ".join(found).encode(), digest_size=16).digest(), keys.tolist(), signature, x.astype(np.uint32).tobytes()))
             content, keys, signature, x = zip(*rows, strict=True) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(content, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(signature, pa.binary()), pa.array(x, pa.binary())],
-                names=["id", "content", "keys", "signature", "shingles"],
+                [batch.column(0), batch.column(1), pa.array(content, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(signature, pa.binary()), pa.array(x, pa.binary())],
+                names=["id", "raw", "content", "keys", "signature", "shingles"],
             )
 
-    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col))
-    return map_batches(rows, run, "id long, content binary, keys array<long>, signature binary, shingles binary")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), raw_key(text_col).alias("raw"), F.col(text_col))
+    return map_batches(rows, run, "id long, raw binary, content binary, keys array<long>, signature binary, shingles binary").withColumn("at", F.monotonically_increasing_id())
+
+
+def raw_key(text_col: str) -> Column:
+    """What tells rows of one id apart: the MD5 of their text."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
 
 
 def verify(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose alignment reaches the similarity."""
-    side = lambda c: sketched.select(F.col("id").alias(c), F.col("shingles").alias(f"shingles_{c}"))
+    """The pairs (``a``, ``b``) of row numbers whose alignment reaches the similarity."""
+    side = lambda c: sketched.select(F.col("at").alias(c), F.col("shingles").alias(f"shingles_{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,12 +177,12 @@ def verify(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
 def connect(groups: DataFrame) -> DataFrame:
     """Links between documents of different components of a cluster, one for each document and component at most.
 
-    ``groups``: one row per block pair of a cluster, ``rest`` and ``members`` being arrays of bounded size of (id,
+    ``groups``: one row per block pair of a cluster, ``rest`` and ``members`` being arrays of bounded size of (at,
     component, signature, shingles).  Pairs whose signatures agree often enough are aligned, the most similar first.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = ("id", "component", "signature", "shingles")
+        fields = ("at", "component", "signature", "shingles")
         for batch in batches:
             a, b = [], []
             for i in range(batch.num_rows):
@@ -198,67 +204,95 @@ def connect(groups: DataFrame) -> DataFrame:
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    links = materialise(map_batches(groups, run, "a long, b long", rows=4), "near-more")
-    groups.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))  # the usual again
-    return links
+    with batch_rows(groups.sparkSession, 4):
+        return materialise(groups.mapInArrow(run, "a long, b long"), "near-more")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id and ``class_id``, the smallest id in its class; ``kept`` where they are the same.  Ids are longs.
+def block_pairs(cluster: DataFrame) -> DataFrame:
+    """One row per pair of blocks of a cluster, ``rest`` and ``members`` being arrays of bounded size.
 
-    Classes are the connected components of links between texts at a similarity of 0.8 or more.
-
-    1. Rows with equal word sequences are one text, represented by the smallest id.
-    2. A bucket holds the representatives that agree in a band.  Its leader is the member with the most company in all
-       its buckets; every other member is verified against it.  So a group of copies, however large, costs a pair per
-       member and band at most, and no pairs within it are made.
-    3. What leaders did not connect is compared with all of other components in the buckets that one component leads:
-       in blocks of bounded size, by signature, then by alignment, and without making rows of pairs.  No pair that
-       shares a band goes unexamined.
-
-    Null and empty texts and texts without words have no shingle; they are one text.  Repeated rows are each returned.
-    Rows with a null id have no class and are not returned.  An empty table gives an empty result; other columns are
-    not read.
+    ``cluster``: ``head``, ``at``, ``component``, ``signature``, ``shingles``, ``bytes`` and ``other`` (not of the
+    head's component).  The pairs are dealt by cluster and both blocks, stated explicitly: the join that brings the
+    numbers of blocks leaves all rows of a cluster in one task, and a grouping would be content with that.
     """
-    sketched = materialise(sketches(df, id_col, text_col), "near-sketches")
-    texts = sketched.groupBy("content").agg(F.min("id").alias("text_id"))
-    bands = sketched.select("id", "keys").join(texts.select(F.col("text_id").alias("id")), "id", "left_semi").dropDuplicates(["id"]).select("id", F.explode("keys").alias("key"))
-    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = materialise(bands.join(sizes, "key"), "near-members")
-
-    company = members.groupBy("id").agg(F.sum("size").alias("company"))
-    ranked = members.join(company, "id")
-    leaders = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("id"))).alias("top")).select("key", (-F.col("top.id")).alias("leader"))
-    led = materialise(ranked.join(leaders, "key").select("key", "id", "leader", "size"), "near-led")
-    first = led.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    links = verify(first, sketched)
-
-    labels = components(links, "near-components")
-    labelled = led.where("size > 2").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    heads = labelled.groupBy("key").agg(F.max(F.when(F.col("id") == F.col("leader"), F.col("component"))).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
-    apart = labelled.join(heads.where("low <> high").select("key", "head"), "key").select("head", "id", "component").distinct()
-    data = sketched.select("id", "signature", "shingles").dropDuplicates(["id"])
-    cluster = materialise(apart.join(data, "id").withColumn("bytes", F.octet_length("shingles")).withColumn("other", F.col("component") != F.col("head")), "near-apart")
     blocks_of = lambda rows, size: F.greatest(F.lit(1), F.ceil(rows / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
     sizes = cluster.groupBy("head").agg(
         blocks_of(F.count("*"), F.sum("bytes")).alias("n_m"), blocks_of(F.count_if("other"), F.sum(F.when(F.col("other"), F.col("bytes")))).alias("n_r")
     )
-    spread = cluster.join(sizes, "head").withColumn("entry", F.struct("id", "component", "signature", "shingles"))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    spread = cluster.join(sizes, "head").withColumn("entry", F.struct("at", "component", "signature", "shingles"))
+    own = lambda n: F.pmod(F.xxhash64("at"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rest = spread.where("other").select("head", own("n_r").alias("r"), "n_m", "entry").select("head", "r", every("n_m").alias("m"), F.col("entry").alias("rest"))
     others = spread.select("head", own("n_m").alias("m"), "n_r", "entry").select("head", every("n_r").alias("r"), "m", F.col("entry").alias("member"))
-    blocks = rest.unionByName(others, allowMissingColumns=True).groupBy("head", "r", "m").agg(F.collect_list("rest").alias("rest"), F.collect_list("member").alias("members"))
-    more = connect(blocks.select("rest", "members"))
+    dealt = rest.unionByName(others, allowMissingColumns=True).repartition("head", "r", "m")
+    return dealt.groupBy("head", "r", "m").agg(F.collect_list("rest").alias("rest"), F.collect_list("member").alias("members")).select("rest", "members")
+
+
+def classes_of_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``raw``, ``class_id``, ``keep_id`` and ``keep_raw`` (the row of the class that stays) of every row."""
+    sketched = materialise(sketches(df, id_col, text_col), "near-sketches")
+    row = F.struct(F.col("id").isNull().alias("lost"), "id", "raw")
+    texts = materialise(sketched.groupBy("content").agg(F.min("at").alias("at"), F.min(row).alias("first")), "near-texts")
+    one_each = sketched.join(texts.select("at"), "at", "left_semi")
+    bands = one_each.select("at", F.explode("keys").alias("key"))
+    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = materialise(bands.join(sizes, "key"), "near-members")
+
+    company = members.groupBy("at").agg(F.sum("size").alias("company"))
+    ranked = members.join(company, "at")
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("at")).alias("at"))).alias("top")).select("key", (-F.col("top.at")).alias("leader"))
+    led = materialise(ranked.join(leaders, "key").select("key", "at", "leader", "size"), "near-led")
+    first = led.where("at <> leader").select(F.least("at", "leader").alias("a"), F.greatest("at", "leader").alias("b")).distinct()
+    links = verify(first, sketched)
+
+    labels = components(links, "near-components").withColumnRenamed("id", "at")
+    labelled = led.where("size > 2").join(labels, "at", "left").withColumn("component", F.coalesce("component", "at"))
+    heads = labelled.groupBy("key").agg(F.max(F.when(F.col("at") == F.col("leader"), F.col("component"))).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = labelled.join(heads.where("low <> high").select("key", "head"), "key").select("head", "at", "component").distinct()
+    data = sketched.select("at", "signature", "shingles")
+    cluster = materialise(apart.join(data, "at").withColumn("bytes", F.octet_length("shingles")).withColumn("other", F.col("component") != F.col("head")), "near-apart")
+    more = connect(block_pairs(cluster))
 
-    classes = components(links.unionByName(more), "near-classes")
-    rows = sketched.select("id", "content").join(texts, "content")
-    out = rows.join(classes.withColumnRenamed("id", "text_id"), "text_id", "left").select(F.col("id").alias(id_col), F.coalesce("component", "text_id").alias("class_id"))
-    return out.withColumn("kept", F.col(id_col) == F.col("class_id"))
+    classes = components(links.unionByName(more), "near-classes").withColumnRenamed("id", "at")
+    known = texts.join(classes, "at", "left").withColumn("component", F.coalesce("component", "at"))
+    kept = known.groupBy("component").agg(F.min("first").alias("keep"))
+    by_text = known.join(kept, "component").select("content", F.col("keep.id").alias("keep_id"), F.col("keep.raw").alias("keep_raw"))
+    return sketched.select("id", "raw", "content").join(by_text, "content").select("id", "raw", "keep_id", "keep_raw")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: the id, ``class_id``, the smallest id in its class, and ``kept``: this row's text stays.  Ids are longs.
+
+    Classes are the connected components of links between texts at a similarity of 0.8 or more.  Of a class the row
+    with the smallest id stays, and of several texts with that id the one of smallest MD5.
+
+    1. Rows with equal word sequences are one text, whatever their ids.  From here on a text goes by the number of one
+       of its rows, so rows with a null id, and different texts under one id, are treated as any others.
+    2. A bucket holds the texts that agree in a band.  Its leader is the member with the most company in all its
+       buckets; every other member is verified against it.  So a group of copies, however large, costs a pair per
+       member and band at most, and no pairs within it are made.
+    3. What leaders did not connect is compared with all of other components in the buckets that one component leads:
+       in blocks of bounded size, by signature, then by alignment, and without making rows of pairs.  No pair that
+       shares a band goes unexamined.  In a cluster of m members of which r are outside its head's component that is
+       r times m signature comparisons, dealt evenly by pairs of blocks.
+
+    Null and empty texts and texts without words have no shingle; they are one text.  Very long texts are sketched in
+    steps of bounded memory.  Repeated rows are each returned, with the same decision.  A null id comes after all
+    others: it is the class id only where the class has no other.  An empty table gives an empty result; other columns
+    are not read.
+    """
+    rows = classes_of_rows(df, id_col, text_col)
+    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("raw") == F.col("keep_raw"))
+    return rows.select(F.col("id").alias(id_col), F.col("keep_id").alias("class_id"), same.alias("kept"))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, whole, with the smallest id of their class (repeated rows of that id: one); null ids stay."""
-    keep = near_duplicates(df, id_col, text_col).where("kept").select(F.col(id_col).alias("__keep")).distinct()
-    named = df.where(F.col(id_col).isNotNull())
-    return named.join(keep, named[id_col].cast("long") == keep["__keep"], "left_semi").dropDuplicates([id_col]).unionByName(df.where(F.col(id_col).isNull()))
+    """One row of each class, whole: the one that ``near_duplicates`` keeps, of repeated equal rows one.
+
+    A row is known by its id and its text together, so different texts under one id, or without id, each stay unless
+    they are near each other.
+    """
+    keep = classes_of_rows(df, id_col, text_col).select(F.col("keep_id").alias("__keep"), F.col("keep_raw").alias("__kept")).distinct()
+    rows = df.withColumn("__raw", raw_key(text_col))
+    stay = rows.join(keep, (F.col("__raw") == F.col("__kept")) & F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    return stay.dropDuplicates(["__raw", id_col]).drop("__raw")
