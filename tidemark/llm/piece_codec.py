@@ -131,40 +131,37 @@ def _utf8(raw: bytearray) -> str:
 
 
 class _Known:
-    """A codec and its results by part.  The pieces of a part spell it, so decoding their ids gives the part's own
-    text; where bytes stand for characters that is checked, and parts of another surface are kept apart."""
+    """A codec and, by part, its ids and the text that those ids decode to.
 
-    def __init__(self, model_path: str, limit: int = 1_200_000):
+    Decoding an id list is decoding its parts and joining: a part begins at a piece of its own and holds its bytes
+    whole.  So each part's ids are decoded once, when it is first met, and kept beside them.
+    """
+
+    def __init__(self, model_path: str, limit: int = 600_000):
         self.codec = PieceCodec(model_path)
         self.table = self.codec.table
-        self.surfaces: dict[str, str] = {}
-        self.ids = BoundedCache(self._encode, limit)
+        self.known = BoundedCache(self._round_trip, limit)
 
-    def _encode(self, part: str) -> str:
-        pieces, known = self.codec.split(part), self.table.ids
-        if all(p in known for p in pieces):
-            return ",".join([str(known[p]) for p in pieces])
+    def _round_trip(self, part: str) -> tuple[str, str]:
         ids = self.codec.part_ids(part)
-        surface = self.codec.surface(ids)
-        if surface != part.replace(SPACE, " "):
-            self.surfaces[part] = surface
-        return ",".join(map(str, ids))
+        return ",".join(map(str, ids)), self.codec.surface(ids)
 
     def encode_decode(self, text: str | None) -> tuple[str, str]:
-        """Decimal ids joined by commas, and the decoded text."""
+        """Decimal ids joined by commas, and the decoded text; the dummy prefix is left off."""
         parts = self.table.parts(self.table.normalise(text))
-        ids = ",".join(map(self.ids.__getitem__, parts))
-        if self.surfaces:
-            parts = [self.surfaces.get(p, p) for p in parts]
-        return ids, "".join(parts).replace(SPACE, " ").removeprefix(" ")
+        if not parts:
+            return "", ""
+        ids, surfaces = zip(*map(self.known.__getitem__, parts), strict=True)
+        return ",".join(ids), "".join(surfaces).removeprefix(" ")
 
 
 def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = True) -> DataFrame:
     """Encode every text and decode it again.
 
     ``digests``: the id, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by commas) and ``decoded_sha256``;
-    otherwise the id, ``ids`` (array of int) and ``decoded``.  Map-only.  Null and empty texts have no ids and decode
-    to the empty text; repeated rows are encoded each; an empty table gives an empty result; other columns are not read.
+    otherwise the id, ``ids`` (array of int) and ``decoded``.  The decoded text is made from the ids.  Map-only.  Null and
+    empty texts have no ids and decode to the empty text; a very long text is encoded part by part, in memory that
+    grows with the text alone; repeated rows are encoded each; an empty table gives an empty result; other columns are not read.
     """
     id_type = df.schema[id_col].dataType.simpleString()
 
