@@ -42,7 +42,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     splits, and moves no texts.
 
     Of equal texts the one with the most code points in the original, then the smallest id, stays.  Null counts as
-    empty; all empty texts form one group.  Rows repeated with one id are each counted and get the same decision.  A
+    empty; all empty texts form one group.  Very long texts are hashed and compared whole.  Different texts under one id
+    are rows of their own, each in the group of its text.  Rows repeated with one id are each counted and get the same decision.  A
     row with a null id is counted but stays only where its group has no other.  An empty table gives an empty result;
     other columns are not read.
     """

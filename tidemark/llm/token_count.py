@@ -7,21 +7,25 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import BoundedCache, map_batches
+from tidemark.llm.common import BoundedCache, map_batches, worker_cache
 from tidemark.llm.pieces import PieceTable
 
 
+def _counter(model_path: str) -> tuple[PieceTable, BoundedCache]:
+    pieces = PieceTable(model_path)
+    return pieces, BoundedCache(pieces.count)
+
+
 def token_counts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
     """Per row: the id, ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` (n_tokens > limit).
 
-    Map-only: no shuffle and no driver state.  Null and empty texts have 0 bytes and 0 tokens; repeated rows are
-    counted each; an empty table gives an empty result; columns other than the two named are not read.
+    Map-only: no shuffle and no driver state; a Python worker keeps the counts of parts between its tasks.  Null and
+    empty texts have 0 bytes and 0 tokens; a very long text is counted part by part; repeated rows are counted each; an empty table gives an empty result; columns other than the two named are not read.
     """
     id_type = df.schema[id_col].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceTable(model_path)
-        known = BoundedCache(pieces.count)
+        pieces, known = worker_cache(("token counts", model_path), lambda: _counter(model_path))
         for batch in batches:
             n_bytes, n_tokens = [], []
             for text in batch.column(1).to_pylist():
