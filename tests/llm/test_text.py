@@ -129,9 +129,61 @@ def test_salvage_recovers_later_records(spark, tmp_path, packed):
     path = tmp_path / ("a.warc.gz" if packed else "a.warc")
     path.write_bytes(bytes(data[: starts[6] - 5]))  # a lost end
     rows = warc.read_archives(spark.createDataFrame([(f"file://{path}",)], "archive string"), payloads=True).collect()
-    assert sorted(x.record_id for x in rows if x.kind == "record") == [f"urn:tidemark:page:{i}" for i in (0, 2, 4)]
+    assert sorted(x.record_id for x in rows if x.kind == "record") == [f"urn:tidemark:page:{i}" for i in ((0, 2, 4, 5) if packed else (0, 2, 4))]
     gaps = sorted((x.offset, x.length) for x in rows if x.kind == "gap")
-    assert gaps == [(starts[1], starts[2] - starts[1]), (starts[3], starts[4] - starts[3]), (starts[5], starts[6] - 5 - starts[5])]
+    lost_end = [] if packed else [(starts[5], starts[6] - 5 - starts[5])]  # the digest of the last record holds without its member's trailer
+    assert gaps == [(starts[1], starts[2] - starts[1]), (starts[3], starts[4] - starts[3]), *lost_end]
+
+
+def opened(tmp_path, data, name):
+    from pyarrow import fs
+
+    (tmp_path / name).write_bytes(data)
+    return fs.LocalFileSystem().open_input_file(str(tmp_path / name))
+
+
+def one_record(i, size=2000, seed=7):
+    r = random.Random(seed + i)
+    return warc.record("response", f"urn:tidemark:page:{i}", "http://x", bytes(r.randrange(32, 127) for _ in range(size)), None)
+
+
+def ids_and_gaps(f, packed=True):
+    rows = list(warc.salvage(f, f.size(), packed))
+    return [r[5].rsplit(":", 1)[1] for r in rows if r[3] == "record"], [r[:3] for r in rows if r[3] == "gap"]
+
+
+def test_salvage_inside_a_member(tmp_path):
+    bad = bytearray(one_record(1))
+    bad[-500] ^= 1
+    member = warc.gzip_member(one_record(0) + bytes(bad) + one_record(2))
+    after = warc.gzip_member(one_record(3))
+    n = len(one_record(0))
+    assert ids_and_gaps(opened(tmp_path, member + after, "a")) == (["0", "2", "3"], [(0, n, len(bad))])
+    assert ids_and_gaps(opened(tmp_path, one_record(0) + bytes(bad) + one_record(2), "b"), False) == (["0", "2"], [(n, None, len(bad))])
+
+
+def test_a_flipped_bit_loses_no_record_before_it(tmp_path):
+    data = bytearray(warc.gzip_member(b"".join(one_record(i, 30_000) for i in range(40))))
+    data[len(data) // 2] ^= 4
+    found, gaps = ids_and_gaps(opened(tmp_path, bytes(data) + warc.gzip_member(one_record(99)), "a"))
+    assert found[:18] == [str(i) for i in range(18)] and found[-1] == "99" and gaps
+
+
+def test_a_record_without_digests_needs_the_checksum(tmp_path):
+    plain = re.sub(rb"WARC-(Payload|Block)-Digest: [^\r]*\r\n", b"", one_record(0))
+    whole = warc.gzip_member(plain)
+    assert ids_and_gaps(opened(tmp_path, whole, "a")) == (["0"], [])
+    wrong = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
+    assert ids_and_gaps(opened(tmp_path, wrong + warc.gzip_member(one_record(1)), "b")) == (["1"], [(0, None, len(wrong))])
+
+
+def test_long_headers_and_missing_archives(spark):
+    rows = [(1, "http://a/" + "x" * 70_000, "<p>one"), (2, "http://a/" + "y" * 200_000, "<p>" + "z" * 5000), (3, "u", "<p>" + "z" * 5000)]
+    manifest = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = sorted(warc.read_archives(manifest, payloads=True).collect(), key=lambda r: r.record_id)
+    assert [(r.kind, r.target_uri) for r in got] == [("record", u) for _, u, _ in rows]
+    with pytest.raises(Exception, match="nowhere"):
+        warc.read_archives(spark.createDataFrame([("file:///tmp/nowhere.warc.gz",)], "archive string")).count()
 
 
 def page(body):
