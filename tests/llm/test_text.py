@@ -66,7 +66,7 @@ def labelled(n, seed=0):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    rows, labels = labelled(800)
+    rows, labels = labelled(2000)
     df, lab = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     model = toxicity.train(df, lab)
     got = {r.doc_id: r for r in toxicity.score(df, model).collect()}
@@ -79,6 +79,47 @@ def test_toxicity_on_held_out_rows(spark):
     assert len({r.score for r in toxicity.score(documents(spark, [(1, None), (2, ""), (2, "")]), model).collect()}) == 1
 
 
+def test_every_character_is_in_a_window():
+    long = "ab" * 40 + "çé漢字" * 20
+    assert "".join(w[: toxicity.WORD_STEP] for w in toxicity.words(long)[:-1]) + toxicity.words(long)[-1] == long
+    text = f"one {long} two, three"
+    for i in range(len(long) - 8):
+        assert any(long[i : i + 8] in w for w in toxicity.windows(text))
+    assert toxicity.windows("one") == [" one "] and toxicity.windows("a b c") == [" a b ", " b c "] and toxicity.windows(None) == toxicity.windows(" .") == []
+
+
+def test_toxic_terms_late_in_unspaced_runs_and_clean_words_with_their_heads(spark):
+    r = random.Random(11)
+    letters = "日月火水木金土山川田人口目耳手足力男女子学校生先年時分半前後左右上下中外内"
+    rows, labels = [], []
+    for i in range(900):
+        run = "".join(r.choice(letters) for _ in range(90))
+        at = r.randrange(30, 80)
+        bad = i % 4 == 0
+        if bad:
+            run = run[:at] + "愚劣卑怯" + run[at:]
+        rows.append((i, run if i % 2 else " ".join([r.choice(WORDS), "worthwhile" if not bad else "worthless", run])))
+        labels.append((i, int(bad)))
+    df = documents(spark, rows)
+    model = toxicity.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {x.doc_id: x for x in toxicity.score(df, model).collect()}
+    held = [i for i, x in got.items() if x.held_out]
+    assert sum(got[i].predicted == labels[i][1] for i in held) / len(held) > 0.95
+    scorer = toxicity.Scorer(model)
+    assert all(abs(got[i].score - scorer.score(t)) < 1e-12 for i, t in rows[:50])
+    assert scorer.score("worthwhile") < 0.5
+
+
+def test_toxicity_separates_held_out_documents_of_the_tables(spark):
+    """Held-out accuracy on whole tables: area under the curve, and what is caught at the threshold."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").select("score", "toxic").collect()
+    good, bad = ([r.score for r in got if r.toxic == y] for y in (0, 1))
+    auc = sum((b > g) + (b == g) / 2 for b in bad for g in good) / (len(good) * len(bad))
+    assert auc > 0.9 and sum(g < 0.5 for g in good) / len(good) > 0.97
+
+
 def test_held_out_labels_do_not_matter(spark):
     import zlib
 

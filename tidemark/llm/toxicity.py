@@ -1,13 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained from labelled text: windows (the heads of words) that are typical of toxic
-documents go, with the commonest ordinary windows, into one; the ordinary windows alone form the other.  A window's
-margin is by how many bytes the toxic dictionary compresses it better.  A document's score is a calibrated function
-of how many of its windows pass each margin threshold.
+Two zstandard dictionaries are trained, one on toxic and one on ordinary text, by the same cover of byte strings: each
+holds the commonest words of all text, which lean to neither, and the segments of its own class that lean to it.  Every window of two words
+(each word whole, and in both its windows) is compressed with either; its margin is by how many bytes the toxic
+dictionary does better.  A document's score is a calibrated function of how many windows pass each margin threshold.
+Dictionaries and calibration come from different documents.
 """
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import math
 import re
 from collections import Counter
@@ -20,21 +23,51 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BoundedCache, map_batches
+from tidemark.llm.common import BoundedCache, map_batches, materialise, worker_cache
 
 TRAIN_ROWS = 20_000  # bound of the labelled sample: the labelled ids of lowest hash
-HEAD_CHARS = 7  # a window: a space and the first characters of a word (with the space after a short word)
-ORDINARY_CHARS = 4096
-LEAST_DOCS, LEAST_RATIO, LEAST_LLR = 4, 3.0, 12.0
-THRESHOLDS = range(2, 8)
+#: One labelled document in so many calibrates; the others make the dictionaries.
+CALIBRATE_ONE_IN = 4
+GRAM = 7  # bytes of the strings whose document frequencies are compared, besides whole words that are shorter
+#: A gram leans to a class when it is in so many of its documents, so many times as often as in the other class, and by
+#: a likelihood ratio that none of as many grams as there are would reach by chance.
+LEAST_DOCS, LEAST_RATIO = 4, 3.0
+#: Bytes of a dictionary: segments of its class, and common words.  What may be collected: leaning grams, segments.
+OWN_BYTES, COMMON_BYTES = 2048, 2048
+MOST_GRAMS, MOST_SEGMENTS = 50_000, 20_000
+#: Longer runs of word characters, as in scripts without spaces, are taken as overlapping words of so many characters.
+WORD_CHARS, WORD_STEP = 24, 16
+WINDOW_WORDS = 2
+THRESHOLDS = range(2, 9)
 #: Both dictionaries end with these, and each window stands between them: zstd finds no match in the last bytes of
 #: its input and stores very short inputs raw, and what both sides share cancels out of the margin.
-BEFORE, AFTER = "0123456789abcdef|", "|ZYXWVUTSRQPONMLK"
+BEFORE, AFTER = b"0123456789abcdef|", b"|ZYXWVUTSRQPONMLK"
 WORD = re.compile(r"\w+")
+SHORT_WORD = re.compile(rb"(?=( [^ ]{2,%d} ))" % (GRAM - 3))
+
+
+def words(text: str | None) -> list[str]:
+    out = []
+    for w in WORD.findall((text or "").lower()):
+        if len(w) <= WORD_CHARS:
+            out.append(w)
+        else:
+            out += [w[i : i + WORD_CHARS] for i in range(0, len(w) - WORD_CHARS + WORD_STEP, WORD_STEP)]
+    return out
 
 
 def windows(text: str | None) -> list[str]:
-    return [f" {w} "[:HEAD_CHARS] for w in WORD.findall((text or "").lower())]
+    found = words(text)
+    return [f" {' '.join(found[i : i + WINDOW_WORDS])} " for i in range(max(1, len(found) - WINDOW_WORDS + 1))] if found else []
+
+
+def plain(text: str | None) -> bytes:
+    """The words in UTF-8, a space around each: what grams and segments are taken from."""
+    return f" {' '.join(WORD.findall((text or '').lower()))} ".encode()
+
+
+def grams(data: bytes) -> set[bytes]:
+    return {data[i : i + GRAM] for i in range(len(data) - GRAM + 1)} | set(SHORT_WORD.findall(data))
 
 
 @dataclass
@@ -43,25 +76,30 @@ class ToxicityModel:
     ordinary: bytes
     weights: list[float]
 
+    def scorer(self) -> Scorer:
+        """The worker's scorer of this model, with the margins it knows from other tasks."""
+        key = hashlib.md5(b"|".join([self.toxic, self.ordinary, repr(self.weights).encode()])).digest()
+        return worker_cache(("toxicity", key), lambda: Scorer(self))
+
 
 class Scorer:
     def __init__(self, model: ToxicityModel):
         self.weights = np.array(model.weights)
         self.toxic, self.ordinary = self._compressor(model.toxic), self._compressor(model.ordinary)
-        self.margins = BoundedCache(self._margin, limit=500_000)
+        self.margins = BoundedCache(self._margin, limit=300_000)
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
         how = zstandard.ZstdCompressionParameters(
-            strategy=zstandard.STRATEGY_LAZY2, min_match=4, window_log=17, hash_log=15, chain_log=15, search_log=5, target_length=8,
+            strategy=zstandard.STRATEGY_LAZY2, min_match=5, window_log=17, hash_log=15, chain_log=15, search_log=5, target_length=8,
             write_content_size=False, write_checksum=False, write_dict_id=False,
         )
-        trained = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        trained = zstandard.ZstdCompressionDict(content + AFTER + b"#" + BEFORE, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         trained.precompute_compress(compression_params=how)
         return zstandard.ZstdCompressor(dict_data=trained, compression_params=how)
 
     def _margin(self, window: str) -> int:
-        raw = f"{BEFORE}{window}{AFTER}".encode()
+        raw = BEFORE + window.encode() + AFTER
         return len(self.ordinary.compress(raw)) - len(self.toxic.compress(raw))
 
     def features(self, text: str | None) -> list[float]:
@@ -79,62 +117,128 @@ def held_out(id_col: str) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-def _llr(a: int, b: int, n_a: int, n_b: int) -> float:
-    """Log-likelihood ratio of two document frequencies being different."""
+def _sample(labels: DataFrame, id_col: str, label_col: str, rows: int) -> DataFrame:
+    """``id_col``, ``__y`` and ``__fit`` (it makes dictionaries, not the calibration) of at most ``rows`` labelled ids."""
+    ids = labels.where(~held_out(id_col) & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("__y"))
+    place, n = F.pmod(F.xxhash64(id_col), 1 << 30), ids.count()
+    few = ids.where(place < (2 * rows << 30) // n) if n > 2 * rows else ids  # so that few rows meet for the last choice
+    return few.orderBy(place, id_col).limit(rows).withColumn("__fit", F.pmod(F.xxhash64(id_col, F.lit(1)), CALIBRATE_ONE_IN) > 0)
 
-    def fit(k: int, n: int, p: float) -> float:
-        return (k * math.log(p) if k else 0) + ((n - k) * math.log(1 - p) if n > k else 0)
 
-    p = (a + b) / (n_a + n_b)
-    return 2 * (fit(a, n_a, a / n_a) + fit(b, n_b, b / n_b) - fit(a, n_a, p) - fit(b, n_b, p))
+def _count(make):
+    """A batch function that sums per task in how many documents of either class each byte string occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, bytes], list[int]] = {}
+        for batch in batches:
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for key in make(y, text):
+                    counts.setdefault(key, [0, 0])[y] += 1
+        if counts:
+            kinds, strings = zip(*counts, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(strings, pa.binary()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))], names=["kind", "string", "n0", "n1"])
+
+    return run
+
+
+COUNTS = "kind string, string binary, n0 long, n1 long"
+
+
+def _leaning(counted: DataFrame, sizes: list[int], own: int) -> dict[bytes, float]:
+    """The grams that lean to class ``own``, with their likelihood ratios; tested where they are, not on the driver."""
+    a, b, n_a, n_b = F.col(f"n{own}"), F.col(f"n{1 - own}"), float(sizes[own]), float(sizes[1 - own])
+    part = lambda k, n: F.when(k > 0, k * F.log(k / n)).otherwise(0.0) + F.when(k < n, (n - k) * F.log(1 - k / n)).otherwise(0.0)
+    both = a + b
+    ratio = 2 * (part(a, F.lit(n_a)) + part(b, F.lit(n_b)) - part(both, F.lit(n_a + n_b)))
+    least = 2 * math.log(max(2, counted.count()))
+    chosen = counted.where((a >= LEAST_DOCS) & (a / n_a > LEAST_RATIO * b / n_b)).select("string", ratio.alias("ratio")).where(F.col("ratio") >= least)
+    return {bytes(r.string): r.ratio for r in chosen.orderBy(F.desc("ratio"), "string").limit(MOST_GRAMS).collect()}
+
+
+def segments(data: bytes, leaning: dict[bytes, float]) -> set[bytes]:
+    """The longest stretches of ``data`` that leaning grams cover."""
+    out, start, end = set(), None, 0
+    found = [(i, i + GRAM) for i in range(len(data) - GRAM + 1) if data[i : i + GRAM] in leaning]
+    found += [m.span(1) for m in SHORT_WORD.finditer(data) if m[1] in leaning]
+    for i, stop in sorted(found):
+        if start is None or i > end:
+            if start is not None:
+                out.add(data[start:end])
+            start = i
+        end = max(end, stop)
+    if start is not None:
+        out.add(data[start:end])
+    return out
+
+
+def cover(candidates: list[bytes], leaning: dict[bytes, float], size: int = OWN_BYTES) -> bytes:
+    """Segments chosen one by one, each the one with most leaning not yet covered for its length; the best stand last,
+    where a match costs least."""
+    covered: set[bytes] = set()
+    worth = lambda g: sum(leaning.get(x, 0.0) for x in grams(g) - covered) / len(g)
+    heap = [(-worth(g), g) for g in set(candidates)]
+    heapq.heapify(heap)
+    chosen, total = [], 0
+    while heap and total < size:
+        said, g = heapq.heappop(heap)
+        now = worth(g)
+        if now <= 0:
+            continue
+        if now < -said:
+            heapq.heappush(heap, (-now, g))
+            continue
+        chosen.append(g)
+        total += len(g)
+        covered |= grams(g)
+    return b"".join(chosen[::-1])
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> ToxicityModel:
     """Learn from at most ``rows`` labelled documents that are not held out.
 
-    The sample's ids are broadcast (their number is the bound), so texts are not shuffled.  Window frequencies are
-    counted per task and summed by window; what reaches the driver is the selected windows and the calibration
-    features, both bounded.
+    The sample's ids are broadcast (their number is the bound), so texts are not shuffled.  Frequencies are counted per
+    task and summed by byte string; what reaches the driver is what leans, candidate segments, common words and the
+    calibration features, each bounded.  Where the calibrating documents are of one class only, all of the sample
+    calibrate; where the sample is of one class or empty, the score is constant.
     """
-    ids = labels.where(~held_out(id_col) & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("__y"))
-    place, n = F.pmod(F.xxhash64(id_col), 1 << 30), ids.count()
-    few = ids.where(place < (2 * rows << 30) // n) if n > 2 * rows else ids  # so that few rows meet for the last choice
-    sample = few.orderBy(place, id_col).limit(rows)
-    chosen = df.select(id_col, text_col).join(F.broadcast(sample), id_col).select("__y", text_col)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, list[int]] = {}
-        for batch in batches:
-            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for w in {"", *windows(text)}:  # the empty window counts the documents
-                    counts.setdefault(w, [0, 0])[y] += 1
-        if counts:
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts)), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (1, 0))], names=["w", "t", "o"])
-
-    counted = map_batches(chosen, count, "w string, t long, o long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    counted = counted.where((F.col("t") + F.col("o") >= LEAST_DOCS)).collect()  # windows of at most ``rows`` documents
-    by = {r.w: (r.t, r.o) for r in counted}
-    n_t, n_o = by.pop("", (0, 0))
-    if not n_t or not n_o:
-        return ToxicityModel(b"", b"", [30.0 if n_t else -30.0, *[0.0] * (2 * len(THRESHOLDS) + 2)])
-    leaning = {w: _llr(t, o, n_t, n_o) for w, (t, o) in by.items() if t >= LEAST_DOCS and t / n_t > LEAST_RATIO * o / n_o}
-    typical = sorted((w for w, v in leaning.items() if v >= LEAST_LLR), key=lambda w: (leaning[w], w))
+    chosen = materialise(df.select(id_col, text_col).join(F.broadcast(_sample(labels, id_col, label_col, rows)), id_col).select("__y", text_col, "__fit"), "toxicity-sample")
+    shares = {(r["__fit"], r["__y"]): r["count"] for r in chosen.groupBy("__fit", "__y").count().collect()}
+    sizes = [shares.get((True, y), 0) for y in (0, 1)]
+    there = [any(shares.get((f, y), 0) for f in (True, False)) for y in (0, 1)]
+    n_weights = 2 * len(THRESHOLDS) + 3
+    if not all(there):
+        return ToxicityModel(b"", b"", [30.0 if there[1] else -30.0, *[0.0] * (n_weights - 1)])
+    fit = chosen.where("__fit").select("__y", text_col)
+    leaning: list[dict[bytes, float]] = [{}, {}]
+    if all(sizes):
+        counted = materialise(map_batches(fit, _count(lambda y, t: (("g", g) for g in grams(plain(t)))), COUNTS).groupBy("string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-grams")
+        leaning = [_leaning(counted, sizes, y) for y in (0, 1)]
+
+    def parts(y: int, text: str | None) -> Iterator[tuple[str, bytes]]:
+        data = plain(text)
+        yield from (("w", w) for w in set(data.split()))
+        yield from (("s", g) for g in segments(data, leaning[y]))
+
+    found = materialise(map_batches(fit, _count(parts), COUNTS).groupBy("kind", "string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-segments")
+    top = lambda kind, n, least, limit: [bytes(r.string) for r in found.where((F.col("kind") == kind) & (n >= least)).orderBy(n.desc(), "string").limit(limit).collect()]
     common, size = [], 0
-    for w in sorted(by, key=lambda w: (-by[w][1], w)):
-        if size >= ORDINARY_CHARS:
+    for w in top("w", F.col("n0") + F.col("n1"), LEAST_DOCS, COMMON_BYTES):
+        if size >= COMMON_BYTES:
             break
-        if w not in leaning:
+        if not any(g in side for g in grams(b" %b " % w) for side in leaning):
             common.append(w)
-            size += len(w)
-    ordinary = "".join(common[::-1])
-    model = ToxicityModel(f"{ordinary}{''.join(typical)}{AFTER}#{BEFORE}".encode(), f"{ordinary}{AFTER}#{BEFORE}".encode(), [0.0] * (2 * len(THRESHOLDS) + 3))
+            size += len(w) + 1
+    base = b" ".join([b"", *common[::-1], b""])
+    ordinary, toxic = (cover(top("s", F.col(f"n{y}"), 1, MOST_SEGMENTS), leaning[y]) + base for y in (0, 1))
+    model = ToxicityModel(toxic, ordinary, [0.0] * n_weights)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scorer.features(t) for t in batch.column(1).to_pylist()], pa.list_(pa.float64()))], names=["y", "x"])
 
-    seen = map_batches(chosen, features, "y int, x array<double>").toPandas()
+    apart = all(shares.get((False, y), 0) for y in (0, 1))
+    seen = map_batches((chosen.where("NOT __fit") if apart else chosen).select("__y", text_col), features, "y int, x array<double>").toPandas()
     model.weights = _logistic(np.array(seen["x"].tolist()), seen["y"].to_numpy()).tolist()
     return model
 
@@ -155,13 +259,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 40) ->
 def score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
-    Map-only, whole texts.  Null and empty texts have no window and get the score of that; a null id is not held out;
+    Map-only, whole texts: every word is in two windows, whatever the length of word or text.  Null and empty texts have no window and get the score of that; a null id is not held out;
     repeated rows are scored each; an empty table gives an empty result; no other column is read.
     """
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = model.scorer()
         for batch in batches:
             scores = [scorer.score(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=[id_col, "held_out", "score", "predicted"])
@@ -175,7 +279,7 @@ def drop_toxic(df: DataFrame, model: ToxicityModel, text_col: str = "text") -> D
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, at = Scorer(model), names.index(text_col)
+        scorer, at = model.scorer(), names.index(text_col)
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
