@@ -244,12 +244,59 @@ NAV = "<nav><ul>" + "".join(f'<li><a href="/{w}">{w}</a></li>' for w in WORDS[:8
         ("<article><header><h1>Head</h1></header><p>one<p>two<aside>side</aside><ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", "Head one two a b c d"),
         (NAV, ""),
         ("", ""),
+        # no article element: loose text with br, a headline and a short paragraph beside the core
+        (f"{NAV}<h1>Head</h1>{LONG[0]}<br>{LONG[1]}<div><p>{LONG[2]}</p><p>{LONG[3]}</p></div><footer>c</footer>", f"Head {LONG[0]} {LONG[1]} {LONG[2]} {LONG[3]}"),
+        # split containers with something short between them
+        (f"{NAV}<div><p>{LONG[0]}</p><p>{LONG[1]}</p></div><p>Short.</p><div><p>{LONG[2]}</p></div>", f"{LONG[0]} {LONG[1]} Short. {LONG[2]}"),
+        # a name alone removes nothing: a long notice is part of the article, a short one is not
+        (f"<article><p>{LONG[0]}</p><div class='notice'>{LONG[1]} {LONG[2]} {LONG[3]}</div><div class='notice'>Closed</div></article>", f"{LONG[0]} {LONG[1]} {LONG[2]} {LONG[3]}"),
+        (f"{NAV}<div class='search-result social'><p>{LONG[0]}</p><p>{LONG[1]}</p></div><div class='ad'>Buy {LONG[3]}</div>", f"{LONG[0]} {LONG[1]}"),
+        # an article element around menus only is not the main text
+        (f"<article><ul><li><a href=a>x</a><li><a href=b>y</a></ul></article><div><p>{LONG[0]}</p><p>{LONG[1]}</p></div>", f"{LONG[0]} {LONG[1]}"),
     ],
 )
 def test_main_text(body, text):
     assert html_text.main_text(page(body)) == text
 
 
+def test_main_text_of_the_tables_is_the_article(spark):
+    """Against another parser: what the standard library sees inside the article element of every page."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth, self.out = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            if self.depth and tag in ("p", "h1", "br"):
+                self.out.append(" ")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+
+        def handle_data(self, data):
+            if self.depth:
+                self.out.append(data)
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    for r in pages.collect():
+        parser = Article()
+        parser.feed(r.html)
+        assert got[r.page_id] == " ".join("".join(parser.out).split())
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "x>" ', "<div>", "<p><b>", '<a href="', "<!-- ", "<p><button><b>", "<li><b>", "<", "</x>", "<div></x>"])
+def test_broken_markup_takes_linear_time(piece):
+    import time
+
+    began = time.perf_counter()
+    html_text.main_text(piece * 40_000)
+    assert time.perf_counter() - began < 10
+
+
 def test_html_awkward(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "plain"), (4, "u", "<p>open <b>bold"), (4, "u", "<p>open <b>bold"), (5, "u", "<" * 2000), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000), (7, "u", "<p>a<!-- never closed"), (8, "u", "<script>never closed"), (9, "u", "a < b <3 x")]
     df = spark.createDataFrame([(*r, "t", 1) for r in rows], "page_id long, url string, html string, text string, n_chars long")
