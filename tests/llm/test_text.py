@@ -49,6 +49,20 @@ def test_decontamination_drops_rows_and_takes_empty_tables(spark):
     assert decontamination.contamination(df.limit(0), bench).count() == 0
     match = decontamination.find_matches(df, bench).where("doc_id = 77").first().matches[0]
     assert (match.start, match.item_start, match.words) == (0, 0, 40)
+    assert decontamination.drop_contaminated(df, bench.union(df.select('doc_id', 'text').where('doc_id = 9')), block_bytes=50).where('doc_id IN (9, 77)').count() == 0
+
+
+def test_repeated_text_is_joined_in_linear_steps():
+    import time
+
+    item = "again and again " * 100
+    benchmark = decontamination.Benchmark([("i", item)])
+    coded = [decontamination.np.array([benchmark.ids[w] for w in decontamination.words("and again again " * 3000)], "uint32")]
+    began = time.perf_counter()
+    found = benchmark.matches(coded)[0]
+    assert time.perf_counter() - began < 2 and sum(m[3] for m in found) >= 9000
+    for _, start, place, n in found[:40]:
+        assert decontamination.words("and again again " * 3000)[start : start + n] == decontamination.words(item)[place : place + n]
 
 
 def labelled(n, seed=0):

@@ -1,9 +1,10 @@
 """Benchmark decontamination with suffix arrays of the training documents.
 
-Documents are taken in shards of an Arrow batch.  A shard's suffix array sorts the word positions that can begin a
-match (as many benchmark words in a row as the shortest window has) by the words that follow; every benchmark suffix
-is then looked up in it by binary search, which gives all places where its window occurs.  Windows that follow each
-other on both sides are joined into longest verbatim matches.
+Documents are taken in shards of about ``SHARD_BYTES`` of text.  A shard's suffix array sorts the word positions that
+can begin a match (as many benchmark words in a row as the shortest window has) by the words that follow; every benchmark
+suffix is then looked up in it by binary search, which gives all places where its window occurs.  Windows that follow
+each other on both sides are joined into longest verbatim matches.  The benchmark lies in the shared folder in blocks of
+bounded size, which tasks read; it does not pass through the driver.
 """
 
 from __future__ import annotations
@@ -14,14 +15,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches
+from tidemark.llm.common import filesystem, map_batches, shared_dir, worker_cache
 
 WINDOW = 10
-#: Bytes of benchmark text that tasks are given at once; larger benchmarks are searched block by block.
+#: Bytes of benchmark text that a task holds at once; larger benchmarks are searched block by block.
 BLOCK_BYTES = 16 << 20
+#: Bytes of document text that one suffix array is made of, so a block is read and searched once for so many.
+SHARD_BYTES = 32 << 20
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z, as a byte map: what is no word byte becomes a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -45,7 +50,12 @@ class Benchmark:
                 for at in range(len(coded) - size + 1):
                     found.setdefault(tuple(coded[at : at + size]), []).append((len(self.names) - 1, at))
         self.windows = list(found)
-        self.places = list(found.values())
+        self.places: list[dict[int, dict[int, None]]] = []  # of each window by item, in order
+        for hits in found.values():
+            by_item: dict[int, dict[int, None]] = {}
+            for item, at in hits:
+                by_item.setdefault(item, {})[at] = None
+            self.places.append(by_item)
         self.sizes = np.array([len(w) for w in self.windows], np.int64)
         self.shortest = int(self.sizes.min()) if len(self.sizes) else 0
         ids = np.zeros((len(self.windows), WINDOW), ">u4")
@@ -74,20 +84,17 @@ class Benchmark:
         order = np.argsort(keys, kind="stable")  # the suffix array
         keys = keys[order]
         low, high = np.searchsorted(keys, self.low, "left"), np.searchsorted(keys, self.high, "right")
-        hits: list[tuple[int, int, int, int, int]] = []
-        for w in np.flatnonzero(high > low):
-            size = int(self.sizes[w])
-            for at in starts[order[low[w] : high[w]]].tolist():
-                hits += [(item, at - place, at, place, size) for item, place in self.places[w]]
+        hits = [(item, at, w) for w in np.flatnonzero(high > low).tolist() for at in starts[order[low[w] : high[w]]].tolist() for item in self.places[w]]
         hits.sort()
         joined: list[list[int]] = []
-        for item, diagonal, at, place, size in hits:
-            last = joined[-1] if joined else None
-            if last and last[0] == item and last[1] == diagonal and last[2] + last[4] == at + size - 1 and size == WINDOW:
-                last[4] += 1
+        for item, at, w in hits:
+            last, places, size = joined[-1] if joined else None, self.places[w][item], int(self.sizes[w])
+            # on with the match that ends a word before, where the item goes on as well
+            if last and last[0] == item and size == WINDOW and last[1] + last[3] == at + WINDOW - 1 and last[2] + last[3] - WINDOW + 1 in places:
+                last[3] += 1
             else:
-                joined.append([item, diagonal, at, place, size])
-        for item, _, at, place, size in joined:
+                joined.append([item, at, next(iter(places)), size])
+        for item, at, place, size in joined:
             d = int(np.searchsorted(ends, at, "right"))
             out[d].append((item, at - (int(ends[d - 1]) if d else 0), place, size))
         return out
@@ -98,44 +105,77 @@ def _keys(ids: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(ids).view(f"S{4 * WINDOW}").ravel()
 
 
-def blocks_of(items: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str | None]]]:
-    """The items in blocks of about ``block_bytes``, by the hash of their id; each block is brought to the driver."""
-    total = items.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    n = math.ceil(total / block_bytes) or 1
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64(id_col), n) == b).select(F.col(id_col).cast("string"), text_col).collect()
-        yield sorted((r[0], r[1]) for r in rows if r[0] is not None and r[1])
+class Blocks:
+    """The benchmark in the shared folder, as blocks of bounded size that tasks read."""
+
+    def __init__(self, items: DataFrame, id_col: str, text_col: str, block_bytes: int):
+        total = items.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        self.n = math.ceil(total / block_bytes) or 1
+        self.folder = shared_dir(items.sparkSession, "benchmark")
+        rows = items.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) > 0))
+        rows = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col).cast("string")), self.n).alias("block"))
+        rows.repartition(min(self.n, 1000), "block").write.partitionBy("block").parquet(self.folder)
+
+    def read(self, block: int) -> Benchmark:
+        """A block's windows; of a benchmark of one block a worker keeps them between its tasks."""
+        if self.n == 1:
+            return worker_cache(("benchmark", self.folder), lambda: self._load(0))
+        return self._load(block)
+
+    def _load(self, block: int) -> Benchmark:
+        fs, root = filesystem(f"{self.folder}/block={block}")
+        found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+        tables = [pq.read_table(f.path, filesystem=fs, partitioning=None) for f in found if f.path.endswith(".parquet")]
+        return Benchmark(sorted(pair for t in tables for pair in zip(t["id"].to_pylist(), t["text"].to_pylist(), strict=True)))
+
+    def search(self, texts: list[pa.Array]) -> tuple[list[list[dict]], list[int]]:
+        """Of each text in the arrays its matches and its number of words."""
+        found = [words(t) for column in texts for t in column.to_pylist()]
+        matches: list[list[dict]] = [[] for _ in found]
+        for block in range(self.n):
+            benchmark = self.read(block)
+            code = benchmark.ids.get
+            coded = [np.fromiter((code(w, 0) for w in ws), np.uint32, len(ws)) for ws in found]
+            for have, new in zip(matches, benchmark.matches(coded), strict=True):
+                have += [{"item_id": benchmark.names[i], "start": s, "item_start": p, "words": n} for i, s, p, n in new]
+        return matches, [len(ws) for ws in found]
+
+
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The batches in lists of about ``SHARD_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= SHARD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def find_matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: the id, ``n_words`` and ``matches``, an array of (``item_id``, ``start``, ``item_start``, ``words``).
 
-    Map-only; with a benchmark of several blocks the rows pass through one search after the other.  Null and empty
-    texts have no words and no match; repeated rows and items are searched each; items without words or with a null
-    id match nothing; with an empty table either way there is no match; other columns are not read.
+    One map-only pass over the rows.  Of an item that holds a window at several places the match that goes on is
+    followed, else the first place.  Null and empty texts have no words and no match; very long texts are searched
+    whole; repeated rows and items are searched each; items without words or with a null id match nothing; with an empty
+    table either way there is no match; other columns are not read.
     """
     id_type = df.schema[id_col].dataType.simpleString()
     kind = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()), ("item_start", pa.int64()), ("words", pa.int64())]))
-    schema = f"`{id_col}` {id_type}, n_words long, matches array<struct<item_id:string,start:long,item_start:long,words:long>>, __text string"
-    empty = "array<struct<item_id:string,start:long,item_start:long,words:long>>"
-    rows = df.select(id_col, F.lit(0).cast("long").alias("n_words"), F.array().cast(empty).alias("matches"), F.col(text_col).alias("__text"))
-    for block in blocks_of(items, item_id, item_text, block_bytes):
-        rows = map_batches(rows, _search(block, kind, id_col), schema)
-    return rows.drop("__text")
-
+    blocks = Blocks(items, item_id, item_text, block_bytes)
 
-def _search(block: list[tuple[str, str | None]], kind: pa.DataType, id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        benchmark = Benchmark(block)
-        code = benchmark.ids.get
-        for batch in batches:
-            found = [words(t) for t in batch.column(3).to_pylist()]
-            coded = [np.fromiter((code(w, 0) for w in ws), np.uint32, len(ws)) for ws in found]
-            new = [[{"item_id": benchmark.names[i], "start": s, "item_start": p, "words": n} for i, s, p, n in ms] for ms in benchmark.matches(coded)]
-            both = [a + b for a, b in zip(batch.column(2).to_pylist(), new, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(ws) for ws in found], pa.int64()), pa.array(both, kind), batch.column(3)], names=[id_col, "n_words", "matches", "__text"])
+        for shard in shards(batches):
+            matches, n_words = blocks.search([b.column(1) for b in shard])
+            at = 0
+            for b in shard:
+                stop = at + b.num_rows
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words[at:stop], pa.int64()), pa.array(matches[at:stop], kind)], names=[id_col, "n_words", "matches"])
+                at = stop
 
-    return run
+    return map_batches(df.select(id_col, text_col), run, f"`{id_col}` {id_type}, n_words long, matches array<struct<item_id:string,start:long,item_start:long,words:long>>")
 
 
 def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
@@ -163,20 +203,17 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", **nam
     return map_batches(found, run, f"`{id_col}` {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def drop_contaminated(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def drop_contaminated(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows, whole, in whose text no window of any item occurs."""
-    names = df.columns
-
-    def keep(block: list[tuple[str, str | None]]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            benchmark, at = Benchmark(block), names.index(text_col)
-            code = benchmark.ids.get
-            for batch in batches:
-                coded = [np.fromiter((code(w, 0) for w in ws), np.uint32, len(ws)) for ws in map(words, batch.column(at).to_pylist())]
-                yield batch.filter(pa.array([not ms for ms in benchmark.matches(coded)], pa.bool_()))
+    at, blocks = df.columns.index(text_col), Blocks(items, item_id, item_text, block_bytes)
 
-        return run
-
-    for block in blocks_of(items, item_id, item_text):
-        df = map_batches(df, keep(block), df.schema)
-    return df
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches):
+            matches, _ = blocks.search([b.column(at) for b in shard])
+            clean = pa.array([not m for m in matches], pa.bool_())
+            done = 0
+            for b in shard:
+                yield b.filter(clean.slice(done, b.num_rows))
+                done += b.num_rows
+
+    return map_batches(df, run, df.schema)
