@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +33,7 @@ GRAM = 7  # bytes of the strings whose document frequencies are compared, beside
 #: A gram leans to a class when it is in so many of its documents, so many times as often as in the other class, and by
 #: a likelihood ratio that none of as many grams as there are would reach by chance.
 LEAST_DOCS, LEAST_RATIO = 4, 3.0
+LEAST_MATCH = 5  # bytes of the shortest match that compression takes
 #: Bytes of a dictionary: segments of its class, and common words.  What may be collected: leaning grams, segments.
 OWN_BYTES, COMMON_BYTES = 2048, 2048
 MOST_GRAMS, MOST_SEGMENTS = 50_000, 20_000
@@ -86,12 +88,17 @@ class Scorer:
     def __init__(self, model: ToxicityModel):
         self.weights = np.array(model.weights)
         self.toxic, self.ordinary = self._compressor(model.toxic), self._compressor(model.ordinary)
-        self.margins = BoundedCache(self._margin, limit=300_000)
+        shared = len(os.path.commonprefix([model.toxic[::-1], model.ordinary[::-1]]))
+        strings = lambda data: {data[i : i + LEAST_MATCH] for i in range(len(data) - LEAST_MATCH + 1)}
+        base = strings(model.toxic[len(model.toxic) - shared :])
+        self.own = (strings(model.toxic[: len(model.toxic) - shared]) | strings(model.ordinary[: len(model.ordinary) - shared])) - base
+        self.telling = BoundedCache(self._telling, limit=300_000)
+        self.margins = BoundedCache(self._margin, limit=200_000)
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
         how = zstandard.ZstdCompressionParameters(
-            strategy=zstandard.STRATEGY_LAZY2, min_match=5, window_log=17, hash_log=15, chain_log=15, search_log=5, target_length=8,
+            strategy=zstandard.STRATEGY_LAZY2, min_match=LEAST_MATCH, window_log=17, hash_log=15, chain_log=15, search_log=5, target_length=8,
             write_content_size=False, write_checksum=False, write_dict_id=False,
         )
         trained = zstandard.ZstdCompressionDict(content + AFTER + b"#" + BEFORE, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -102,9 +109,19 @@ class Scorer:
         raw = BEFORE + window.encode() + AFTER
         return len(self.ordinary.compress(raw)) - len(self.toxic.compress(raw))
 
+    def _telling(self, word: str) -> bool:
+        """Whether either dictionary can match a part of the word where the other cannot."""
+        data = f" {word} ".encode()
+        return any(data[i : i + LEAST_MATCH] in self.own for i in range(len(data) - LEAST_MATCH + 1))
+
     def features(self, text: str | None) -> list[float]:
-        found = Counter(map(self.margins.__getitem__, windows(text)))
-        n = max(1, sum(found.values()))
+        """How many windows pass each threshold, and such.  Windows without a telling word compress alike, so they are
+        not compressed: their margin is 0."""
+        found, margins = words(text), self.margins
+        told = list(map(self.telling.__getitem__, found))
+        n = max(1, len(found) - WINDOW_WORDS + 1)
+        at = (i for i in range(n) if True in told[i : i + WINDOW_WORDS]) if True in told else ()
+        found = Counter(margins[f" {' '.join(found[i : i + WINDOW_WORDS])} "] for i in at)
         over = [sum(c for m, c in found.items() if m >= t) for t in THRESHOLDS]
         return [1.0, *map(math.log1p, over), *(math.log1p(1000 * x / n) for x in over), sum(m * c for m, c in found.items()) / n, math.log1p(n)]
 
