@@ -340,20 +340,48 @@ def wrapped(text, width):
     return "\n".join([*out, line])
 
 
+#: Notices that are not what the classifier is fitted on: other phrases around the names, and wrapped texts.
+NOTICES = [
+    ("MIT", "This code is MIT licensed."), ("MIT", "Available freely to all under MIT License terms"), ("MIT", "the library uses the MIT license"), ("GPL", "Code released under GPLv3"), ("GPL", "You may copy it under the GNU General Public License, version 2 or later."),
+    ("GPL", "This work is licensed under the GNU General Public License, version 3."), ("LGPL", "You may link to it under the GNU Lesser General Public License"), ("Apache-2.0", "We publish it under the Apache License, Version 2.0."),
+    ("Apache-2.0", "you may not use this file except in compliance with the License."), ("BSD", "with or without modification, are permitted provided that the following conditions are met:"), ("BSD", "Published under the 3-clause BSD license"),
+    ("MPL-2.0", "Covered by the Mozilla Public License 2.0"), ("CC-BY-NC", "Photos: CC BY-NC 4.0"), ("CC-BY", "Text is shared under CC BY 4.0 by its writers"), ("CC0", "Data dedicated with CC0 1.0 Universal license"), ("ISC", "Offered under the ISC license"),
+    ("Proprietary", "(c) 2021 Somebody Inc. All rights reserved."), ("Proprietary", "All rights reserved."),
+]
+ORDINARY = ["licensed under the Eclipse Public License 2.0", "Released under the GNU Affero General Public License", "Licensed under the PHP License 3.01", "My driving licence was released in May.", "The mayor gave permission to use the hall, free of charge.", "A table was reserved.", "Copyright is discussed in chapter two.", "He got his pilot license under the old rules."]
+
+
 def test_license_families_flat_and_wrapped(spark):
-    rows = [(100 + i, prose(50, i) + "\n" + prose(30, 100 + i)) for i in range(120)]
-    notices = [(family, t) for family, texts in license_scan.TEMPLATES.items() for t in texts]
-    notices.append(("Proprietary", "All rights reserved."))
+    prosaic = [(100 + i, prose(50, i) + "\n" + prose(30, 100 + i)) for i in range(120)]
+    notices = NOTICES + [(family, t) for family, some in license_scan.TEXTS.items() for t in some]
+    rows = list(prosaic)
     for k, (_, t) in enumerate(notices):
-        rows += [(1000 + k, prose(30, k) + "\n" + t), (2000 + k, prose(30, k) + "\n\n" + wrapped(t, 50) + "\n\n" + prose(9, k)), (3000 + k, prose(30, k) + "\n * " + wrapped(t, 40).replace("\n", "\n * ") + "\n *\n")]
-    cut = [
-        ("BSD", "Redistribution and use in source and binary forms, with or without"),
-        ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy"),
-    ]
-    rows += [(4000 + k, prose(30, k) + "\n" + t) for k, (_, t) in enumerate(cut)]
+        rows += [(1000 + k, prose(30, k) + "\n" + t), (2000 + k, prose(30, k) + "\n\n" + wrapped(t, 50) + "\n\n" + prose(9, k)), (3000 + k, prose(30, k) + "\n * " + wrapped(t, 40).replace("\n", "\n * ") + "\n *\n"), (4000 + k, prose(90, k) + ". " + t)]
     rows += [(5000, "\n" * 100_000 + "Released under\nthe MIT License.\n" + " \n" * 100_000)]
+    rows += [(6000 + k, prose(20, k) + "\n" + t) for k, t in enumerate(ORDINARY)]
     df = documents(spark, rows)
     got = {r.doc_id: r.licences for r in license_scan.scan(df, license_scan.train(df)).collect()}
-    want = {n + k: [family] for n in (1000, 2000, 3000) for k, (family, _) in enumerate(notices)} | {4000 + k: [family] for k, (family, _) in enumerate(cut)} | {5000: ["MIT"]}
-    assert {i: got[i] for i in want if got[i] != want[i]} == {}
-    assert not any(got[100 + i] for i in range(120))
+    want = {n + k: [family] for n in (1000, 2000, 3000, 4000) for k, (family, _) in enumerate(notices)} | {5000: ["MIT"]}
+    missed = {i: (got[i], notices[i % 1000]) for i in want if got[i] != want[i]}
+    assert len(missed) <= 0.03 * len(want), missed  # recall and precision over all families
+    for family in license_scan.NAMES:
+        named = [i for i in want if want[i] == [family]]
+        assert sum(got[i] == [family] for i in named) >= 0.8 * len(named), family
+    assert {i: got[i] for i in range(6000, 6000 + len(ORDINARY)) if got[i]} == {}
+    assert not any(got[i] for i, _ in prosaic)
+
+
+def test_license_scan_equals_a_search_for_the_lines_of_the_tables(spark):
+    """Brute force over the whole table: its licence lines are known, and nothing else is one."""
+    lines = {"Licensed under the Apache License": "Apache-2.0", "Released under the MIT License": "MIT", "Licensed under CC BY-NC": "CC-BY-NC", "under the GNU General Public License": "GPL", "All rights reserved.": "Proprietary"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r.licences for r in license_scan.scan(docs, license_scan.train(docs)).collect()}
+    want = {r.doc_id: sorted({f for x, f in lines.items() if x in (r.text or "")}) for r in docs.collect()}
+    assert got == want
+
+
+def test_license_scan_of_null_ids_and_very_long_texts(spark):
+    long = prose(20_000, 5) + "\n" + "Licensed under the MIT License.\n" + prose(20_000, 6).replace(" ", "\n")
+    df = documents(spark, [(None, "Released under the MIT License."), (1, long), (2, "Released under the MIT License."), (2, "All rights reserved.")])
+    got = sorted(((r.doc_id, r.licences) for r in license_scan.scan(df, license_scan.train(df)).collect()), key=str)
+    assert got == [(1, ["MIT"]), (2, ["MIT", "Proprietary"]), (2, ["MIT", "Proprietary"]), (None, [])]
