@@ -78,3 +78,62 @@ def test_limiter_never_exceeds_its_rate(spark, per, spacing):
     assert all(a <= b for a, b in zip((r.at_us for r in got), g))
     assert all(g[i + per] - g[i] >= 60_000_000 for i in range(len(g) - per))
     assert all(b - a >= spacing * 1e6 for a, b in zip(g, g[1:]))
+
+
+def random_rows(seed):
+    import random
+
+    r, rows = random.Random(seed), []
+    for key in ("a", "b", "c"):
+        at = r.randrange(5)
+        for arrival in range(1, 60):
+            at += r.choice([1, 1, 1, 1, 2, 3, 0, -1, -2, -3])
+            rows.append((key, arrival, None if r.random() < 0.05 else at, r.choice("xy")))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_equal_the_fold(spark, seed):
+    from tidemark.streaming.folds import SequenceFold
+
+    rows = random_rows(seed)
+    folds, want = {}, []
+    for key, arrival, number, content in rows:
+        fold = folds.setdefault(key, SequenceFold())
+        want.append((key, *fold.step(arrival, number, content)))
+        folds[key] = SequenceFold(json.loads(json.dumps(fold.dump())))  # what a stream does between micro-batches
+    got = [tuple(r) for r in sequence.track(events(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_wide_gap_takes_no_room():
+    from tidemark.streaming.folds import SequenceFold
+
+    fold = SequenceFold()
+    fold.step(1, 1, "a")
+    assert fold.step(2, 10**15, "b")[5] == 10**15 - 2 and len(json.dumps(fold.dump())) < 300
+
+
+@pytest.mark.parametrize("name", ["live", "paced", "bucket"])
+def test_folds_as_streams_equal_batch(spark, tmp_path, name):
+    schema = {"live": "entity string, arrival long, kind string, sequence long, amount long"}.get(name, "key long, request long, at_us long")
+    forms = {
+        "live": (sequence.live_totals, sequence.live_totals_stream, {}),
+        "paced": (sequence.paced, sequence.paced_stream, {"per_window": 2, "window_s": 60, "spacing_s": 5.0}),
+        "bucket": (sequence.token_bucket, sequence.token_bucket_stream, {"rate_per_s": 0.05, "capacity": 2.0}),
+    }
+    batch, stream_form, options = forms[name]
+    if name == "live":
+        rows = [("g", i, ["delta", "delta", "snapshot", "correction"][i * 7 % 4], i + (i % 5 == 0), i) for i in range(1, 30)]
+    else:
+        rows = [(i % 2, i, i * 7_000_000) for i in range(30)]
+    source = tmp_path / "in"
+    source.mkdir()
+    names = [c.split()[0] for c in schema.split(", ")]
+    for part in range(3):
+        (source / f"{part}.json").write_text("".join(json.dumps(dict(zip(names, r))) + "\n" for r in rows[part * 10 : part * 10 + 10]))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source))
+    q = stream_form(stream, **options).writeStream.option("checkpointLocation", str(tmp_path / "ck")).format("parquet").trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination(120)
+    want = batch(spark.createDataFrame(rows, schema), **options)
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).select(*want.columns).collect())) == sorted(map(str, want.collect()))

@@ -13,13 +13,16 @@ def as_of(df: DataFrame, anchor: Sequence[str], time: str, content: str, cutoff:
     """Per anchor the newest state at or before ``cutoff``.
 
     ``status`` is ``ambiguous`` where the newest instant has different contents (the content is then null), else
-    ``ok``.  The cutoff reaches the scan; both aggregates are partial.
+    ``ok``; a null content is a content like any other.  ``keep`` columns come together from one row of the newest
+    instant, the least in their order.  The cutoff reaches the scan; both aggregates are partial.
     """
-    by_time = df.where(F.col(time) <= cutoff).groupBy(*anchor, time).agg(F.min(content).alias("__low"), F.max(content).alias("__high"), *[F.min(c).alias(c) for c in keep])
-    newest = by_time.groupBy(*anchor).agg(F.max(F.struct(time, "__low", "__high", *keep)).alias("n"))
-    clear = F.col("n.__low") == F.col("n.__high")
+    state = F.struct(F.col(content).alias("c"), F.struct(*keep, F.lit(0).alias("_")).alias("k"))
+    held = F.struct(F.col(content).alias("c"))
+    by_time = df.where(F.col(time) <= cutoff).groupBy(*anchor, time).agg(F.min(held).alias("__low"), F.max(held).alias("__high"), F.min(state)["k"].alias("__keep"))
+    newest = by_time.groupBy(*anchor).agg(F.max(F.struct(time, "__low", "__high", "__keep")).alias("n"))
+    clear = F.col("n.__low.c").eqNullSafe(F.col("n.__high.c"))
     return newest.select(
-        *anchor, F.col(f"n.{time}").alias(time), F.when(clear, F.col("n.__low")).alias(content), F.when(clear, "ok").otherwise("ambiguous").alias("status"), *[F.col(f"n.{c}").alias(c) for c in keep]
+        *anchor, F.col(f"n.{time}").alias(time), F.when(clear, F.col("n.__low.c")).alias(content), F.when(clear, "ok").otherwise("ambiguous").alias("status"), *[F.col(f"n.__keep.{c}").alias(c) for c in keep]
     )
 
 

@@ -36,16 +36,21 @@ def best_prices(levels: DataFrame, market: Sequence[str], side: str, price: str)
     return best.withColumns({"yes_ask": pricing.complement(F.col("best_no")), "no_ask": pricing.complement(F.col("best_yes"))})
 
 
-def latency_curves(decisions: DataFrame, grid_ns: Sequence[int], at_ns: str, next_ns: str, edge: str, profit: str) -> DataFrame:
-    """Mean profit, mean edge and fill rate per latency: a decision pays only if it arrives before the next trigger.
+def latency_curves(decisions: DataFrame, grid_ns: Sequence[int], at_ns: str, next_ns: str, edge: str, profit: str, clv: str | None = None) -> DataFrame:
+    """Per latency: decisions, those still actionable, fill rate, mean profit, mean edge at arrival, and mean closing-line
+    value of what was filled.
 
-    The grid is a short literal array, so rows are exploded in place and the aggregate is partial.
+    A decision pays only if it arrives before the next trigger.  ``edge`` is the edge that the book offers, also to one
+    that comes late, so it is averaged over all decisions; it is null where there is none.  The grid is a short literal
+    array, so rows are exploded in place and the aggregate is partial.
     """
     rows = decisions.withColumn("latency_ns", F.explode(F.array(*[F.lit(g).cast("long") for g in grid_ns])))
     stale = F.coalesce(F.col(next_ns) <= F.col(at_ns) + F.col("latency_ns"), F.lit(False))
-    return rows.groupBy("latency_ns").agg(
-        F.count("*").alias("n"), F.avg(F.when(stale, 0.0).otherwise(F.col(profit))).alias("mean_profit"), F.avg(F.when(stale, 0.0).otherwise(F.col(edge))).alias("mean_edge"), F.avg(F.when(stale, 0.0).otherwise(1.0)).alias("fill_rate")
-    )
+    out = [
+        F.count("*").alias("n"), F.count_if(~stale).alias("n_actionable"), F.avg(F.when(stale, 0.0).otherwise(F.col(profit))).alias("mean_profit"), F.avg(edge).alias("mean_edge"),
+        F.avg(F.when(stale, 0.0).otherwise(1.0)).alias("fill_rate"),
+    ]
+    return rows.groupBy("latency_ns").agg(*out, *([F.avg(F.when(~stale, F.col(clv))).alias("mean_clv")] if clv else []))
 
 
 def break_even(curve: DataFrame, x: str, y: str) -> DataFrame:

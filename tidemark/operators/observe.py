@@ -18,15 +18,21 @@ def _log(anchor: Sequence[str], time: str, row_id: str) -> W:
 
 
 def transitions(df: DataFrame, anchor: Sequence[str], time: str, row_id: str, content: str) -> DataFrame:
-    """The rows whose content differs from their immediate predecessor's; a return to an earlier content is kept."""
-    before = F.lag(content).over(_log(anchor, time, row_id))
-    return df.withColumn("__before", before).where(F.col("__before").isNull() | (F.col("__before") != F.col(content))).drop("__before")
+    """The rows whose content differs from their immediate predecessor's; a return to an earlier content is kept.
+
+    A null content is a content like any other: a change to or from it is kept, a repetition is not.
+    """
+    w = _log(anchor, time, row_id)
+    first, same = F.row_number().over(w) == 1, F.lag(content).over(w).eqNullSafe(F.col(content))
+    return df.withColumn("__new", first | ~same).where("__new").drop("__new")
 
 
 def reversals(df: DataFrame, anchor: Sequence[str], time: str, row_id: str, content: str) -> DataFrame:
     """Transitions back to the content before last."""
     kept = transitions(df, anchor, time, row_id, content)
-    return kept.withColumn("__last", F.lag(content, 2).over(_log(anchor, time, row_id))).where(F.col("__last") == F.col(content)).drop("__last")
+    w = _log(anchor, time, row_id)
+    back = (F.row_number().over(w) > 2) & F.lag(content, 2).over(w).eqNullSafe(F.col(content))
+    return kept.withColumn("__back", back).where("__back").drop("__back")
 
 
 def append_by_identity(df: DataFrame, identity: Sequence[str], time: str, row_id: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import first_reason
+from tidemark.operators.windows import checkpointed
 
 
 def pregame_rows(games: DataFrame, first_seen: str, decided_at: str, label_at: str, final: str, label: str) -> DataFrame:
@@ -44,21 +45,42 @@ def request_plan(targets: DataFrame, bucket: str, game: str) -> DataFrame:
     return targets.groupBy(bucket).agg(F.array_sort(F.collect_set(game)).alias("games"), F.count_distinct(game).alias("n_games"))
 
 
-def chain_check(pages: DataFrame, run: str, cursor: str, next_cursor: str) -> DataFrame:
-    """Verdict on each run's cursor chain: ``duplicate``, ``missing`` (a cursor leads nowhere), ``orphan`` (nothing
-    leads to a page), ``cycle`` (there is no first page), else ``complete``.
+def chain_check(pages: DataFrame, run: str, cursor: str, next_cursor: str, most_pages: int = 1 << 20) -> DataFrame:
+    """Verdict on each run's cursor chain: ``duplicate`` (a page twice, or under a null cursor), ``missing`` (a cursor leads
+    nowhere), ``orphan`` (several pages that nothing leads to), ``cycle`` (there is no first page), ``unreachable`` (pages
+    that the chain from the first page does not reach, such as a loop beside it), else ``complete``.
 
-    Each page is joined with the page it names and the one that names it; no run is collected.
+    Pages are joined with those they name; no run is collected.  Reachability is pointer doubling from the first page:
+    in each round every reached page also reaches the page twice as far on, so there are as many rounds as the logarithm
+    of the longest chain, at most that of ``most_pages``, and only runs whose other checks pass and that hold more pages
+    than have been reached so far take part.
     """
     held = pages.groupBy(run, cursor).agg(F.count("*").alias("__n"), F.max(next_cursor).alias(next_cursor))
     named = held.where(F.col(next_cursor).isNotNull()).select(run, F.col(next_cursor).alias(cursor)).distinct().withColumn("__named", F.lit(True))
     both = held.join(named, [run, cursor], "full_outer")
     absent = F.col("__n").isNull()
+    first = F.when(F.col("__named").isNull(), F.col(cursor))
     per = both.groupBy(run).agg(
-        F.coalesce(F.max("__n"), F.lit(0)).alias("copies"), F.count_if(absent).alias("absent"), F.count_if(F.col("__named").isNull()).alias("heads"), F.count_if(~absent & F.col(next_cursor).isNull()).alias("tails")
-    )
+        F.coalesce(F.max(F.when(F.col(cursor).isNull(), F.lit(2)).otherwise(F.col("__n"))), F.lit(0)).alias("copies"), F.count_if(absent).alias("absent"), F.count_if(F.col("__named").isNull()).alias("heads"),
+        F.count("__n").alias("pages"), F.max(first).alias("first"),
+    )
     verdict = first_reason([("duplicate", F.col("copies") > 1), ("missing", F.col("absent") > 0), ("cycle", F.col("heads") == 0), ("orphan", F.col("heads") > 1)])
-    return per.select(run, F.coalesce(verdict, F.lit("complete")).alias("verdict"))
+    judged = checkpointed(per.withColumn("verdict", verdict))
+    open_runs = judged.where("verdict IS NULL").select(run, "first", "pages")
+    # a jump leads 2 ** round pages on; reached pages gain those that their jumps lead to
+    jumps = checkpointed(held.join(open_runs.select(run), run, "left_semi").select(run, F.col(cursor).alias("__from"), F.col(next_cursor).alias("__to")).where("__to IS NOT NULL"))
+    reached = checkpointed(open_runs.select(run, F.col("first").alias("__from")))
+    length = 1
+    longest = open_runs.agg(F.max("pages")).first()[0] or 0
+    while length < min(longest, most_pages):
+        further = reached.join(jumps, [run, "__from"]).select(run, F.col("__to").alias("__from"))
+        reached = checkpointed(reached.unionByName(further).distinct())
+        far = jumps.select(run, F.col("__from").alias("__to"), F.col("__to").alias("__next"))
+        jumps = checkpointed(jumps.join(far, [run, "__to"]).select(run, "__from", F.col("__next").alias("__to")))
+        length *= 2
+    got = reached.groupBy(run).agg(F.count("*").alias("__reached"))
+    done = judged.join(got, run, "left").withColumn("verdict", F.coalesce("verdict", F.when(F.col("__reached") < F.col("pages"), "unreachable"), F.lit("complete")))
+    return done.select(run, "verdict")
 
 
 def completion(plays: DataFrame, game: str, order: Sequence[str], state: str, time: str) -> DataFrame:

@@ -43,8 +43,10 @@ def combine(df: DataFrame, key: Sequence[str], rules: dict[str, tuple[str, str]]
     """Aggregate columns by named rules: output -> (rule, column).
 
     ``additive``, ``additive_optional`` (null stays null only when all are), ``maximum``, ``any``, ``any_evidence``
-    (null unless some evidence), ``union`` (sorted distinct members of arrays), ``identity`` (the common value, null
-    on conflict), ``precedence`` (by largest ``order``), ``first_evidence`` and ``latest`` (non-null by ``order``).
+    (null unless some evidence), ``union`` (sorted distinct members of arrays), ``identity`` (the common value),
+    ``precedence`` (by largest ``order``), ``first_evidence`` and ``latest`` (non-null by ``order``).  ``derived`` takes
+    a Column over the other outputs.  ``conflicts`` lists, in order, the identity outputs with several values; such an
+    output is null, and a caller that must not go on refuses rows with conflicts.
     """
     ranked = lambda c: F.struct(*order, F.col(c).alias("v"))
     how = {
@@ -59,4 +61,8 @@ def combine(df: DataFrame, key: Sequence[str], rules: dict[str, tuple[str, str]]
         "first_evidence": lambda c: F.min(F.when(F.col(c).isNotNull(), ranked(c)))["v"],
         "latest": lambda c: F.max(F.when(F.col(c).isNotNull(), ranked(c)))["v"],
     }
-    return df.groupBy(*key).agg(*[how[rule](c).alias(out) for out, (rule, c) in rules.items()])
+    plain = {out: x for out, x in rules.items() if x[0] != "derived"}
+    disputed = [F.when(F.count_distinct(c) > 1, F.lit(out)) for out, (rule, c) in plain.items() if rule == "identity"]
+    conflicts = F.array_compact(F.array(*disputed)) if disputed else F.array().cast("array<string>")
+    folded = df.groupBy(*key).agg(*[how[rule](c).alias(out) for out, (rule, c) in plain.items()], conflicts.alias("conflicts"))
+    return folded.withColumns({out: c for out, (rule, c) in rules.items() if rule == "derived"})

@@ -43,7 +43,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Written to the session's checkpoint folder, which all executors share; a temporary one where none is set."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
     return df.checkpoint()
 
 

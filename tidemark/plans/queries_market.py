@@ -71,10 +71,16 @@ def selection_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.groupBy("l_suppkey").agg(F.count("*").alias("received"), n("selected"), n("truncated"), n("deduplicated"))
 
 
-@query("SELECT id FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'x' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS id FROM orders) ORDER BY id IS NULL, coalesce(TRY_CAST(id AS BIGINT), 0), id LIMIT 50")
+@query("SELECT id FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'x' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS id FROM orders) ORDER BY id IS NULL, coalesce(TRY_CAST(id AS BIGINT), 0), id")
 def numeric_id_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = read(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string")).alias("id"))
-    return i.orderBy(F.col("id").isNull(), F.coalesce(F.expr("try_cast(id AS bigint)"), F.lit(0)), "id").limit(50)
+    return i.orderBy(F.col("id").isNull(), F.coalesce(F.expr("try_cast(id AS bigint)"), F.lit(0)), "id")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
+def largest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-k report: the limit is the feature, and each task keeps only its best."""
+    return read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50)
 
 
 @query("SELECT l_orderkey, arg_max(l_linenumber, (CAST(l_discount * 100 AS INT), -l_linenumber)) AS line FROM lineitem GROUP BY 1")
@@ -229,8 +235,8 @@ def decision_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CURVE = LOG + """, d AS (SELECT k - 40.0 AS profit, k / 2.0 AS edge, epoch_us(ts) % 3000000000 AS at_us, epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) - epoch_us(ts) AS wait FROM log),
-x AS (SELECT g AS latency_ns, coalesce(wait / 100 <= g / 1000, false) AS stale, profit - g / 2e7 AS profit, edge FROM d, (SELECT unnest([0, 25000000, 50000000, 100000000, 200000000, 400000000, 800000000, 1600000000]) AS g)),
-c AS (SELECT CAST(latency_ns AS BIGINT) AS latency_ns, count(*) AS n, avg(CASE WHEN stale THEN 0 ELSE edge END) AS mean_edge, avg(CASE WHEN stale THEN 0.0 ELSE 1.0 END) AS fill_rate FROM x GROUP BY 1) """
+x AS (SELECT g AS latency_ns, coalesce(wait / 100 <= g / 1000, false) AS stale, profit, edge, edge - 10 AS clv FROM d, (SELECT unnest([0, 25000000, 50000000, 100000000, 200000000, 400000000, 800000000, 1600000000]) AS g)),
+c AS (SELECT CAST(latency_ns AS BIGINT) AS latency_ns, count(*) AS n, count(*) FILTER (NOT stale) AS n_actionable, round(avg(CASE WHEN stale THEN 0 ELSE profit END), 9) AS mean_profit, round(avg(edge), 9) AS mean_edge, round(avg(clv) FILTER (NOT stale), 9) AS mean_clv, avg(CASE WHEN stale THEN 0.0 ELSE 1.0 END) AS fill_rate FROM x GROUP BY 1) """
 
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,10 +247,10 @@ def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir).select(F.lit(0).cast("long").alias("at_ns"), (wait / 100 * 1000).alias("next_ns"), (F.col("k") / 2.0).alias("edge"), (F.col("k") - 40.0).alias("profit"))
 
 
-@query(CURVE + "SELECT latency_ns, n, round(mean_edge, 9) AS mean_edge, round(fill_rate, 9) AS fill_rate FROM c")
+@query(CURVE + "SELECT latency_ns, n, n_actionable, mean_profit, mean_edge, mean_clv, round(fill_rate, 9) AS fill_rate FROM c")
 def latency_grid_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = market.latency_curves(_decisions(spark, sf_dir), GRID, "at_ns", "next_ns", "edge", "profit")
-    return c.select("latency_ns", "n", F.round("mean_edge", 9).alias("mean_edge"), F.round("fill_rate", 9).alias("fill_rate"))
+    c = market.latency_curves(_decisions(spark, sf_dir).withColumn("clv", F.col("edge") - 10), GRID, "at_ns", "next_ns", "edge", "profit", "clv")
+    return c.select("latency_ns", "n", "n_actionable", *[F.round(x, 9).alias(x) for x in ("mean_profit", "mean_edge", "mean_clv", "fill_rate")])
 
 
 @query("""WITH c AS (SELECT l_linenumber AS x, round(avg(30 - l_linenumber * 9 + l_tax), 6) AS y FROM lineitem GROUP BY 1), p AS (SELECT x, y, lag(x) OVER (ORDER BY x) AS px, lag(y) OVER (ORDER BY x) AS py FROM c)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import pricing, texts, times, units
@@ -52,14 +53,13 @@ def local_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", day.cast("string").alias("day"), basis.alias("basis"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 WHEN 1 THEN epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 END AS lead0,
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 < 2 AND l_shipdate >= o_orderdate THEN epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 END AS lead0,
 CASE l_linenumber % 3 WHEN 0 THEN CAST(o_orderdate <= l_shipdate AS VARCHAR) WHEN 2 THEN 'false' END AS eligible FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def forecast_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     kind = F.when(F.col("l_linenumber") % 3 == 0, "current_forecast").when(F.col("l_linenumber") % 3 == 1, "historical_forecast").otherwise("station_observation")
     lead, eligible = times.lead_and_eligibility(kind, F.col("l_shipdate"), F.col("o_orderdate"), F.col("l_shipdate"))
-    whole = F.when(kind != "station_observation", times.seconds_of(F.col("l_shipdate")) - times.seconds_of(F.col("o_orderdate")))
-    return both.select("l_orderkey", "l_linenumber", F.coalesce(lead, whole).alias("lead0"), eligible.cast("string").alias("eligible"))
+    return both.select("l_orderkey", "l_linenumber", lead.alias("lead0"), eligible.cast("string").alias("eligible"))
 
 
 @query("""WITH v AS (SELECT event_id, event_id % 7 AS m, CAST(props->>'k' AS INT) AS k FROM events)
@@ -126,9 +126,9 @@ def http_status_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", texts.http_class(200 + F.col("event_id") % 400).alias("class"))
 
 
-@query("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, split_part(t, ' at ', 1) AS away, split_part(t, ' at ', 2) AS home FROM (SELECT *, 'Team ' || (o_orderkey % 7) || ' at Team ' || (o_custkey % 9) AS t FROM orders) WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
+@query("""SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 2000 AND 2099 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE CAST(CAST(o_orderdate AS DATE) + INTERVAL (CASE WHEN year(o_orderdate) < 2000 THEN 100 ELSE 0 END) YEAR AS DATE)::VARCHAR END AS day, split_part(t, ' at ', 1) AS away, split_part(t, ' at ', 2) AS home FROM (SELECT *, 'Team ' || (o_orderkey % 7) || ' at Team ' || (o_custkey % 9) AS t FROM orders)""")
 def ticker_and_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").where(F.col("o_orderdate") >= instant("2000-01-01 00:00:00"))
+    o = read(spark, sf_dir, "orders")
     ticker = F.concat(F.lit("GAMES-"), F.upper(F.date_format("o_orderdate", "yyMMMdd")), F.lit("ABCDEF"))
     title = F.concat(F.lit("Team "), (F.col("o_orderkey") % 7).cast("string"), F.lit(" at Team "), (F.col("o_custkey") % 9).cast("string"))
     parsed = texts.title_teams(title)
@@ -149,13 +149,13 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k")).where("k IS NOT NULL")
 
 
-@query("""SELECT o_orderkey, i AS book, j AS outcome, (o_orderkey + i * 10 + j) % 50 AS price FROM orders, range(1, 3) a(i), range(1, 4) b(j) WHERE o_orderkey % 10 = 0""")
+@query("""SELECT o_orderkey, i AS book, j AS outcome, (o_orderkey + i * 10 + j) % 50 AS price FROM orders, range(1, 3) a(i), range(1, 4) b(j)""")
 def nested_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = lambda i, j: ((F.col("o_orderkey") + i * 10 + j) % 50).cast("long")
     books = F.array(*[F.struct(F.lit(i).cast("long").alias("book"), F.array(*[F.struct(F.lit(j).cast("long").alias("outcome"), price(i, j).alias("price")) for j in (1, 2, 3)]).alias("outcomes")) for i in (1, 2)])
     body = F.to_json(F.struct(books.alias("books")))
     schema = "books array<struct<book:long,outcomes:array<struct<outcome:long,price:long>>>>"
-    raw = read(spark, sf_dir, "orders").where("o_orderkey % 10 = 0").select("o_orderkey", F.from_json(body, schema).alias("b"))
+    raw = read(spark, sf_dir, "orders").select("o_orderkey", F.from_json(body, schema).alias("b"))
     each = raw.select("o_orderkey", F.explode("b.books").alias("x")).select("o_orderkey", F.col("x.book").alias("book"), F.explode("x.outcomes").alias("y"))
     return each.select("o_orderkey", "book", F.col("y.outcome").alias("outcome"), F.col("y.price").alias("price"))
 
@@ -216,12 +216,12 @@ def pregame_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.pregame_rows(games, "o_orderdate", "decided_at", "label_at", "final", "label").select("o_orderkey", "excluded")
 
 
-@query("""SELECT 'label_before_cutoff' AS rule, 'blocking' AS severity, CAST(l_orderkey AS VARCHAR) AS entity_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate AND l_linenumber = 1
+@query("""SELECT 'label_before_cutoff' AS rule, 'blocking' AS severity, CAST(l_orderkey AS VARCHAR) AS entity_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate
 UNION ALL SELECT 'unlabelled', 'note', CAST(o_orderkey AS VARCHAR) FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def leakage_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, o = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
     on = F.col("l_orderkey") == F.col("o_orderkey")
-    early = li.where("l_linenumber = 1").join(o, on).where("l_shipdate < o_orderdate")
+    early = li.join(o, on).where("l_shipdate < o_orderdate")
     return provenance.findings([("label_before_cutoff", "blocking", early, "l_orderkey"), ("unlabelled", "note", o.join(li, on, "left_anti"), "o_orderkey")])
 
 
@@ -245,14 +245,17 @@ def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.request_plan(t, "bucket", "user_id").withColumn("games", F.array_join(F.col("games").cast("array<string>"), ","))
 
 
-@query("SELECT conv_id, CASE WHEN conv_id % 4 = 1 AND n > 2 THEN 'missing' WHEN conv_id % 4 = 2 THEN 'cycle' WHEN conv_id % 4 = 3 THEN 'duplicate' ELSE 'complete' END AS verdict FROM (SELECT conv_id, max(turn) + 1 AS n, count(*) FROM conversations GROUP BY 1 HAVING count(*) = max(turn) + 1 AND count(DISTINCT turn) = count(*) AND min(turn) = 0)")
+@query("""SELECT conv_id, CASE WHEN conv_id % 5 = 1 AND n > 2 THEN 'missing' WHEN conv_id % 5 = 2 THEN 'cycle' WHEN conv_id % 5 = 3 THEN 'duplicate' WHEN conv_id % 5 = 4 AND n > 1 THEN 'unreachable' ELSE 'complete' END AS verdict
+FROM (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1)""")
 def cursor_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read(spark, sf_dir, "conversations").select("conv_id", "turn")
-    whole = c.groupBy("conv_id").agg((F.max("turn") + 1).alias("n"), F.count("*").alias("k"), F.count_distinct("turn").alias("d"), F.min("turn").alias("lo")).where("n = k AND d = k AND lo = 0")
-    pages = c.join(whole.select("conv_id", "n"), "conv_id").withColumn("next", F.when(F.col("turn") + 1 < F.col("n"), F.col("turn") + 1).when(F.col("conv_id") % 4 == 2, F.lit(0)))
-    cut = pages.where(~((F.col("conv_id") % 4 == 1) & (F.col("n") > 2) & (F.col("turn") == F.col("n") - 1)))
-    twice = cut.unionByName(cut.where("conv_id % 4 = 3 AND turn = 0"))
-    return provenance.chain_check(twice, "conv_id", "turn", "next")
+    """Every conversation as a run of pages: whole, cut, in a circle, doubled, or with a loop beside a chain that ends."""
+    w = W.partitionBy("conv_id")
+    c = read(spark, sf_dir, "conversations").select("conv_id", F.row_number().over(w.orderBy("turn", "role", "text")).alias("page"), F.count("*").over(w).alias("n"))
+    kind, last, half = F.col("conv_id") % 5, F.col("page") == F.col("n"), F.floor(F.col("n") / 2)
+    next_page = F.when((kind == 4) & (F.col("n") > 1) & (F.col("page") == half), None).when(~last, F.col("page") + 1).when(kind == 2, 1).when((kind == 4) & (F.col("n") > 1), half + 1)
+    pages = c.withColumn("next", next_page.cast("int")).where(~((kind == 1) & (F.col("n") > 2) & last))
+    twice = pages.unionByName(pages.where("conv_id % 5 = 3 AND page = 1"))
+    return provenance.chain_check(twice, "conv_id", "page", "next")
 
 
 @query(LOG + "SELECT user_id, count(*) AS n_plays, max(ts) AS completed_at, arg_max(CASE WHEN k % 2 = 0 THEN 'end' ELSE 'play' END, (ts, event_id)) = 'end' AS complete FROM log GROUP BY 1")
@@ -261,11 +264,11 @@ def completion_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.completion(p, "user_id", ["ts", "event_id"], "state", "at")
 
 
-@query("""WITH e AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 6 > 0), f AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1)
+@query("""WITH e AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 6 > 0), f AS (SELECT l_orderkey AS k, count(DISTINCT l_returnflag) AS n FROM lineitem GROUP BY 1)
 SELECT coalesce(e.k, f.k) AS k, CASE WHEN e.k IS NULL THEN 'unplanned' WHEN n IS NULL THEN 'not_acquired' WHEN n > 1 THEN 'acquired_twice' END AS failure FROM e FULL JOIN f ON e.k = f.k WHERE e.k IS NULL OR n IS NULL OR n > 1""")
 def certification(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = read(spark, sf_dir, "orders").where("o_orderkey % 6 > 0").select(F.col("o_orderkey").alias("k"))
-    return provenance.certify(planned, read(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("k")), ["k"])
+    return provenance.certify(planned, read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), "l_returnflag").distinct(), ["k"])
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01')")

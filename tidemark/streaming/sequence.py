@@ -1,162 +1,88 @@
-"""Gap-aware ordering, corrections and live state as keyed folds.
+"""Gap-aware ordering, live totals and limiters, in batch and as streams.
 
-The folds are small Python state machines over one key's events in arrival order.  The batch form sorts each key's
-rows and runs the fold in ``applyInPandas``; the streaming form keeps the same state between micro-batches in
-``applyInPandasWithState``.  Both give the same rows, which the tests check.
+The batch tracker is made of windows on the stream's key; the others are folds (see ``folds``), of which both forms
+share the state machine.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Sequence
+from functools import partial
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-VERDICT = "stream_key string, arrival long, sequence long, status string, healthy boolean, n_ready long, n_missing long, correction string"
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from tidemark.streaming.folds import BucketFold, LiveFold, PaceFold, SequenceFold, fold, fold_stream
 
-class SequenceFold:
-    """Position of one stream.
-
-    The first event anchors it.  An event ahead of the expected position is held back and what lies between counts as
-    missing until delivered; one behind it, or seen before, is a duplicate.  A duplicate position with another content
-    is a correction of the content held for it.
-    """
-
-    def __init__(self, state: dict | None = None):
-        state = state or {}
-        self.expected: int | None = state.get("expected")
-        self.high: int | None = state.get("high")  # every position up to it is seen or missing
-        self.held: set[int] = set(state.get("held", ()))
-        self.missing: set[int] = set(state.get("missing", ()))
-        self.seen: set[int] = set(state.get("seen", ()))
-        self.contents: dict[int, str] = {int(k): v for k, v in state.get("contents", {}).items()}
-
-    def dump(self) -> str:
-        return json.dumps({"expected": self.expected, "high": self.high, "held": sorted(self.held), "missing": sorted(self.missing), "seen": sorted(self.seen), "contents": self.contents})
-
-    def _correction(self, sequence: int, content: str, flagged: bool) -> str:
-        held = self.contents.get(sequence)
-        self.contents[sequence] = content
-        if held is None:
-            return "original"
-        return "unchanged" if held == content and not flagged else "correction"
-
-    def observe(self, sequence: int | None, content: str, flagged: bool = False) -> tuple[str, bool, int, int, str]:
-        """(status, healthy, events released, positions missing, correction)."""
-        if sequence is None:
-            return "unsequenced", True, 1, 0, "not_applicable"
-        correction = self._correction(sequence, content, flagged)
-        if self.expected is None:
-            self.expected = sequence
-        released, status = 0, "duplicate"
-        if sequence in self.seen or sequence < self.expected:
-            pass
-        elif sequence == self.expected:
-            status = "in_order"
-            self.seen.add(sequence)
-            self.missing.discard(sequence)
-            self.expected, released = sequence + 1, 1
-            while self.expected in self.held:
-                self.held.discard(self.expected)
-                self.missing.discard(self.expected)
-                self.expected, released = self.expected + 1, released + 1
-        else:
-            status = "gap"
-            self.missing.update(range(max(self.expected, self.high + 1 if self.high is not None else self.expected), sequence))
-            self.held.add(sequence)
-            self.seen.add(sequence)
-        self.high = sequence if self.high is None else max(self.high, sequence)
-        return status, not self.missing, released, len(self.missing), correction
-
-
-def _verdicts(key: str, fold: SequenceFold, rows: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for arrival, sequence, content, flagged in rows[["arrival", "sequence", "content", "flagged"]].itertuples(index=False):
-        number = None if pd.isna(sequence) else int(sequence)
-        out.append((key, int(arrival), number, *fold.observe(number, content, bool(flagged))))
-    names = [c.split()[0] for c in VERDICT.split(", ")]
-    return pd.DataFrame(out, columns=names).astype({"sequence": "Int64"})
+VERDICT = "stream_key string, arrival long, sequence long, status string, healthy boolean, n_ready long, n_missing long, correction string"
+TRACKED = ("arrival", "sequence", "content", "flagged")
 
 
 def track(events: DataFrame) -> DataFrame:
-    """Batch form over (``stream_key``, ``arrival``, ``sequence``, ``content``, ``flagged``)."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _verdicts(key[0], SequenceFold(), rows.sort_values("arrival"))
+    """Batch form over (``stream_key``, ``arrival``, ``sequence``, ``content``, ``flagged``); see ``SequenceFold``.
 
-    return events.groupBy("stream_key").applyInPandas(run, VERDICT)
+    A position is released at the latest first arrival of all positions from the anchor to it, if none of them lacks:
+    a running maximum over positions.  The newest position released by an arrival is carried forward over arrivals.
+    What is missing then is what lies up to the highest position, less the positions that came as a new highest.
+    """
+    key = "stream_key"
+    loose = events.where("sequence IS NULL").select(
+        key, "arrival", "sequence", F.lit("unsequenced").alias("status"), F.lit(True).alias("healthy"), F.lit(1).cast("long").alias("n_ready"), F.lit(0).cast("long").alias("n_missing"),
+        F.lit("not_applicable").alias("correction"),
+    )
+    by_arrival = W.partitionBy(key).orderBy("arrival")
+    up_to = by_arrival.rowsBetween(W.unboundedPreceding, 0)
+    same = W.partitionBy(key, "sequence").orderBy("arrival")
+    seen = events.where("sequence IS NOT NULL").withColumns({"anchor": F.first("sequence").over(by_arrival), "high": F.max("sequence").over(up_to)})
+    seen = seen.withColumn("new_high", F.coalesce(F.col("sequence") > F.lag("high").over(by_arrival), F.lit(True)).cast("long"))
+    seen = seen.withColumns({"highs": F.sum("new_high").over(up_to), "copy": F.row_number().over(same), "was": F.lag("content").over(same)})
+    first = seen.where("copy = 1 AND sequence >= anchor").select(key, "sequence", "anchor", "arrival", "new_high")
+    by_position = W.partitionBy(key).orderBy("sequence")
+    so_far = by_position.rowsBetween(W.unboundedPreceding, 0)
+    placed = first.withColumns({"n": F.row_number().over(by_position), "released": F.max("arrival").over(so_far), "highs_below": F.sum("new_high").over(so_far)})
+    freed = placed.where(F.col("sequence") - F.col("anchor") == F.col("n") - 1).groupBy(key, F.col("released").alias("arrival"))
+    freed = freed.agg(F.count("*").alias("n_ready"), F.max("sequence").alias("top"), F.max("highs_below").alias("top_highs"))
+    both = seen.join(freed, [key, "arrival"], "left")
+    both = both.withColumns({"now": F.last("top", ignorenulls=True).over(up_to), "now_highs": F.last("top_highs", ignorenulls=True).over(up_to)})
+    missing = F.col("high") - F.col("now") - (F.col("highs") - F.col("now_highs"))
+    status = F.when(F.col("n_ready").isNotNull(), "in_order").when((F.col("copy") > 1) | (F.col("sequence") < F.col("anchor")), "duplicate").otherwise("gap")
+    correction = F.when(F.col("copy") == 1, "original").when(F.col("was").eqNullSafe(F.col("content")) & ~F.col("flagged"), "unchanged").otherwise("correction")
+    told = both.select(key, "arrival", "sequence", status.alias("status"), (missing == 0).alias("healthy"), F.coalesce("n_ready", F.lit(0)).alias("n_ready"), missing.alias("n_missing"), correction.alias("correction"))
+    return told.unionByName(loose)
 
 
 def track_stream(events: DataFrame) -> DataFrame:
-    """Streaming form: the fold's state lives between micro-batches; a key's rows arrive in order of ``arrival``."""
+    """Streaming form: a stream's rows arrive in order of ``arrival``."""
+    return fold_stream(events, "stream_key", ["arrival"], TRACKED, SequenceFold, VERDICT)
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        fold = SequenceFold(json.loads(state.get[0]) if state.exists else None)
-        rows = pd.concat(list(batches)).sort_values("arrival")
-        yield _verdicts(key[0], fold, rows)
-        state.update((fold.dump(),))
 
-    return events.groupBy("stream_key").applyInPandasWithState(run, VERDICT, "fold string", "append", GroupStateTimeout.NoTimeout)
+def correction_status(events: DataFrame, key: Sequence[str], order: str, content: str, flagged: Column | None = None) -> DataFrame:
+    """``correction`` of each row against the one before it under the same key: ``original``, ``unchanged``, ``correction``."""
+    w = W.partitionBy(*key).orderBy(order)
+    same = F.lag(content).over(w).eqNullSafe(F.col(content)) & ~(F.lit(False) if flagged is None else flagged)
+    return events.withColumn("correction", F.when(F.row_number().over(w) == 1, "original").when(same, "unchanged").otherwise("correction"))
 
 
 LIVE = "entity string, arrival long, sequence long, status string, needs_snapshot boolean, total long, n_applied long, n_corrections long"
+LIVE_INPUTS = ("arrival", "kind", "sequence", "amount")
 
 
-class LiveFold:
-    """A running total with snapshots, corrections and gaps.
+def live_totals(events: DataFrame, snapshot_first: bool = False) -> DataFrame:
+    """Batch form over (``entity``, ``arrival``, ``kind``, ``sequence``, ``amount``): a row per event."""
+    return fold(events, "entity", ["arrival"], LIVE_INPUTS, partial(LiveFold, snapshot_first=snapshot_first), LIVE)
 
-    A snapshot resets the total and the position.  A correction adds without advancing, also while a snapshot is
-    awaited.  A delta applies only right after the last position; behind it, it is a duplicate, and ahead of it, it is
-    dropped and a snapshot is awaited.
-    """
 
-    def __init__(self, snapshot_first: bool = False, state: dict | None = None):
-        self.snapshot_first = snapshot_first
-        self.last, self.total, self.applied, self.corrected, self.awaiting = (state or {}).get("v", [None, 0, 0, 0, False])
-
-    def dump(self) -> str:
-        return json.dumps({"v": [self.last, self.total, self.applied, self.corrected, self.awaiting]})
-
-    def apply(self, kind: str, sequence: int | None, amount: int) -> str:
-        if kind == "snapshot":
-            self.total, self.awaiting = amount, False
-            self.last = sequence if sequence is not None else self.last
-            status = "snapshot_applied"
-        elif kind == "correction":
-            self.total += amount
-            self.corrected += 1
-            status = "correction_applied"
-        elif sequence is None:
-            self.total += amount
-            status = "unsequenced"
-        elif (self.last is None and not self.snapshot_first) or (self.last is not None and sequence == self.last + 1):
-            self.total += amount
-            self.last = sequence
-            status = "applied"
-        elif self.last is not None and sequence <= self.last:
-            return "duplicate"
-        else:
-            self.awaiting = True
-            return "gap_detected"
-        self.applied += 1
-        return status
+def live_totals_stream(events: DataFrame, snapshot_first: bool = False) -> DataFrame:
+    return fold_stream(events, "entity", ["arrival"], LIVE_INPUTS, partial(LiveFold, snapshot_first=snapshot_first), LIVE)
 
 
-def live_totals(events: DataFrame, snapshot_first: bool = False) -> DataFrame:
-    """Batch form over (``entity``, ``arrival``, ``kind``, ``sequence``, ``amount``): a row per event."""
+PACED = "key long, request long, at_us long, granted_us long"
+ALLOWED = "key long, request long, allowed boolean"
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        fold, out = LiveFold(snapshot_first), []
-        for arrival, kind, sequence, amount in rows.sort_values("arrival")[["arrival", "kind", "sequence", "amount"]].itertuples(index=False):
-            number = None if pd.isna(sequence) else int(sequence)
-            status = fold.apply(kind, number, int(amount))
-            out.append((key[0], int(arrival), number, status, fold.awaiting, fold.total, fold.applied, fold.corrected))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in LIVE.split(", ")]).astype({"sequence": "Int64"})
 
-    return events.groupBy("entity").applyInPandas(run, LIVE)
+def _pace(per_window: int, window_s: int, spacing_s: float):
+    return partial(PaceFold, per_window=per_window, window_us=window_s * 1_000_000, spacing_us=int(spacing_s * 1e6))
 
 
 def paced(requests: DataFrame, per_window: int, window_s: int, spacing_s: float = 0.0) -> DataFrame:
@@ -165,33 +91,17 @@ def paced(requests: DataFrame, per_window: int, window_s: int, spacing_s: float
     At most ``per_window`` grants lie in any trailing window; a request waits for the oldest of them to leave it and
     for the spacing from the last grant.
     """
+    return fold(requests, "key", ["at_us", "request"], ["at_us", "request"], _pace(per_window, window_s, spacing_s), PACED)
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        granted: list[int] = []
-        for at in rows.sort_values(["at_us", "request"])["at_us"].tolist():
-            go = at
-            if granted:
-                go = max(go, granted[-1] + int(spacing_s * 1e6))
-            if len(granted) >= per_window:
-                go = max(go, granted[-per_window] + window_s * 1_000_000)
-            granted.append(go)
-        ordered = rows.sort_values(["at_us", "request"])
-        return pd.DataFrame({"key": key[0], "request": ordered["request"], "at_us": ordered["at_us"], "granted_us": granted})
 
-    return requests.groupBy("key").applyInPandas(run, "key long, request long, at_us long, granted_us long")
+def paced_stream(requests: DataFrame, per_window: int, window_s: int, spacing_s: float = 0.0) -> DataFrame:
+    return fold_stream(requests, "key", ["at_us", "request"], ["at_us", "request"], _pace(per_window, window_s, spacing_s), PACED)
 
 
 def token_bucket(requests: DataFrame, rate_per_s: float, capacity: float) -> DataFrame:
     """Token bucket per key: whether each request finds a token; tokens refill with time up to the capacity."""
+    return fold(requests, "key", ["at_us", "request"], ["at_us", "request"], partial(BucketFold, rate_per_s=rate_per_s, capacity=capacity), ALLOWED)
+
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        ordered = rows.sort_values(["at_us", "request"])
-        tokens, last, out = capacity, None, []
-        for at in ordered["at_us"].tolist():
-            tokens = min(capacity, tokens + (0 if last is None else (at - last) / 1e6 * rate_per_s))
-            last = at
-            out.append(tokens >= 1)
-            tokens -= 1 if tokens >= 1 else 0
-        return pd.DataFrame({"key": key[0], "request": ordered["request"], "allowed": out})
-
-    return requests.groupBy("key").applyInPandas(run, "key long, request long, allowed boolean")
+def token_bucket_stream(requests: DataFrame, rate_per_s: float, capacity: float) -> DataFrame:
+    return fold_stream(requests, "key", ["at_us", "request"], ["at_us", "request"], partial(BucketFold, rate_per_s=rate_per_s, capacity=capacity), ALLOWED)
