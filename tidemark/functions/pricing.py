@@ -106,3 +106,14 @@ def decision(rows: dict[str, Column], min_edge: float, watch_margin: float) -> t
 
 def allowed_size(exposure: Column, desired: Column, limit: float) -> Column:
     return F.greatest(F.lit(0.0), F.least(desired, F.lit(limit) - exposure))
+
+
+def valid_price(price: Column) -> Column:
+    return price.between(1, 99)
+
+
+def ladder_problem(ladder: Column) -> Column:
+    """Why an array of (price, size) is no ladder: a price outside 1 to 99, a negative size, a price twice; null if it is one."""
+    prices = F.transform(ladder, lambda x: x["price"])
+    out = F.when(~F.forall(ladder, lambda x: F.coalesce(x["price"].between(1, 99), F.lit(False))), "price_out_of_range")
+    return out.when(~F.forall(ladder, lambda x: F.coalesce(x["size"] >= 0, F.lit(False))), "negative_size").when(F.size(prices) != F.size(F.array_distinct(prices)), "duplicate_level")

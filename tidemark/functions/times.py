@@ -69,3 +69,35 @@ def parse_instant(text: Column) -> tuple[Column, Column]:
     digits = text.rlike(r"^\d{9,10}$")
     at = F.when(digits, F.timestamp_seconds(F.when(digits, text).cast("long"))).otherwise(F.try_to_timestamp(F.when(text.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)$"), text)))
     return at, F.when(text.isNull() | (F.trim(text) == ""), "missing").when(at.isNull(), "malformed").otherwise("ok")
+
+
+# The letters of North American zones by their standard offset in hours.
+ZONE_LETTERS = {-5: "E", -6: "C", -7: "M", -8: "P", -9: "AK", -10: "H"}
+
+
+def wall_clock(day: Column, clock: Column, zone: Column, abbreviation: Column | None = None) -> tuple[Column, Column]:
+    """(UTC instant, reason): a local wall time in its zone; null with a reason where the zone is unknown, the time does not
+    exist or comes twice there, or a stated abbreviation such as ``EDT`` is not the zone's at that time.
+
+    The offsets a day before and a day after give the instants that the wall time may mean; exactly one must lead back.
+    """
+    known = F.coalesce(zone.rlike(r"^[A-Za-z]+(/[A-Za-z_+\-0-9]+)+$|^UTC$"), F.lit(False))
+    wall = F.to_timestamp_ntz(F.concat_ws(" ", day.cast("string"), clock), F.lit("yyyy-MM-dd HH:mm"))
+    safe = F.when(known, zone).otherwise("UTC")
+    local = lambda utc: F.convert_timezone(F.lit("UTC"), safe, utc)
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    offset = lambda utc: micros(local(utc)) - micros(utc)
+    at = F.convert_timezone(safe, F.lit("UTC"), wall)
+    meant = [F.timestamp_micros(micros(wall) - offset(at + F.expr(f"INTERVAL {d} DAY"))).cast("timestamp_ntz") for d in (-1, 1)]
+    fits = [local(m) == wall for m in meant]
+    one = (fits[0] != fits[1]) | (fits[0] & (meant[0] == meant[1]))
+    reason = F.when(~known, "unknown_zone").when(wall.isNull(), "malformed").when(~one, "ambiguous_or_missing")
+    if abbreviation is not None:
+        on = lambda month: offset(F.make_timestamp_ntz(F.year(wall), F.lit(month), F.lit(1), F.lit(12), F.lit(0), F.lit(0)))
+        standard = F.least(on(1), on(7))
+        letters = F.lit(None).cast("string")
+        for hours, name in ZONE_LETTERS.items():
+            letters = F.when(standard == hours * 3_600_000_000, name).otherwise(letters)
+        named = F.concat(letters, F.when(offset(at) > standard, "DT").otherwise("ST"))
+        reason = reason.when(abbreviation != named, "abbreviation_differs")
+    return F.when(reason.isNull(), at), reason

@@ -76,3 +76,27 @@ def violations(df: DataFrame, rules: Sequence[tuple[str, Column]], row_id: str)
     """Every broken rule of every row, as rows."""
     broken = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules]), lambda r: r.isNotNull())
     return df.select(row_id, F.explode(broken).alias("rule"))
+
+
+#: What makes a row a frame of tracking data rather than an event.
+FRAME_COLUMNS = {"frame_time": None, "player_id": None, "x": ("double", "float"), "y": ("double", "float")}
+
+
+def require_frames(df: DataFrame) -> DataFrame:
+    """The rows, if their schema is that of frames; event data is refused before anything runs."""
+    types = dict(df.dtypes)
+    wrong = [c for c, kinds in FRAME_COLUMNS.items() if c not in types or (kinds and types[c] not in kinds)]
+    if wrong:
+        raise TypeError(f"frame data needs the columns {', '.join(wrong)}")
+    return df
+
+
+def frame_manifest(frames: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """One row per partition of frames: rows, first and last instant, and a digest that needs no order."""
+    digest = F.sum(F.xxhash64(*frames.columns).cast("decimal(38,0)"))
+    return frames.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.min(time).alias("first_at"), F.max(time).alias("last_at"), digest.alias("digest"))
+
+
+def upsert_manifest(held: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """The manifest with new entries in place of those of the same partition."""
+    return held.join(new.select(*keys), keys, "left_anti").unionByName(new)
