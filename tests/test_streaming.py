@@ -132,8 +132,7 @@ def test_folds_as_streams_equal_batch(spark, tmp_path, name):
     names = [c.split()[0] for c in schema.split(", ")]
     for part in range(3):
         (source / f"{part}.json").write_text("".join(json.dumps(dict(zip(names, r))) + "\n" for r in rows[part * 10 : part * 10 + 10]))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source))
-    q = stream_form(stream, **options).writeStream.option("checkpointLocation", str(tmp_path / "ck")).format("parquet").trigger(availableNow=True).start(str(tmp_path / "out"))
-    q.awaitTermination(120)
+        stream = spark.readStream.schema(schema).json(str(source))
+        stream_form(stream, **options).writeStream.option("checkpointLocation", str(tmp_path / "ck")).format("parquet").trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination(120)
     want = batch(spark.createDataFrame(rows, schema), **options)
     assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).select(*want.columns).collect())) == sorted(map(str, want.collect()))

@@ -82,7 +82,8 @@ def wall_clock(day: Column, clock: Column, zone: Column, abbreviation: Column |
     The offsets a day before and a day after give the instants that the wall time may mean; exactly one must lead back.
     """
     known = F.coalesce(zone.rlike(r"^[A-Za-z]+(/[A-Za-z_+\-0-9]+)+$|^UTC$"), F.lit(False))
-    wall = F.to_timestamp_ntz(F.concat_ws(" ", day.cast("string"), clock), F.lit("yyyy-MM-dd HH:mm"))
+    good = day.isNotNull() & F.coalesce(clock.rlike(r"^([01]\d|2[0-3]):[0-5]\d$"), F.lit(False))
+    wall = F.to_timestamp_ntz(F.when(good, F.concat_ws(" ", day.cast("string"), clock)), F.lit("yyyy-MM-dd HH:mm"))
     safe = F.when(known, zone).otherwise("UTC")
     local = lambda utc: F.convert_timezone(F.lit("UTC"), safe, utc)
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
@@ -98,6 +99,6 @@ def wall_clock(day: Column, clock: Column, zone: Column, abbreviation: Column |
         letters = F.lit(None).cast("string")
         for hours, name in ZONE_LETTERS.items():
             letters = F.when(standard == hours * 3_600_000_000, name).otherwise(letters)
-        named = F.concat(letters, F.when(offset(at) > standard, "DT").otherwise("ST"))
-        reason = reason.when(abbreviation != named, "abbreviation_differs")
+        named = F.when(safe == "UTC", "UTC").otherwise(F.concat(letters, F.when(offset(at) > standard, "DT").otherwise("ST")))
+        reason = reason.when(abbreviation.isNotNull() & named.isNull(), "abbreviation_unknown").when(abbreviation != named, "abbreviation_differs")
     return F.when(reason.isNull(), at), reason

@@ -39,14 +39,14 @@ def _of(path: str, side: Column) -> Column:
 
 
 def baseball_effects() -> Column:
-    """Effects of an envelope of a baseball game, by its ``event_type``."""
+    """Effects of an envelope of a baseball game, by its ``event_type``; ``current_pitcher`` is who pitches then."""
     side, clear = F.coalesce(payload("team"), F.lit("home")), [effect(b, "set", F.lit("")) for b in ("1B", "2B", "3B")]
     amount = lambda name, default: F.coalesce(payload(name).cast("long"), F.lit(default))
     bases = [effect(b, "set", F.when(F.col("payload").contains(f'"{b}"'), F.coalesce(payload(b), F.lit("")))) for b in ("1B", "2B", "3B")]
     rules = {
         "lineup": [effect(_of("order", side), "set", payload("order"))],
         "at_bat": [effect("batter", "set", payload("batter")), effect("pitcher", "set", payload("pitcher"))],
-        "pitch": [effect("pitches", "add", amount("count", 1)), effect(_of("pitches", payload("pitcher")), "add", amount("count", 1))],
+        "pitch": [effect("pitches", "add", amount("count", 1)), effect(_of("pitches", F.coalesce(payload("pitcher"), F.col("current_pitcher"))), "add", amount("count", 1))],
         "out": [effect("outs", "add", amount("outs", 1))],
         "score": [effect(_of("score", side), "add", amount("runs", 1))],
         "bases": bases,
@@ -59,6 +59,14 @@ def baseball_effects() -> Column:
     return _chosen(rules, [*restated, *[effect(b, "set", payload(f"bases.{b}")) for b in ("1B", "2B", "3B")]])
 
 
+def baseball_fields(events: DataFrame, order: Sequence[str], entity: str = "entity") -> DataFrame:
+    """Fields of baseball games; pitches that name nobody are those of the pitcher last named."""
+    kind = F.col("event_type")
+    named = F.when(kind.isin("at_bat", "pitching_change", "snapshot", "correction"), payload("pitcher"))
+    w = W.partitionBy(entity).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    return fields(events.withColumn("current_pitcher", F.last(named, ignorenulls=True).over(w)), baseball_effects(), order, entity)
+
+
 def basketball_effects() -> Column:
     """Effects of an envelope of a basketball game, by its ``event_type``."""
     side = F.coalesce(payload("team"), F.lit("home"))

@@ -94,3 +94,15 @@ def append_only_violations(before: DataFrame, after: DataFrame, row_id: str, con
     new = after.select(row_id, F.sha2(content, 256).alias("now"))
     found = old.join(new, row_id, "left")
     return found.where("now IS NULL OR now <> was").select(row_id, F.when(F.col("now").isNull(), "deleted").otherwise("changed").alias("violation"))
+
+
+def issues(events: DataFrame, key: Sequence[str], time: str, row_id: str, resolves: Column) -> DataFrame:
+    """Data-quality issues as intervals: an event opens one unless one is open, a resolving event closes it.
+
+    One window on the key: a run of openings counts from its first, and the first resolution after it ends it.
+    """
+    w = W.partitionBy(*key).orderBy(time, row_id)
+    marked = events.withColumn("__end", resolves)
+    starts = marked.withColumn("__new", ~F.col("__end") & F.coalesce(F.lag("__end").over(w), F.lit(True)))
+    runs = starts.withColumn("__run", F.sum(F.col("__new").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))).where("__run > 0")
+    return runs.groupBy(*key, "__run").agg(F.min(time).alias("detected_at"), F.min(F.when(F.col("__end"), F.col(time))).alias("resolved_at"), F.count_if(~F.col("__end")).alias("n_seen")).drop("__run")

@@ -131,3 +131,10 @@ def newest_state(df: DataFrame, key: Sequence[str], time: str, precedence: Colum
     """The state of each key at its newest time, by precedence where several hold."""
     w = W.partitionBy(*key).orderBy(F.desc(time), precedence, F.asc(state))
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").select(*key, time, state)
+
+
+def capability(declared: DataFrame, observed: DataFrame, key: Sequence[str], state: str) -> DataFrame:
+    """What a provider says it can do against what was seen: ``confirmed``, ``contradicted``, ``unobserved``, ``undeclared``."""
+    both = declared.select(*key, F.col(state).alias("declared")).join(observed.select(*key, F.col(state).alias("observed")), list(key), "full_outer")
+    verdict = first_reason([("undeclared", F.col("declared").isNull()), ("unobserved", F.col("observed").isNull()), ("confirmed", F.col("declared") == F.col("observed"))])
+    return both.withColumn("verdict", F.coalesce(verdict, F.lit("contradicted")))

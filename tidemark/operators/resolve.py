@@ -70,3 +70,13 @@ def canonical(links: DataFrame, decisions: DataFrame, link_id: str, target: str,
 def review_available(flagged: Column, reviewed_at: Column, cutoff: Column) -> Column:
     """Not while flagged; once reviewed, from then on; otherwise yes."""
     return F.when(flagged, False).when(reviewed_at.isNotNull(), reviewed_at <= cutoff).otherwise(True)
+
+
+def window_matches(left: DataFrame, right: DataFrame, key: Sequence[str], left_id: str, right_id: str, left_time: str, right_time: str, windows_s: Sequence[int], differ: Sequence[str] = ()) -> DataFrame:
+    """``window_tiers`` of pairs that differ in the columns ``differ``, such as the provider: a source is not matched with
+    itself.  The columns travel with the ids and are compared after the bucket join."""
+    tag = lambda df, i, name: df.withColumn(name, F.struct(i, *differ))
+    pairs = window_tiers(tag(left, left_id, "__l"), tag(right, right_id, "__r"), key, "__l", "__r", left_time, right_time, windows_s)
+    for c in differ:
+        pairs = pairs.where(~F.col(f"__l.{c}").eqNullSafe(F.col(f"__r.{c}")))
+    return pairs.select(F.col(f"__l.{left_id}").alias(left_id), F.col(f"__r.{right_id}").alias(right_id), "tier")

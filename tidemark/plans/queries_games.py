@@ -40,7 +40,7 @@ CAST(coalesce(max(CASE WHEN n = ss THEN k END), 0) + coalesce(sum(k % 4) FILTER
 CAST(arg_max(1 + k % 9, n) FILTER (m = 3) AS VARCHAR) AS inning, arg_max(CASE WHEN k % 2 = 0 THEN 'top' ELSE 'bottom' END, n) FILTER (m = 3) AS half, arg_max(CASE WHEN m = 4 AND k % 2 = 1 THEN 'R' || k ELSE '' END, n) FILTER (m IN (3, 4)) AS first_base,
 CAST(coalesce(sum(1 + k % 3) FILTER (m = 0), 0) AS VARCHAR) AS pitches, arg_max('B' || k, n) FILTER (m = 5) AS batter FROM e JOIN x USING (entity) GROUP BY 1""")
 def baseball_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = games.fields(_baseball(spark, sf_dir), games.baseball_effects(), ORDER)
+    state = games.baseball_fields(_baseball(spark, sf_dir), ORDER)
     wide = state.groupBy("entity").pivot("field", ["outs", "score.home", "score.away", "inning", "half", "1B", "pitches", "batter"]).agg(F.first("value"))
     none = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit("0"))
     return wide.select("entity", none("outs").alias("outs"), none("score.home").alias("home"), none("score.away").alias("away"), "inning", "half", F.col("1B").alias("first_base"), none("pitches").alias("pitches"), "batter")

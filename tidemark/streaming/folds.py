@@ -222,3 +222,61 @@ class BucketFold:
         allowed = self.tokens >= 1
         self.tokens -= 1 if allowed else 0
         return request, allowed
+
+
+class PipelineFold:
+    """What a delivery of an event does, in this order: schema gate, content dedup, redelivery, correction, sequence.
+
+    Gives (arrival, action, status, events delivered).  ``action`` is ``ack``, ``retry`` or ``term``; a failing handler is
+    retried until ``most`` deliveries and then goes to the dead letters.  Contents count as processed once delivered, so a
+    retry is not a duplicate.  Held back are only the events beyond a gap; contents known are the last ``keep``.
+    """
+
+    def __init__(self, state: dict | None = None, most: int = 3, keep: int = 10_000):
+        s = state or {}
+        self.most, self.keep = most, keep
+        self.processed: dict[str, None] = dict.fromkeys(s.get("processed", ()))
+        self.contents: dict[int, str] = {int(k): v for k, v in s.get("contents", {}).items()}
+        self.held: dict[int, list] = {int(k): v for k, v in s.get("held", {}).items()}
+        self.sequence = SequenceFold(s.get("sequence"), keep=0)
+
+    def dump(self) -> dict:
+        return {"processed": list(self.processed), "contents": self.contents, "held": self.held, "sequence": self.sequence.dump()}
+
+    def _deliver(self, ready: list, deliveries: int, status: str) -> tuple[str, str, int]:
+        for done, (content, fails) in enumerate(ready):
+            if fails:
+                return ("term", "dead_letter", done) if deliveries >= self.most else ("retry", "retry", done)
+            self.processed[content] = None
+            while len(self.processed) > self.keep:
+                self.processed.pop(next(iter(self.processed)))
+        return "ack", status, len(ready)
+
+    def step(self, arrival: int, supported: bool, content: str, redelivered: bool, corrects: bool, sequence: int | None, fails: bool, deliveries: int) -> tuple:
+        return arrival, *self._decide(supported, content, redelivered, corrects, sequence, fails, deliveries)
+
+    def _decide(self, supported: bool, content: str, redelivered: bool, corrects: bool, sequence: int | None, fails: bool, deliveries: int) -> tuple[str, str, int]:
+        if not supported:
+            return "term", "schema_mismatch", 0
+        if content in self.processed:
+            return "ack", "duplicate", 0
+        one = [(content, fails)]
+        if redelivered:
+            return self._deliver(one, deliveries, "delivered")
+        if sequence is None:
+            return self._deliver(one, deliveries, "correction" if corrects else "delivered")
+        known = self.contents.get(sequence)
+        self.contents[sequence] = content
+        while len(self.contents) > self.keep:
+            self.contents.pop(next(iter(self.contents)))
+        if corrects or (known is not None and known != content):
+            return self._deliver(one, deliveries, "correction")
+        before = self.sequence.expected
+        status, released = self.sequence.step(0, sequence, content)[2], self.sequence.expected
+        if status == "duplicate":
+            return "ack", "duplicate", 0
+        if status == "gap":
+            self.held[sequence] = [content, fails]
+            return "ack", "buffered_gap", 0
+        first = sequence if before is None else before
+        return self._deliver(one + [tuple(self.held.pop(n)) for n in range(first + 1, released) if n in self.held], deliveries, "delivered")

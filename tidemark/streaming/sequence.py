@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.streaming.folds import BucketFold, LiveFold, PaceFold, SequenceFold, fold, fold_stream
+from tidemark.streaming.folds import BucketFold, LiveFold, PaceFold, PipelineFold, SequenceFold, fold, fold_stream
 
 VERDICT = "stream_key string, arrival long, sequence long, status string, healthy boolean, n_ready long, n_missing long, correction string"
 TRACKED = ("arrival", "sequence", "content", "flagged")
@@ -105,3 +105,16 @@ def token_bucket(requests: DataFrame, rate_per_s: float, capacity: float) -> Dat
 
 def token_bucket_stream(requests: DataFrame, rate_per_s: float, capacity: float) -> DataFrame:
     return fold_stream(requests, "key", ["at_us", "request"], ["at_us", "request"], partial(BucketFold, rate_per_s=rate_per_s, capacity=capacity), ALLOWED)
+
+
+PIPELINE = "stream_key string, arrival long, action string, status string, n_delivered long"
+PIPELINE_INPUTS = ("arrival", "supported", "content", "redelivered", "corrects", "sequence", "fails", "deliveries")
+
+
+def pipeline(events: DataFrame, most: int = 3) -> DataFrame:
+    """Batch form of the event pipeline, see ``PipelineFold``; dead letters are the rows with action ``term``."""
+    return fold(events, "stream_key", ["arrival"], PIPELINE_INPUTS, partial(PipelineFold, most=most), PIPELINE)
+
+
+def pipeline_stream(events: DataFrame, most: int = 3) -> DataFrame:
+    return fold_stream(events, "stream_key", ["arrival"], PIPELINE_INPUTS, partial(PipelineFold, most=most), PIPELINE)
