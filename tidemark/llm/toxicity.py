@@ -37,6 +37,7 @@ LEAST_MATCH = 5  # bytes of the shortest match that compression takes
 #: Bytes of a dictionary: segments of its class, and common words.  What may be collected: leaning grams, segments.
 OWN_BYTES, COMMON_BYTES = 2048, 2048
 MOST_GRAMS, MOST_SEGMENTS = 50_000, 20_000
+MOST_HELD = 100_000  # strings that a task counts at a time; the sums of what it tells are the same
 #: Longer runs of word characters, as in scripts without spaces, are taken as overlapping words of so many characters.
 WORD_CHARS, WORD_STEP = 24, 16
 WINDOW_WORDS = 2
@@ -147,13 +148,21 @@ def _count(make):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, bytes], list[int]] = {}
+
+        def told() -> pa.RecordBatch:
+            kinds, strings = zip(*counts, strict=True)
+            out = pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(strings, pa.binary()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))], names=["kind", "string", "n0", "n1"])
+            counts.clear()
+            return out
+
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for key in make(y, text):
                     counts.setdefault(key, [0, 0])[y] += 1
+                if len(counts) > MOST_HELD:
+                    yield told()
         if counts:
-            kinds, strings = zip(*counts, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(strings, pa.binary()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))], names=["kind", "string", "n0", "n1"])
+            yield told()
 
     return run
 
