@@ -148,3 +148,19 @@ def test_backtest_by_hand(spark):
     got = {r.latency_us: r for r in games.backtest(books, triggers, "market", "ts", "n", F.col("fair") > F.col("yes_ask"), F.col("fair") - 7, "fair", [0, 6_000_000, 26_000_000]).collect()}
     assert [(got[k].n_orders, got[k].n_actionable, got[k].n_fills) for k in sorted(got)] == [(2, 1, 1), (2, 1, 0), (2, 0, 0)]
     assert got[0].mean_profit == 5.0 and got[0].mean_clv == 4.0 and got[0].mean_edge == 13.0
+
+
+def test_filters_and_evidence(spark):
+    from tidemark.plans import registry
+
+    df = spark.createDataFrame([(1, "ab"), (2, "b"), (3, None)], "n int, s string")
+    assert [r.n for r in df.where(registry.filters({"n": {"at_least": 1, "one_of": [1, 3]}, "s": {"starts": "a"}})).collect()] == [1]
+    assert df.where(registry.filters({"s": {"equal": None}})).count() == 1 and df.where(registry.filters({})).count() == 3
+    with pytest.raises(registry.PolicyError):
+        registry.filters({"n": {"near": 1}})
+    cited = registry.cite("plays", df.withColumnRenamed("n", "play_id"))
+    assert registry.lane_digest("reconstructed", cited).first().n_rows == 3
+    with pytest.raises(Exception, match="not of lane"):
+        registry.lane_digest("forward", cited).collect()
+    with pytest.raises(registry.PolicyError):
+        registry.cite("labels", df)

@@ -100,3 +100,28 @@ def margin_features(s: dict[str, Column]) -> dict[str, Column]:
         "possession": F.when(s["possession"] == "home", 1.0).when(s["possession"] == "away", -1.0).otherwise(0.0), "pace_norm": s["pace"] / 100, "timeouts_home": s["timeouts_home"] / 7, "timeouts_away": s["timeouts_away"] / 7,
         "fouls": (s["fouls_home"] - s["fouls_away"]) / 5, "strength": (s["strength_home"] - s["strength_away"]) / 10, "availability": s["availability_home"] - s["availability_away"],
     }
+
+
+def trade_problem(price: Column, complement: Column, count: Column, side: Column) -> Column:
+    """Why a trade print cannot be kept; null where it can."""
+    out = F.when(price.isNull() & complement.isNull(), "no_price").when(~F.coalesce(price, 100 - complement).between(1, 99), "price_out_of_range")
+    out = out.when(price + complement != 100, "prices_disagree").when(F.coalesce(count, F.lit(0)) <= 0, "no_quantity")
+    return out.when(side.isNotNull() & ~side.isin("yes", "no"), "unknown_side")
+
+
+def market_problem(ticker: Column, event: Column, opens: Column, closes: Column, status: Column) -> Column:
+    """Why a market cannot be kept; null where it can."""
+    out = F.when(F.coalesce(F.trim(ticker), F.lit("")) == "", "no_ticker").when(~F.startswith(ticker, event), "ticker_of_other_event").when(opens > closes, "closes_before_open")
+    return out.when(~status.isin("open", "closed", "settled", "halted"), "unknown_status")
+
+
+def order_problem(side: Column, price: Column, size: Column, quote: Column, active: Column, same_as_last: Column) -> Column:
+    """Why a decided order is not sent: malformed, off its quote, or a repetition of one that still stands; null where it is."""
+    out = F.when(~F.coalesce(side.isin("yes", "no"), F.lit(False)), "unknown_side").when(~F.coalesce(price.between(1, 99), F.lit(False)), "price_out_of_range").when(F.coalesce(size, F.lit(0)) <= 0, "no_size")
+    return out.when(quote.isNull(), "no_quote").when(price > quote, "above_quote").when(active & same_as_last, "resubmission")
+
+
+def postponement(before: Column, after: Column) -> Column:
+    """The change that a game's new status is: ``postponed``, ``resumed``, or null."""
+    gone = lambda c: F.coalesce(c.isin("postponed", "suspended", "cancelled"), F.lit(False))
+    return F.when(~gone(before) & gone(after), "postponed").when(gone(before) & ~gone(after), "resumed")

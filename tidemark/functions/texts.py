@@ -110,3 +110,30 @@ def lookup(value: Column, table: dict[str, object], default=None) -> Column:
     for k, v in table.items():
         out = F.when(value == k, F.lit(v)) if out is None else out.when(value == k, F.lit(v))
     return out.otherwise(F.lit(default))
+
+
+def ticker_parts(ticker: Column) -> Column:
+    """(series, date, clock, teams, suffix) of ``SERIES-YYMONDD[HHMM]TEAMS[-SUFFIX]``; null where it is none."""
+    pattern = r"^([A-Z0-9]+)-(\d{2}[A-Z]{3}\d{2})(\d{4})?([A-Z]+)(?:-([A-Z0-9.]+))?$"
+    part = lambda n: F.nullif(F.regexp_extract(ticker, pattern, n), F.lit(""))
+    clock = F.concat_ws(":", F.substring(part(3), 1, 2), F.substring(part(3), 3, 2))
+    return F.when(ticker.rlike(pattern), F.struct(part(1).alias("series"), ticker_date(ticker).alias("date"), F.when(part(3).isNotNull(), clock).alias("clock"), part(4).alias("teams"), part(5).alias("suffix")))
+
+
+def rules_text(text: Column) -> Column:
+    """(team, opponent, day, clock, zone) that a market's rules name; null parts where they are silent."""
+    names = r"(?i)if (?:the )?(.+?) wins? .*?(?:against|versus|vs\.?) (?:the )?(.+?) (?:game|scheduled|originally|on )"
+    day, clock = r"(?i)\b((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]* \d{1,2}, \d{4})", r"(?i)\b(\d{1,2}:\d{2} ?[AP]M) ?([A-Z]{2,4})?"
+    get = lambda p, n: F.nullif(F.regexp_extract(text, p, n), F.lit(""))
+    return F.struct(get(names, 1).alias("team"), get(names, 2).alias("opponent"), get(day, 1).alias("day"), F.upper(get(clock, 1)).alias("clock"), get(clock, 2).alias("zone"))
+
+
+def bound_alias(name: Column, suffix: Column, held: Column, held_suffix: Column) -> Column:
+    """Whether an alias is a name's: equal, and with the same suffix where either side states one."""
+    return (name == held) & (F.coalesce(suffix, F.lit("")) == F.coalesce(held_suffix, F.lit("")))
+
+
+def period_scores(text: Column) -> Column:
+    """(period, home, away) rows of a JSON map of periods, overtime keys as they come, in order of the key."""
+    entries = F.map_entries(F.from_json(text, "map<string,struct<home:long,away:long>>"))
+    return F.array_sort(F.transform(entries, lambda e: F.struct(e["key"].alias("period"), e["value"]["home"].alias("home"), e["value"]["away"].alias("away"))))

@@ -102,3 +102,17 @@ def wall_clock(day: Column, clock: Column, zone: Column, abbreviation: Column |
         named = F.when(safe == "UTC", "UTC").otherwise(F.concat(letters, F.when(offset(at) > standard, "DT").otherwise("ST")))
         reason = reason.when(abbreviation.isNotNull() & named.isNull(), "abbreviation_unknown").when(abbreviation != named, "abbreviation_differs")
     return F.when(reason.isNull(), at), reason
+
+
+def rule_instant(rule: Column, digest: Column, completed: Column, rules: dict[str, tuple[int, str]]) -> Column:
+    """When an event's data count as available under a rule (name -> hours of lag, digest); null for another rule or digest."""
+    out = F.lit(None).cast("timestamp_ntz")
+    for name, (hours, held) in rules.items():
+        out = F.when((rule == name) & (digest == held), available_at(completed, F.lit(hours)).cast("timestamp_ntz")).otherwise(out)
+    return out
+
+
+def latency_ns(first: Column, second: Column) -> Column:
+    """Nanoseconds from one instant to another; null where either is, or where time runs backwards."""
+    gap = (F.unix_micros(second.cast("timestamp")) - F.unix_micros(first.cast("timestamp"))) * 1000
+    return F.when(gap >= 0, gap)

@@ -82,3 +82,25 @@ def movement_speed(reported: Column, vx: Column, vy: Column, vz: Column) -> Colu
 def roof_applies(roof: Column) -> Column:
     """Whether weather reaches the field; null where the roof is unknown or can be either way."""
     return F.when(roof == "open", True).when(roof.isin("fixed", "closed", "dome"), False)
+
+
+def noted(value: Column, unit: Column, converted: Column, known: tuple[str, ...], low: float | None = None) -> Column:
+    """Why a measure is null: ``missing``, ``range``, ``unknown_unit``, ``no_number``, ``out_of_range``; null where it is not."""
+    plain = number(value)
+    out = F.when(value.isNull() | (F.trim(value) == ""), "missing").when(is_range(value), "range").when(~unit_name(unit).isin(*known), "unknown_unit").when(plain.isNull(), "no_number")
+    return (out if low is None else out.when(plain < low, "out_of_range")).when(converted.isNull(), "out_of_range")
+
+
+def pitch_movement(pfx_x: Column, pfx_z: Column) -> tuple[Column, Column, Column]:
+    """(horizontal, vertical, total) break in inches from feet; null where an input is."""
+    return pfx_x * 12, pfx_z * 12, F.hypot(pfx_x * 12, pfx_z * 12)
+
+
+def typed(text: Column) -> Column:
+    """A record's number; null, never zero, where it is blank or no number."""
+    return F.expr("1.0") * F.nullif(F.trim(text), F.lit("")).try_cast("double")
+
+
+def weather_provider(country: Column, roof: Column) -> Column:
+    """Which source covers a place: none needed under a roof, the national service in its country, else the world-wide one."""
+    return F.when(roof.isin("fixed", "closed", "dome"), "none").when(F.upper(country) == "US", "national").otherwise("global")

@@ -138,3 +138,41 @@ def capability(declared: DataFrame, observed: DataFrame, key: Sequence[str], sta
     both = declared.select(*key, F.col(state).alias("declared")).join(observed.select(*key, F.col(state).alias("observed")), list(key), "full_outer")
     verdict = first_reason([("undeclared", F.col("declared").isNull()), ("unobserved", F.col("observed").isNull()), ("confirmed", F.col("declared") == F.col("observed"))])
     return both.withColumn("verdict", F.coalesce(verdict, F.lit("contradicted")))
+
+
+def completion_verdict(plays: DataFrame, game: str, order: Sequence[str], state: str, time: str) -> DataFrame:
+    """When a game ended by its plays, or why they do not say: ``no_end``, ``plays_after_end``, ``several_ends``,
+    ``time_runs_back``; one window on the game and one aggregate."""
+    w = W.partitionBy(game).orderBy(*order)
+    end = F.col(state) == "end"
+    marked = plays.withColumns({"__back": F.coalesce(F.col(time) < F.lag(time).over(w), F.lit(False)), "__last": F.lead(F.lit(1)).over(w).isNull()})
+    per = marked.groupBy(game).agg(F.count("*").alias("n_plays"), F.count_if(end).alias("ends"), F.bool_or(end & ~F.col("__last")).alias("after"), F.bool_or("__back").alias("back"), F.max(F.when(end, F.col(time))).alias("at"))
+    why = first_reason([("no_end", F.col("ends") == 0), ("several_ends", F.col("ends") > 1), ("plays_after_end", F.col("after")), ("time_runs_back", F.col("back"))])
+    return per.select(game, "n_plays", F.when(why.isNull(), F.col("at")).alias("completed_at"), F.coalesce(why, F.lit("complete")).alias("verdict"))
+
+
+def certification_failures(expected: DataFrame, found: DataFrame, bytes_: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Every way in which an acquisition differs from its plan, in one list of (key, ``failure``): membership, a body that
+    is missing, a stored hash that is not the body's.  None means certified."""
+    body = found.join(bytes_.select(*key, F.col("body")), list(key), "left")
+    bad = body.where(F.col("body").isNull()).select(*key, F.lit("body_missing").alias("failure"))
+    off = body.where(F.sha2("body", 256) != F.col("body_hash")).select(*key, F.lit("hash_differs").alias("failure"))
+    return certify(expected, found, key).unionByName(bad).unionByName(off)
+
+
+def credit_bounds(families: DataFrame, requests_low: str, requests_high: str, cost_low: str, cost_high: str, cap: int, key: Sequence[str] = ()) -> DataFrame:
+    """Least and most requests and credits of a plan, and whether even the most keeps within a cap, only the least, or neither."""
+    per = families.groupBy(*key).agg(
+        F.sum(requests_low).alias("least_requests"), F.sum(requests_high).alias("most_requests"), F.sum(F.col(requests_low) * F.col(cost_low)).alias("least_credits"), F.sum(F.col(requests_high) * F.col(cost_high)).alias("most_credits")
+    )
+    return per.withColumn("verdict", F.when(F.col("most_credits") <= cap, "within").when(F.col("least_credits") <= cap, "may_exceed").otherwise("exceeds"))
+
+
+def identity_findings(games: DataFrame, key: str, teams: Sequence[str]) -> DataFrame:
+    """The first identity problem of every audited game: ``id_missing``, ``team_missing``, ``plays_itself``, ``id_reused``
+    (one id, several pairings), else ``clean``."""
+    home, away = teams
+    pairs = games.groupBy(key).agg(F.count_distinct(F.struct(*teams)).alias("__n"))
+    both = games.join(pairs, key, "left")
+    why = first_reason([("id_missing", F.col(key).isNull()), ("team_missing", F.col(home).isNull() | F.col(away).isNull()), ("plays_itself", F.col(home) == F.col(away)), ("id_reused", F.col("__n") > 1)])
+    return both.withColumn("finding", F.coalesce(why, F.lit("clean"))).drop("__n")
