@@ -83,25 +83,32 @@ def wall_clock(day: Column, clock: Column, zone: Column, abbreviation: Column |
     """
     known = F.coalesce(zone.rlike(r"^[A-Za-z]+(/[A-Za-z_+\-0-9]+)+$|^UTC$"), F.lit(False))
     good = day.isNotNull() & F.coalesce(clock.rlike(r"^([01]\d|2[0-3]):[0-5]\d$"), F.lit(False))
-    wall = F.to_timestamp_ntz(F.when(good, F.concat_ws(" ", day.cast("string"), clock)), F.lit("yyyy-MM-dd HH:mm"))
-    safe = F.when(known, zone).otherwise("UTC")
-    local = lambda utc: F.convert_timezone(F.lit("UTC"), safe, utc)
+    known = F.coalesce(zone.rlike(r"^[A-Za-z]+(/[A-Za-z_+\-0-9]+)+$|^UTC$"), F.lit(False))
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    offset = lambda utc: micros(local(utc)) - micros(utc)
-    at = F.convert_timezone(safe, F.lit("UTC"), wall)
-    meant = [F.timestamp_micros(micros(wall) - offset(at + F.expr(f"INTERVAL {d} DAY"))).cast("timestamp_ntz") for d in (-1, 1)]
-    fits = [local(m) == wall for m in meant]
-    one = (fits[0] != fits[1]) | (fits[0] & (meant[0] == meant[1]))
-    reason = F.when(~known, "unknown_zone").when(wall.isNull(), "malformed").when(~one, "ambiguous_or_missing")
-    if abbreviation is not None:
-        on = lambda month: offset(F.make_timestamp_ntz(F.year(wall), F.lit(month), F.lit(1), F.lit(12), F.lit(0), F.lit(0)))
-        standard = F.least(on(1), on(7))
-        letters = F.lit(None).cast("string")
-        for hours, name in ZONE_LETTERS.items():
-            letters = F.when(standard == hours * 3_600_000_000, name).otherwise(letters)
-        named = F.when(safe == "UTC", "UTC").otherwise(F.concat(letters, F.when(offset(at) > standard, "DT").otherwise("ST")))
-        reason = reason.when(abbreviation.isNotNull() & named.isNull(), "abbreviation_unknown").when(abbreviation != named, "abbreviation_differs")
-    return F.when(reason.isNull(), at), reason
+    offset = lambda z, utc: micros(F.convert_timezone(F.lit("UTC"), z, utc)) - micros(utc)
+    let = lambda value, use: F.transform(F.array(value), use)[0]  # noqa: E731  (names a value, so that it is computed once)
+
+    def read(s: Column) -> Column:
+        around = [offset(s["zone"], s["at"] + F.expr(f"INTERVAL {d} DAY")) for d in (-1, 1)]
+        on = [offset(s["zone"], F.make_timestamp_ntz(F.year(s["wall"]), F.lit(m), F.lit(1), F.lit(12), F.lit(0), F.lit(0))) for m in (1, 7)]
+        parts = F.struct(s["zone"].alias("zone"), s["wall"].alias("wall"), s["at"].alias("at"), around[0].alias("before"), around[1].alias("after"), offset(s["zone"], s["at"]).alias("now"), F.least(*on).alias("standard"))
+        return let(parts, judge)
+
+    def judge(s: Column) -> Column:
+        fits = [F.convert_timezone(F.lit("UTC"), s["zone"], F.timestamp_micros(micros(s["wall"]) - s[o]).cast("timestamp_ntz")) == s["wall"] for o in ("before", "after")]
+        one = (fits[0] != fits[1]) | (fits[0] & (s["before"] == s["after"]))
+        reason = F.when(~known, "unknown_zone").when(s["wall"].isNull(), "malformed").when(~one, "ambiguous_or_missing")
+        if abbreviation is not None:
+            letters = F.lit(None).cast("string")
+            for hours, name in ZONE_LETTERS.items():
+                letters = F.when(s["standard"] == hours * 3_600_000_000, name).otherwise(letters)
+            named = F.when(s["zone"] == "UTC", "UTC").otherwise(F.concat(letters, F.when(s["now"] > s["standard"], "DT").otherwise("ST")))
+            reason = reason.when(abbreviation.isNotNull() & named.isNull(), "abbreviation_unknown").when(abbreviation != named, "abbreviation_differs")
+        return let(reason, lambda why: F.struct(F.when(why.isNull(), s["at"]).alias("at"), why.alias("reason")))
+
+    first = F.struct(F.when(known, zone).otherwise("UTC").alias("zone"), F.to_timestamp_ntz(F.when(good, F.concat_ws(" ", day.cast("string"), clock)), F.lit("yyyy-MM-dd HH:mm")).alias("wall"))
+    found = let(first, lambda s: let(F.struct(s["zone"].alias("zone"), s["wall"].alias("wall"), F.convert_timezone(s["zone"], F.lit("UTC"), s["wall"]).alias("at")), read))
+    return found["at"], found["reason"]
 
 
 def rule_instant(rule: Column, digest: Column, completed: Column, rules: dict[str, tuple[int, str]]) -> Column:
