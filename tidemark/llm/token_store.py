@@ -251,7 +251,7 @@ def write_store(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "
     """Encode, append ``end_id`` to each document, write shards in ascending key order; returns folder and manifest.
 
     One range shuffle of the texts on the key; every task streams its sorted rows to its own shard files.  Keys are
-    longs.  Null texts count as empty; rows with a null key come first and have no keyed access; repeated keys are
+    longs.  Null texts count as empty; very long texts are encoded whole; rows with a null key come first and have no keyed access; repeated keys are
     kept, ordered by text; an empty table gives an empty manifest; other columns are not read.
     """
     spark = df.sparkSession
