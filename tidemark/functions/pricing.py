@@ -91,6 +91,7 @@ def closing_value(closing: Column, avg: Column, filled: Column) -> Column:
 def decision(rows: dict[str, Column], min_edge: float, watch_margin: float) -> tuple[Column, Column]:
     """(action, reason) from the first of the checks that fails, then from the edge."""
     e = rows["edge"]
+    # The reasons, and the order in which they count.
     ladder = [
         (~rows["material"], "watch", "debounced_nonmaterial"), (~rows["sequence_ok"], "skip", "sequence_gap"), (rows["status"] != "open", "skip", None),
         (rows["age_ns"] > rows["max_age_ns"], "skip", "stale_state"), (rows["lag_ns"] > rows["max_lag_ns"], "skip", "provider_lag_exceeded"), (rows["ood"], "watch", "out_of_distribution"),
