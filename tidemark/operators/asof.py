@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.slices import Slices, last_known, next_time
+
 
 def as_of(df: DataFrame, anchor: Sequence[str], time: str, content: str, cutoff: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Per anchor the newest state at or before ``cutoff``.
@@ -31,24 +33,23 @@ def require_unambiguous(df: DataFrame) -> DataFrame:
     return df.where(F.when(F.col("status") == "ambiguous", F.raise_error(F.lit("two contents at the newest instant"))).otherwise(F.lit(True)))
 
 
-def as_of_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_time: str, right_time: str, values: Sequence[str], strict: bool = False) -> DataFrame:
+def as_of_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_time: str, right_time: str, values: Sequence[str], strict: bool = False, slices: Slices | None = None) -> DataFrame:
     """Left rows with the values of the key's last right row at or before (``strict``: before) their time.
 
     Both sides are laid over each other on the key, one shuffle and one sort, never a product of the sides.  Ties
-    among right rows go to the largest values.
+    among right rows go to the largest values.  With ``slices`` a busy key's rows are spread over slices of time.
     """
     names = left.columns
     one = left.select(*key, F.col(left_time).alias("__t"), F.lit(0 if strict else 1).alias("__side"), F.struct(*names).alias("__left"), F.lit(None).alias("__right"))
     two = right.select(*key, F.col(right_time).alias("__t"), F.lit(1 if strict else 0).alias("__side"), F.lit(None).alias("__left"), F.struct(F.col(right_time).alias("matched_at"), *values).alias("__right"))
-    w = W.partitionBy(*key).orderBy("__t", "__side", "__right").rowsBetween(W.unboundedPreceding, 0)
-    both = one.unionByName(two).withColumn("__found", F.last("__right", ignorenulls=True).over(w)).where(F.col("__left").isNotNull())
+    laid = one.unionByName(two).withColumn("__found", F.col("__right"))
+    both = last_known(laid, key, ["__t", "__side", "__right"], ["__found"], slices and slices(F.col("__t"))).where(F.col("__left").isNotNull())
     return both.select(*[F.col(f"__left.{c}").alias(c) for c in names], "__found.matched_at", *[F.col(f"__found.{v}").alias(v) for v in values])
 
 
-def next_trigger(df: DataFrame, key: Sequence[str], time: str) -> DataFrame:
+def next_trigger(df: DataFrame, key: Sequence[str], time: str, slices: Slices | None = None) -> DataFrame:
     """Rows with the key's first strictly later time; rows at one time share it."""
-    times = df.select(*key, time).distinct().withColumn("next_at", F.lead(time).over(W.partitionBy(*key).orderBy(time)))
-    return df.join(times, [*key, time], "left")
+    return df.join(next_time(df, key, time, "next_at", slices and slices(F.col(time))), [*key, time], "left")
 
 
 def newest_row(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.slices import Slices, last_known
+
+#: Fixed values, as the payload keys, event types and statuses below: they are what feeds send.
 #: Where an envelope belongs: the payload's own name of the thing, else its stream.
 KEY_FIELDS = ("game_id", "market", "market_ticker", "entity_id")
 EFFECTS = "array<struct<field:string,op:string,value:string>>"
@@ -38,6 +41,29 @@ def _of(path: str, side: Column) -> Column:
     return F.concat(F.lit(path + "."), side)
 
 
+def _stated(name: str) -> Column:
+    """A payload's value, empty where it is stated as null, null where it is not stated."""
+    return F.when(F.array_contains(F.json_object_keys("payload"), name), F.coalesce(payload(name), F.lit("")))
+
+
+def _entries(path: str, field: str) -> Column:
+    """Effects that set the fields under ``field`` to what the payload's map at ``path`` says."""
+    held = F.map_entries(F.from_json(payload(path), "map<string,string>"))
+    each = F.transform(held, lambda e: F.struct(F.concat(F.lit(f"{field}."), e["key"]).alias("field"), F.lit("set").alias("op"), e["value"].alias("value")))
+    return F.coalesce(each, F.array().cast(EFFECTS))
+
+
+def _cleared(path: str, field: str) -> Column:
+    """The effect that forgets all fields under ``field``, where the payload states the map at ``path``."""
+    return effect(f"{field}.", "reset", F.when(payload(path).isNotNull(), F.lit("")))
+
+
+def _people(name: str) -> Column:
+    """One person, or a list of them."""
+    told = payload(name)
+    return F.when(told.startswith("["), F.from_json(told, "array<string>")).when(told.isNotNull(), F.array(told)).otherwise(F.array().cast("array<string>"))
+
+
 def baseball_effects() -> Column:
     """Effects of an envelope of a baseball game, by its ``event_type``; ``current_pitcher`` is who pitches then."""
     side, clear = F.coalesce(payload("team"), F.lit("home")), [effect(b, "set", F.lit("")) for b in ("1B", "2B", "3B")]
@@ -45,26 +71,33 @@ def baseball_effects() -> Column:
     bases = [effect(b, "set", F.when(F.col("payload").contains(f'"{b}"'), F.coalesce(payload(b), F.lit("")))) for b in ("1B", "2B", "3B")]
     rules = {
         "lineup": [effect(_of("order", side), "set", payload("order"))],
-        "at_bat": [effect("batter", "set", payload("batter")), effect("pitcher", "set", payload("pitcher"))],
+        "at_bat": [effect("batter", "set", payload("batter")), effect("pitcher", "set", payload("pitcher")), effect(_of("pitches", payload("pitcher")), "add", F.lit(0))],
         "pitch": [effect("pitches", "add", amount("count", 1)), effect(_of("pitches", F.coalesce(payload("pitcher"), F.col("current_pitcher"))), "add", amount("count", 1))],
         "out": [effect("outs", "add", amount("outs", 1))],
         "score": [effect(_of("score", side), "add", amount("runs", 1))],
         "bases": bases,
         "inning": [effect("inning", "set", payload("inning")), effect("half", "set", payload("half")), effect("outs", "set", F.lit(0)), *clear],
-        "pitching_change": [effect("pitcher", "set", F.coalesce(payload("pitcher"), F.lit("")))],
+        "pitching_change": [effect("pitcher", "set", F.coalesce(payload("pitcher"), F.lit(""))), effect(_of("pitches", payload("pitcher")), "add", F.lit(0))],
         "status": [effect("game_status", "set", payload("status"))],
     }
-    names = ("game_status", "inning", "half", "outs", "batter", "pitcher")
-    restated = [effect(n, "set", payload(n)) for n in names] + [effect(f"score.{t}", "set", payload(f"score.{t}")) for t in ("home", "away")]
-    return _chosen(rules, [*restated, *[effect(b, "set", payload(f"bases.{b}")) for b in ("1B", "2B", "3B")]])
+    restated = [effect(n, "set", _stated(n)) for n in ("game_status", "inning", "half", "outs", "batter", "pitcher")]
+    bases = payload("bases")
+    base = lambda b: F.coalesce(F.get_json_object(bases, f"$.{b}"), F.lit(""))
+    whole = [*restated, effect("pitches", "set", payload("total_pitches")), *[effect(b, "set", F.when(bases.isNotNull(), base(b))) for b in ("1B", "2B", "3B")]]
+    maps = {"score": "score", "bullpen_usage": "pitches", "batting_order": "order"}
+    some = [*restated, *[effect(b, "set", F.when(F.array_contains(F.json_object_keys(bases), b), base(b))) for b in ("1B", "2B", "3B")]]
+    return _chosen(rules, (whole, maps), (some, {"score": "score"}))
 
 
-def baseball_fields(events: DataFrame, order: Sequence[str], entity: str = "entity") -> DataFrame:
-    """Fields of baseball games; pitches that name nobody are those of the pitcher last named."""
+def baseball_fields(events: DataFrame, order: Sequence[str], entity: str = "entity", slices: Slices | None = None) -> DataFrame:
+    """Fields of baseball games; pitches that name nobody are those of the pitcher last named.
+
+    ``events`` are those that count (see ``streaming.gate``); all that are given are applied.
+    """
     kind = F.col("event_type")
     named = F.when(kind.isin("at_bat", "pitching_change", "snapshot", "correction"), payload("pitcher"))
-    w = W.partitionBy(entity).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return fields(events.withColumn("current_pitcher", F.last(named, ignorenulls=True).over(w)), baseball_effects(), order, entity)
+    known = last_known(events.withColumn("current_pitcher", named), [entity], order, ["current_pitcher"], slices and slices(F.col(order[0])))
+    return fields(known, baseball_effects(), order, entity)
 
 
 def basketball_effects() -> Column:
@@ -80,26 +113,50 @@ def basketball_effects() -> Column:
         "timeout": [effect(_of("timeouts_taken", side), "add", F.lit(1))],
         "team_foul": [effect(_of("fouls", side), "add", amount("count", 1))],
         "player_foul": [effect(_of("player_fouls", payload("player")), "add", F.lit(1)), effect(_of("fouls", payload("team")), "add", F.lit(1))],
-        "substitution": [effect(_of("court", F.concat_ws(".", side, payload("out"))), "set", F.when(payload("out").isNotNull(), 0)), effect(_of("court", F.concat_ws(".", side, payload("in"))), "set", F.when(payload("in").isNotNull(), 1))],
+        "substitution": [],
         "player_minutes": [effect(_of("minutes", payload("player")), "set", payload("minutes"))],
         "status": [effect("game_status", "set", payload("status"))],
     }
-    names = ("game_status", "period", "clock_seconds", "possession")
-    return _chosen(rules, [effect(n, "set", payload(n)) for n in names] + [effect(f"{f}.{t}", "set", payload(f"{f}.{t}")) for f in ("score", "fouls") for t in ("home", "away")])
-
-
-def _chosen(rules: dict[str, list[Column]], restated: list[Column]) -> Column:
-    """The effects of the event's type; snapshots and corrections set what they name."""
-    kind = F.col("event_type")
-    out = F.when(kind.isin("snapshot", "correction"), F.array_compact(F.array(*restated)))
-    for name, some in rules.items():
-        out = out.when(kind == name, F.array_compact(F.array(*some)))
-    return out.otherwise(F.array().cast(EFFECTS))
+    restated = [effect(n, "set", _stated(n)) for n in ("game_status", "period", "clock_seconds", "possession")]
+    maps = {"score": "score", "timeouts": "timeouts", "team_fouls": "fouls", "player_fouls": "player_fouls"}
+    # What is left of the timeouts is stated anew: those taken before no longer count.
+    stated = [effect(f"timeouts_taken.{t}", "set", F.when(payload(f"timeouts.{t}").isNotNull(), 0)) for t in ("home", "away")]
+    whole = ([*restated, _cleared("timeouts", "timeouts_taken")], {**maps, "player_minutes": "minutes"})
+    court = lambda team, who, value: F.transform(who, lambda p: F.struct(F.concat(F.lit("court."), team, F.lit("."), p).alias("field"), F.lit("set").alias("op"), F.lit(value).alias("value")))
+    placed = [court(F.lit(t), F.coalesce(F.from_json(payload(f"players_on_court.{t}"), "array<string>"), F.array().cast("array<string>")), "1") for t in ("home", "away")]
+    kind, none = F.col("event_type"), F.array().cast(EFFECTS)
+    more = F.when(kind == "substitution", F.concat(court(side, _people("out"), "0"), court(side, _people("in"), "1")))
+    more = more.when(kind == "snapshot", F.concat(F.array_compact(F.array(_cleared("players_on_court", "court"))), *placed))
+    return F.concat(_chosen(rules, whole, ([*restated, *stated], maps)), more.otherwise(none))
+
+
+def _chosen(rules: dict[str, list[Column]], whole: tuple[list[Column], dict[str, str]], some: tuple[list[Column], dict[str, str]]) -> Column:
+    """The effects of the event's type.
+
+    Snapshots restate: what they name, and of a map that they name all of it, so its other fields go.  Corrections set only
+    the fields that they name.  Either is a list of effects and the maps of the payload with the fields that they hold.
+    """
+    kind, none = F.col("event_type"), F.array().cast(EFFECTS)
+    all_of = [F.concat(F.array_compact(F.array(_cleared(path, field))), _entries(path, field)) for path, field in whole[1].items()]
+    out = F.when(kind == "snapshot", F.concat(F.array_compact(F.array(*whole[0])), *all_of))
+    out = out.when(kind == "correction", F.concat(F.array_compact(F.array(*some[0])), *[_entries(path, field) for path, field in some[1].items()]))
+    for name, effects in rules.items():
+        out = out.when(kind == name, F.array_compact(F.array(*effects)) if effects else none)
+    return out.otherwise(none)
 
 
 def fields(events: DataFrame, effects: Column, order: Sequence[str], entity: str = "entity") -> DataFrame:
-    """(entity, ``field``, ``value``) after all events: what was last set plus what was added since, from nothing."""
+    """(entity, ``field``, ``value``) after all events: what was last set plus what was added since, from nothing.
+
+    A ``reset`` of "map." forgets all earlier effects on the fields of that map; resets come with snapshots, so their last
+    ones are a small table.  Every pair of entity and field is aggregated for itself, whatever an entity's size.
+    """
     rows = events.select(entity, F.struct(*order).alias("__o"), F.posexplode(effects).alias("__i", "e")).select(entity, "e.field", "e.op", "e.value", F.struct("__o", "__i").alias("__at"))
+    map_of = F.when(F.col("field").contains("."), F.concat(F.substring_index("field", ".", 1), F.lit(".")))
+    resets = rows.where("op = 'reset'").groupBy(F.col(entity).alias("__e"), F.col("field").alias("__map")).agg(F.max("__at").alias("__reset"))
+    rows = rows.where("op <> 'reset'").withColumn("__m", map_of)
+    rows = rows.join(resets, F.col(entity).eqNullSafe(F.col("__e")) & (F.col("__m") == F.col("__map")), "left")
+    rows = rows.where(F.col("__reset").isNull() | (F.col("__at") > F.col("__reset"))).select(entity, "field", "op", "value", "__at")
     w = W.partitionBy(entity, "field")
     since = rows.withColumn("__set", F.max(F.when(F.col("op") == "set", F.col("__at"))).over(w))
     kept = since.where(F.col("__set").isNull() | (F.col("__at") >= F.col("__set")))
@@ -115,6 +172,29 @@ def state_hashes(state: DataFrame, entity: str = "entity") -> DataFrame:
     return state.groupBy(entity).agg(F.count("*").alias("n_fields"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("state_hash"))
 
 
+def quality(gated: DataFrame, state: DataFrame, order: Sequence[str], time: str, sequence: str, now: Column, most_age_s: int, known: Sequence[str], statuses: Sequence[str], entity: str = "entity") -> DataFrame:
+    """Per entity the snapshot of its state: where it stands, what it has taken in, flags, and a digest of its fields.
+
+    ``gated``: events with ``status`` and ``position`` (see ``streaming.gate``).  ``sequence_gap``: a gap came after the last
+    snapshot, so another is awaited.  ``missing_field``: an event of unknown type counted; ``out_of_range``: so did an
+    unknown status.  ``stale``: nothing counted for longer than ``most_age_s``.
+    """
+    from tidemark.streaming.gate import LIVE
+
+    kind, status = F.col("event_type"), F.col("status")
+    live, turn = status.isin(*LIVE), status.isin("gap_detected", "snapshot_applied")
+    some = lambda test: F.coalesce(F.bool_or(live & test), F.lit(False))
+    per = gated.groupBy(entity).agg(
+        F.max(F.struct(*order, "position"))["position"].alias("last_sequence"), F.max(F.when(status == "snapshot_applied", F.struct(*order, sequence)))[sequence].alias("snapshot_sequence"),
+        F.max(F.when(status == "applied", F.struct(*order, sequence)))[sequence].alias("delta_sequence"), F.max(F.when(live, F.col(time))).alias("last_at"),
+        F.count_if(live).alias("n_applied"), F.count_if(status == "correction_applied").alias("n_corrections"), F.count_if(status == "duplicate").alias("n_duplicates"),
+        F.count_if(status == "gap_detected").alias("n_dropped"), F.coalesce(F.max(F.when(turn, F.struct(*order, status)))["status"] == "gap_detected", F.lit(False)).alias("sequence_gap"),
+        some(~kind.isin("snapshot", "correction", *known)).alias("missing_field"), some((kind == "status") & ~payload("status").isin(*statuses)).alias("out_of_range"),
+    )
+    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("last_at").cast("timestamp"))
+    return per.withColumn("stale", F.coalesce(age > most_age_s * 1_000_000, F.lit(True))).join(state_hashes(state, entity), entity, "left")
+
+
 def snapshots(events: DataFrame, state: DataFrame, time: str, sequence: str, now: Column, most_age_s: int, known: Sequence[str], statuses: Sequence[str], entity: str = "entity") -> DataFrame:
     """Per entity: last sequence and time, events, corrections, ``state_hash`` and the quality flags ``stale``,
     ``missing_field`` (an unknown event type) and ``out_of_range`` (an unknown status)."""
@@ -127,16 +207,15 @@ def snapshots(events: DataFrame, state: DataFrame, time: str, sequence: str, now
     return per.withColumn("stale", stale).join(state_hashes(state, entity), entity, "left")
 
 
-def timelines(events: DataFrame, market: str, time: str, order: str, snapshot: Column, values: Sequence[str]) -> DataFrame:
+def timelines(events: DataFrame, market: str, time: str, order: str, snapshot: Column, values: Sequence[str], slices: Slices | None = None) -> DataFrame:
     """Carry-forward views of a market's book: after a snapshot a side it does not name is empty, after a delta it stays.
 
     ``snapshot`` marks rows that restate the whole; ``values`` are columns of what is stated, null where a row is silent.
+    With ``slices`` a busy market is spread over slices of time.
     """
-    w = W.partitionBy(market).orderBy(time, order)
-    up_to = w.rowsBetween(W.unboundedPreceding, 0)
-    run = events.withColumn("__epoch", F.sum(snapshot.cast("int")).over(up_to))
-    inside = W.partitionBy(market, "__epoch").orderBy(time, order).rowsBetween(W.unboundedPreceding, 0)
-    return run.withColumns({v: F.last(v, ignorenulls=True).over(inside) for v in values}).drop("__epoch")
+    told = {v: F.when(snapshot | F.col(v).isNotNull(), F.struct(F.col(v).alias("v"))) for v in values}
+    views = last_known(events.withColumns(told), [market], [time, order], values, slices and slices(F.col(time)))
+    return views.withColumns({v: F.col(v)["v"] for v in values})
 
 
 def dataset_grade(events: DataFrame, kind: str, time: str, published: str, key: Sequence[str] = ()) -> DataFrame:

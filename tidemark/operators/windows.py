@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.slices import Slices, last_known
 
-def carry_forward(df: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Each value as last seen at or before the row."""
-    w = W.partitionBy(*key).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumns({v: F.last(v, ignorenulls=True).over(w) for v in values})
+
+def carry_forward(df: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str], slices: Slices | None = None) -> DataFrame:
+    """Each value as last seen at or before the row; with ``slices`` of the first order column a busy key is spread."""
+    return last_known(df, key, order, values, slices and slices(F.col(order[0])))
 
 
 def slate_numbers(df: DataFrame, slate: Sequence[str], start: str, row_id: str, least_seconds: int) -> DataFrame:
