@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -99,7 +100,41 @@ def test_every_character_is_in_a_window():
     text = f"one {long} two, three"
     for i in range(len(long) - 8):
         assert any(long[i : i + 8] in w for w in toxicity.windows(text))
-    assert toxicity.windows("one") == [" one "] and toxicity.windows("a b c") == [" a b ", " b c "] and toxicity.windows(None) == toxicity.windows(" .") == []
+    assert toxicity.windows("one") == [" one "] and toxicity.windows("a b c") == [" a b c "] and toxicity.windows("a b c d") == [" a b c ", " c d "]
+    assert toxicity.windows(None) == toxicity.windows(" .") == []
+
+
+def test_dictionaries_are_of_equal_size_and_no_window_is_skipped(spark):
+    """Both own parts are of the same size, from their own class; margins are those of an independent scorer that compresses
+    one window at a time."""
+    import os
+
+    import zstandard
+
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    shared = len(os.path.commonprefix([model.toxic[::-1], model.ordinary[::-1]]))
+    assert len(model.toxic) == len(model.ordinary) >= shared + 1024
+
+    def compressor(own):
+        how = zstandard.ZstdCompressionParameters(strategy=5, min_match=5, window_log=17, hash_log=15, chain_log=15, search_log=5, target_length=8, write_content_size=False, write_checksum=False, write_dict_id=False)
+        held = zstandard.ZstdCompressionDict(own + toxicity.AFTER + b"#" + toxicity.BEFORE, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return zstandard.ZstdCompressor(dict_data=held, compression_params=how)
+
+    pair = compressor(model.toxic), compressor(model.ordinary)
+    scorer, compared = toxicity.Scorer(model), 0
+    for r in docs.where("doc_id % 40 = 0").collect():
+        found = re.findall(r"\w+", (r.text or "").lower())
+        if any(len(w) > 24 for w in found):
+            continue
+        parts = [found[i : i + 3] for i in range(0, len(found), 2)]
+        parts = [p for i, p in enumerate(parts) if i == 0 or len(p) > 1]  # a last single word is in the window before
+        raw = [toxicity.BEFORE + f" {' '.join(p)} ".encode() + toxicity.AFTER for p in parts]
+        want = Counter(len(pair[1].compress(w)) - len(pair[0].compress(w)) for w in raw)
+        assert scorer.margins(r.text) == want
+        compared += want.total()
+    assert compared > 10_000
 
 
 def test_toxic_terms_late_in_unspaced_runs_and_clean_words_with_their_heads(spark):

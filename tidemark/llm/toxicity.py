@@ -1,10 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text, by the same cover of byte strings: each
-holds the commonest words of all text, which lean to neither, and the segments of its own class that lean to it.  Every window of two words
-(each word whole, and in both its windows) is compressed with either; its margin is by how many bytes the toxic
-dictionary does better.  A document's score is a calibrated function of how many windows pass each margin threshold.
-Dictionaries and calibration come from different documents.
+Two zstandard dictionaries of equal size are trained, one on toxic and one on ordinary text, by the same cover of byte
+strings: each holds segments of its own class that lean to it, and common words of all text that lean to neither.  Every
+window of three words, which shares a word with the next, is compressed with either; none is skipped.  Its margin is by how
+many bytes the toxic dictionary does better.  A document's score is a calibrated function of how many windows pass each
+margin threshold.  Dictionaries and calibration come from different documents.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,23 +23,27 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BoundedCache, map_batches, materialise, worker_cache
+from tidemark.llm.common import map_batches, materialise, worker_cache
 
 TRAIN_ROWS = 20_000  # bound of the labelled sample: the labelled ids of lowest hash
 #: One labelled document in so many calibrates; the others make the dictionaries.
 CALIBRATE_ONE_IN = 4
 GRAM = 7  # bytes of the strings whose document frequencies are compared, besides whole words that are shorter
-#: A gram leans to a class when it is in so many of its documents, so many times as often as in the other class, and by
-#: a likelihood ratio that none of as many grams as there are would reach by chance.
+#: A gram leans to toxic text when it is in so many of its documents, so many times as often as in the other class, and by
+#: a likelihood ratio that none of as many grams as there are would reach by chance.  Nothing sets ordinary text apart as
+#: much, so all grams that are more frequent in it lean to it, the likeliest first, and as many bytes are taken.
 LEAST_DOCS, LEAST_RATIO = 4, 3.0
 LEAST_MATCH = 5  # bytes of the shortest match that compression takes
-#: Bytes of a dictionary: segments of its class, and common words.  What may be collected: leaning grams, segments.
+#: Bytes of a dictionary: segments of its class, and common words.
 OWN_BYTES, COMMON_BYTES = 2048, 2048
+#: Bounds of what the fit collects, the leaning grams of highest ratio and the segments in most documents: many times what a
+#: dictionary can hold.
 MOST_GRAMS, MOST_SEGMENTS = 50_000, 20_000
 MOST_HELD = 100_000  # strings that a task counts at a time; the sums of what it tells are the same
 #: Longer runs of word characters, as in scripts without spaces, are taken as overlapping words of so many characters.
 WORD_CHARS, WORD_STEP = 24, 16
-WINDOW_WORDS = 2
+WINDOW_WORDS, WINDOW_STEP = 3, 2
+WINDOWS_AT_ONCE = 4096
 THRESHOLDS = range(2, 9)
 #: Both dictionaries end with these, and each window stands between them: zstd finds no match in the last bytes of
 #: its input and stores very short inputs raw, and what both sides share cancels out of the margin.
@@ -60,8 +63,9 @@ def words(text: str | None) -> list[str]:
 
 
 def windows(text: str | None) -> list[str]:
+    """Runs of ``WINDOW_WORDS`` words, every ``WINDOW_STEP``, the last one as long as there are words."""
     found = words(text)
-    return [f" {' '.join(found[i : i + WINDOW_WORDS])} " for i in range(max(1, len(found) - WINDOW_WORDS + 1))] if found else []
+    return [f" {' '.join(found[i : i + WINDOW_WORDS])} " for i in range(0, max(1, len(found) - WINDOW_WORDS + WINDOW_STEP), WINDOW_STEP)] if found else []
 
 
 def plain(text: str | None) -> bytes:
@@ -80,7 +84,7 @@ class ToxicityModel:
     weights: list[float]
 
     def scorer(self) -> Scorer:
-        """The worker's scorer of this model, with the margins it knows from other tasks."""
+        """The worker's scorer of this model, kept between tasks."""
         key = hashlib.md5(b"|".join([self.toxic, self.ordinary, repr(self.weights).encode()])).digest()
         return worker_cache(("toxicity", key), lambda: Scorer(self))
 
@@ -89,12 +93,6 @@ class Scorer:
     def __init__(self, model: ToxicityModel):
         self.weights = np.array(model.weights)
         self.toxic, self.ordinary = self._compressor(model.toxic), self._compressor(model.ordinary)
-        shared = len(os.path.commonprefix([model.toxic[::-1], model.ordinary[::-1]]))
-        strings = lambda data: {data[i : i + LEAST_MATCH] for i in range(len(data) - LEAST_MATCH + 1)}
-        base = strings(model.toxic[len(model.toxic) - shared :])
-        self.own = (strings(model.toxic[: len(model.toxic) - shared]) | strings(model.ordinary[: len(model.ordinary) - shared])) - base
-        self.telling = BoundedCache(self._telling, limit=300_000)
-        self.margins = BoundedCache(self._margin, limit=200_000)
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -106,23 +104,19 @@ class Scorer:
         trained.precompute_compress(compression_params=how)
         return zstandard.ZstdCompressor(dict_data=trained, compression_params=how)
 
-    def _margin(self, window: str) -> int:
-        raw = BEFORE + window.encode() + AFTER
-        return len(self.ordinary.compress(raw)) - len(self.toxic.compress(raw))
-
-    def _telling(self, word: str) -> bool:
-        """Whether either dictionary can match a part of the word where the other cannot."""
-        data = f" {word} ".encode()
-        return any(data[i : i + LEAST_MATCH] in self.own for i in range(len(data) - LEAST_MATCH + 1))
+    def margins(self, text: str | None) -> Counter:
+        """How many windows of ``text`` have which margin; all are compressed, in lots."""
+        found, out = windows(text), Counter()
+        for at in range(0, len(found), WINDOWS_AT_ONCE):
+            raw = [BEFORE + w.encode() + AFTER for w in found[at : at + WINDOWS_AT_ONCE]]
+            toxic, ordinary = self.toxic.multi_compress_to_buffer(raw), self.ordinary.multi_compress_to_buffer(raw)
+            out.update(len(ordinary[i]) - len(toxic[i]) for i in range(len(raw)))
+        return out
 
     def features(self, text: str | None) -> list[float]:
-        """How many windows pass each threshold, and such.  Windows without a telling word compress alike, so they are
-        not compressed: their margin is 0."""
-        found, margins = words(text), self.margins
-        told = list(map(self.telling.__getitem__, found))
-        n = max(1, len(found) - WINDOW_WORDS + 1)
-        at = (i for i in range(n) if True in told[i : i + WINDOW_WORDS]) if True in told else ()
-        found = Counter(margins[f" {' '.join(found[i : i + WINDOW_WORDS])} "] for i in at)
+        """How many windows pass each threshold, by number and by share, the mean margin and the length."""
+        found = self.margins(text)
+        n = max(1, found.total())
         over = [sum(c for m, c in found.items() if m >= t) for t in THRESHOLDS]
         return [1.0, *map(math.log1p, over), *(math.log1p(1000 * x / n) for x in over), sum(m * c for m, c in found.items()) / n, math.log1p(n)]
 
@@ -170,14 +164,14 @@ def _count(make):
 COUNTS = "kind string, string binary, n0 long, n1 long"
 
 
-def _leaning(counted: DataFrame, sizes: list[int], own: int) -> dict[bytes, float]:
-    """The grams that lean to class ``own``, with their likelihood ratios; tested where they are, not on the driver."""
+def _leaning(counted: DataFrame, sizes: list[int], own: int, times: float, least: float) -> dict[bytes, float]:
+    """The grams that are ``times`` as frequent in class ``own``, with likelihood ratios of ``least`` or more; tested where
+    they are, not on the driver."""
     a, b, n_a, n_b = F.col(f"n{own}"), F.col(f"n{1 - own}"), float(sizes[own]), float(sizes[1 - own])
     part = lambda k, n: F.when(k > 0, k * F.log(k / n)).otherwise(0.0) + F.when(k < n, (n - k) * F.log(1 - k / n)).otherwise(0.0)
     both = a + b
     ratio = 2 * (part(a, F.lit(n_a)) + part(b, F.lit(n_b)) - part(both, F.lit(n_a + n_b)))
-    least = 2 * math.log(max(2, counted.count()))
-    chosen = counted.where((a >= LEAST_DOCS) & (a / n_a > LEAST_RATIO * b / n_b)).select("string", ratio.alias("ratio")).where(F.col("ratio") >= least)
+    chosen = counted.where((a >= LEAST_DOCS) & (a / n_a > times * b / n_b)).select("string", ratio.alias("ratio")).where(F.col("ratio") >= least)
     return {bytes(r.string): r.ratio for r in chosen.orderBy(F.desc("ratio"), "string").limit(MOST_GRAMS).collect()}
 
 
@@ -238,7 +232,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     leaning: list[dict[bytes, float]] = [{}, {}]
     if all(sizes):
         counted = materialise(map_batches(fit, _count(lambda y, t: (("g", g) for g in grams(plain(t)))), COUNTS).groupBy("string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-grams")
-        leaning = [_leaning(counted, sizes, y) for y in (0, 1)]
+        leaning = [_leaning(counted, sizes, 0, 1.0, 0.0), _leaning(counted, sizes, 1, LEAST_RATIO, 2 * math.log(max(2, counted.count())))]
 
     def parts(y: int, text: str | None) -> Iterator[tuple[str, bytes]]:
         data = plain(text)
@@ -255,8 +249,9 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             common.append(w)
             size += len(w) + 1
     base = b" ".join([b"", *common[::-1], b""])
-    ordinary, toxic = (cover(top("s", F.col(f"n{y}"), 1, MOST_SEGMENTS), leaning[y]) + base for y in (0, 1))
-    model = ToxicityModel(toxic, ordinary, [0.0] * n_weights)
+    ordinary, toxic = (cover(top("s", F.col(f"n{y}"), 1, MOST_SEGMENTS), leaning[y]) for y in (0, 1))
+    equal = min(len(ordinary), len(toxic))  # the best stand last
+    model = ToxicityModel(toxic[len(toxic) - equal :] + base, ordinary[len(ordinary) - equal :] + base, [0.0] * n_weights)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
@@ -285,8 +280,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 40) ->
 def score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
-    Map-only, whole texts: every word is in two windows, whatever the length of word or text.  Null and empty texts have no window and get the score of that; a null id is not held out;
-    repeated rows are scored each; an empty table gives an empty result; no other column is read.
+    Map-only, whole texts: every word is in a window, whatever the length of word or text.  Null and empty texts have no
+    window and get the score of that; a null id is not held out; repeated rows are scored each; an empty table gives an
+    empty result; no other column is read.
     """
     id_type = df.schema[id_col].dataType.simpleString()
 
@@ -301,7 +297,11 @@ def score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col:
 
 
 def drop_toxic(df: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """The rows, whole, whose text is not predicted toxic."""
+    """The rows, whole, whose text is not predicted toxic.
+
+    Null, empty and very long texts are judged as ``score`` judges them; repeated rows and rows without id each by their
+    own text; an empty table stays empty; other columns, whatever their names, come through as they are.
+    """
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
