@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import pricing
 from tidemark.operators.asof import as_of_join, next_trigger
 from tidemark.operators.slices import Slices, last_known
+from tidemark.operators.windows import checkpointed
 
 SIDES = ("yes", "no")
 
@@ -61,13 +62,16 @@ def decisions(triggers: DataFrame, views: DataFrame, market: str, time: str, ord
     timed = next_trigger(triggers.where(F.col(market).isNotNull() & F.col(time).isNotNull()).select(market, time, order, fair), [market], time, slices)
     seen = as_of_join(timed, views.withColumn("view_order", F.col(order)).withColumn("view_at", F.col(time)), [market], time, "view_at", ["view_order", "yes_ladder", "no_ladder", "status"], slices=slices)
     seen = seen.where((F.col("status") == "open") & F.col(fair).isNotNull() & F.col("matched_at").isNotNull())
+    none = F.array().cast("array<struct<price:int,size:bigint>>")
+    limit = {s: best_ask(F.col(f"{s}_ladder")) + rule.slip for s in SIDES}
+    walks = [pricing.walk_ladder(F.coalesce(f"{s}_ladder", none), F.lit(rule.size), limit[s]).alias(f"{s}_walk") for s in SIDES]
+    seen = seen.select("*", F.inline(F.array(F.struct(*walks))))  # a generator: filters above it don't sweep the ladders again
+    seen = seen.withColumns({f"{s}_avg": pricing.average(F.col(f"{s}_walk")) for s in SIDES})
     quotes = {}
     for s in SIDES:
-        ladder, value = F.col(f"{s}_ladder"), (F.col(fair) if s == "yes" else 1 - F.col(fair)) * 100
-        limit = best_ask(ladder) + rule.slip
-        avg = pricing.average(pricing.walk_ladder(F.coalesce(ladder, F.array().cast("array<struct<price:int,size:bigint>>")), F.lit(rule.size), limit))
+        value, avg = (F.col(fair) if s == "yes" else 1 - F.col(fair)) * 100, F.col(f"{s}_avg")
         edge = value - avg - pricing.fee_per_contract(avg, rule.fee)
-        quotes[s] = F.when(edge.isNotNull(), F.struct(edge.alias("edge"), F.lit(s).alias("side"), limit.alias("limit"), value.alias("fair_cents")))
+        quotes[s] = F.when(avg.isNotNull(), F.struct(edge.alias("edge"), F.lit(s).alias("side"), limit[s].alias("limit"), value.alias("fair_cents")))
     # "yes" is the greater word, so that a tie of edges goes to it.
     chosen = seen.withColumn("q", F.array_max(F.array_compact(F.array(*quotes.values())))).where(F.col("q.edge") >= rule.min_edge)
     return chosen.select(market, time, order, "next_at", "q.side", "q.limit", "q.fair_cents", "q.edge")
@@ -85,7 +89,7 @@ def fills(orders: DataFrame, views: DataFrame, closing: DataFrame, market: str,
     met = met.join(closing, market, "left").withColumn("ladder", F.when(F.col("side") == "yes", F.col("yes_ladder")).otherwise(F.col("no_ladder")))
     ladder, best = F.coalesce("ladder", F.array().cast("array<struct<price:int,size:bigint>>")), best_ask(F.col("ladder"))
     stale = F.coalesce(F.col("next_at") <= F.col("arrival"), F.lit(False))
-    met = met.withColumn("walked", pricing.walk_ladder(ladder, F.lit(rule.size), F.col("limit")))
+    met = met.select("*", F.inline(F.array(F.struct(pricing.walk_ladder(ladder, F.lit(rule.size), F.col("limit")).alias("walked")))))
     outcome = pricing.fill_outcome(stale, F.coalesce("status", F.lit("open")), F.size(ladder), best, F.col("limit"), F.col("walked")["filled"], F.lit(rule.size))
     met = met.withColumns({"outcome": outcome, "available": F.col("fair_cents") - best, "avg_price": pricing.average(F.col("walked"))})
     filled = F.when(F.col("outcome").isin("filled", "partial"), F.col("walked")["filled"]).otherwise(F.lit(0).cast("long"))
@@ -106,7 +110,10 @@ def curves(filled: DataFrame) -> DataFrame:
 
 
 def replay(events: DataFrame, triggers: DataFrame, market: str, time: str, order: str, fair: str, rule: EdgeRule, grid_us: Sequence[int], slices: Slices | None = None) -> DataFrame:
-    """From book events and triggers to fills at every latency, in one plan: three as-of scans, no loop over orders."""
-    views = ladder_views(events, market, time, order, slices)
-    orders = decisions(triggers, views, market, time, order, fair, rule, slices)
+    """From book events and triggers to fills at every latency: three as-of scans, no loop over orders.
+
+    Views are read three times and orders twice, so both are written to the checkpoint folder rather than made again.
+    """
+    views = checkpointed(ladder_views(events, market, time, order, slices))
+    orders = checkpointed(decisions(triggers, views, market, time, order, fair, rule, slices))
     return fills(orders, views, closing_prices(views, market, time, order), market, time, order, rule, grid_us, slices)

@@ -97,7 +97,7 @@ def baseball_fields(events: DataFrame, order: Sequence[str], entity: str = "enti
     kind = F.col("event_type")
     named = F.when(kind.isin("at_bat", "pitching_change", "snapshot", "correction"), payload("pitcher"))
     known = last_known(events.withColumn("current_pitcher", named), [entity], order, ["current_pitcher"], slices and slices(F.col(order[0])))
-    return fields(known, baseball_effects(), order, entity)
+    return fields(known, baseball_effects(), order, entity, events.withColumn("current_pitcher", F.lit(None).cast("string")))
 
 
 def basketball_effects() -> Column:
@@ -145,15 +145,22 @@ def _chosen(rules: dict[str, list[Column]], whole: tuple[list[Column], dict[str,
     return out.otherwise(none)
 
 
-def fields(events: DataFrame, effects: Column, order: Sequence[str], entity: str = "entity") -> DataFrame:
+def _effect_rows(events: DataFrame, effects: Column, order: Sequence[str], entity: str) -> DataFrame:
+    each = events.select(entity, F.struct(*order).alias("__o"), F.posexplode(effects).alias("__i", "e"))
+    return each.select(entity, "e.field", "e.op", "e.value", F.struct("__o", "__i").alias("__at"))
+
+
+def fields(events: DataFrame, effects: Column, order: Sequence[str], entity: str = "entity", source: DataFrame | None = None) -> DataFrame:
     """(entity, ``field``, ``value``) after all events: what was last set plus what was added since, from nothing.
 
-    A ``reset`` of "map." forgets all earlier effects on the fields of that map; resets come with snapshots, so their last
-    ones are a small table.  Every pair of entity and field is aggregated for itself, whatever an entity's size.
+    A ``reset`` of "map." forgets all earlier effects on the fields of that map; resets come with snapshots only, so their
+    last ones are a small table, made from ``source`` where the same events are cheaper to read.  Every pair of entity and
+    field is aggregated for itself, whatever an entity's size.
     """
-    rows = events.select(entity, F.struct(*order).alias("__o"), F.posexplode(effects).alias("__i", "e")).select(entity, "e.field", "e.op", "e.value", F.struct("__o", "__i").alias("__at"))
+    rows = _effect_rows(events, effects, order, entity)
+    restated = _effect_rows((source or events).where("event_type = 'snapshot'"), effects, order, entity)
     map_of = F.when(F.col("field").contains("."), F.concat(F.substring_index("field", ".", 1), F.lit(".")))
-    resets = rows.where("op = 'reset'").groupBy(F.col(entity).alias("__e"), F.col("field").alias("__map")).agg(F.max("__at").alias("__reset"))
+    resets = restated.where("op = 'reset'").groupBy(F.col(entity).alias("__e"), F.col("field").alias("__map")).agg(F.max("__at").alias("__reset"))
     rows = rows.where("op <> 'reset'").withColumn("__m", map_of)
     rows = rows.join(resets, F.col(entity).eqNullSafe(F.col("__e")) & (F.col("__m") == F.col("__map")), "left")
     rows = rows.where(F.col("__reset").isNull() | (F.col("__at") > F.col("__reset"))).select(entity, "field", "op", "value", "__at")

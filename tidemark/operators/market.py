@@ -20,12 +20,13 @@ def ladders(levels: DataFrame, book: Sequence[str], price: str, size: str) -> Da
 def book_state(updates: DataFrame, market: Sequence[str], order: Sequence[str], is_snapshot: str, side: str, price: str, quantity: str) -> DataFrame:
     """Levels that hold at the end of each market's updates.
 
-    A snapshot starts an epoch and clears the book; within the last epoch the last quantity of a price counts and one
-    of zero or less removes it; prices outside 1 to 99 are ignored.
+    A snapshot starts an epoch and clears the book; within the last epoch, which a market's last snapshot begins, the last
+    quantity of a price counts and one of zero or less removes it; prices outside 1 to 99 are ignored.  Only aggregates, so
+    a busy market is spread over its prices.
     """
-    w = W.partitionBy(*market).orderBy(*order)
-    epochs = updates.withColumn("__e", F.sum(F.col(is_snapshot).cast("int")).over(w)).where("__e > 0")
-    last = epochs.withColumn("__top", F.max("__e").over(W.partitionBy(*market))).where("__e = __top")
+    begun = updates.where(F.col(is_snapshot)).groupBy(*[F.col(m).alias(f"__{m}") for m in market]).agg(F.max(F.struct(*order)).alias("__begun"))
+    same = [F.col(m).eqNullSafe(F.col(f"__{m}")) for m in market]
+    last = updates.join(begun, same).where(F.struct(*order) >= F.col("__begun"))
     newest = last.where(F.col(price).between(1, 99)).groupBy(*market, side, price).agg(F.max(F.struct(*order, quantity))[quantity].alias(quantity))
     return newest.where(F.col(quantity) > 0)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,14 +42,21 @@ def chronological_split(df: DataFrame, order: Sequence[str], fraction: float, gr
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Written to the session's checkpoint folder, which all executors share; a temporary one where none is set."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
+    """A table in the session's checkpoint folder, which all executors share; a temporary one where none is set.
+
+    Unlike ``DataFrame.checkpoint`` it computes the rows once, keeps columns that can be pruned, and survives lost executors
+    just as well.  The tables stay there until the folder is cleared.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
-    return df.checkpoint()
+        folder = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def global_rank(df: DataFrame, order: Sequence[str]) -> DataFrame:

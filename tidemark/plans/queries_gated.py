@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import backtest, games, market
 from tidemark.operators.slices import by_seconds
+from tidemark.operators.windows import checkpointed
 from tidemark.plans.queries_games import ORDER, _envelopes, _json
 from tidemark.plans.registering import LOG, instant, observations, query
 from tidemark.streaming.gate import LIVE, gate
@@ -59,10 +60,13 @@ BASKETBALL = GATED + _effects(
 
 
 def _gated(spark: SparkSession, sf_dir: str, kinds: list[str], payloads: list[F.Column]) -> DataFrame:
-    """Every user's events as a sequenced stream of one game, with the status of each; a stream is cut by weeks."""
+    """Every user's events as a sequenced stream of one game, with the status of each; a stream is cut by weeks.
+
+    What follows reads the stream more than once, so it is written to the checkpoint folder.
+    """
     sequence = F.sum(F.expr(STEP)).over(W.partitionBy("entity").orderBy(*ORDER))
     events = _envelopes(spark, sf_dir, kinds, payloads).withColumn("sequence", sequence)
-    return gate(events, "entity", ORDER, "event_type", "sequence", WEEK(F.col("ts")))
+    return checkpointed(gate(events, "entity", ORDER, "event_type", "sequence", WEEK(F.col("ts"))))
 
 
 def _baseball(spark: SparkSession, sf_dir: str) -> DataFrame:

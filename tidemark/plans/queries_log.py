@@ -7,10 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators import asof, observe, quality, sets
+from tidemark.operators.slices import by_seconds
 from tidemark.plans.registering import LOG, instant, observations, query, read
 
 ANCHOR = ["user_id", "event_type"]
 CUT = "2024-01-15 00:00:00"
+WEEK = by_seconds(7 * 86_400)
 
 
 def _holed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +100,7 @@ SELECT v.event_id, v.user_id, v.ts, p.ts AS matched_at, p.k FROM v ASOF LEFT JOI
 def asof_join_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = observations(spark, sf_dir)
     views, purchases = (log.where(F.col("event_type") == t) for t in ("view", "purchase"))
-    return asof.as_of_join(views.select("event_id", "user_id", "ts"), purchases.select("user_id", F.col("ts").alias("at"), "k"), ["user_id"], "ts", "at", ["k"])
+    return asof.as_of_join(views.select("event_id", "user_id", "ts"), purchases.select("user_id", F.col("ts").alias("at"), "k"), ["user_id"], "ts", "at", ["k"], slices=WEEK)
 
 
 @query("""WITH s AS (SELECT l_orderkey, l_shipdate, max(l_linenumber) AS line FROM lineitem GROUP BY ALL)
@@ -113,7 +115,7 @@ def asof_join_orders_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT log.event_id, n.hour, n.next_at FROM log JOIN n ON log.user_id = n.user_id AND date_trunc('hour', log.ts) = n.hour""")
 def next_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = observations(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-    return asof.next_trigger(log.select("event_id", "user_id", "hour"), ["user_id"], "hour").select("event_id", "hour", "next_at")
+    return asof.next_trigger(log.select("event_id", "user_id", "hour"), ["user_id"], "hour", WEEK).select("event_id", "hour", "next_at")
 
 
 @query(LOG + """, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM log) SELECT user_id, ts, event_id FROM n WHERE r = 1""")
