@@ -40,6 +40,24 @@ def test_drop_copies_keeps_whole_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [4, 21, 30]
 
 
+def test_drop_copies_ties_and_clashing_columns(spark):
+    """Of rows with one id and equal content the longest text stays, whatever their order; no column is lost."""
+    for rows in ([(4, "ab"), (4, "a b   "), (4, "ab "), (None, "x"), (None, " x")], [(4, "a b   "), (4, "ab "), (4, "ab"), (None, " x"), (None, "x")]):
+        df = spark.createDataFrame([(i, t, 1, "r", "c", "k") for i, t in rows], "doc_id long, text string, __text int, row string, content string, keep string")
+        kept = drop_copies(df)
+        assert kept.columns == df.columns
+        assert sorted((r.doc_id or 0, r.text, r["__text"], r["row"]) for r in kept.collect()) == [(0, " x", 1, "r"), (4, "a b   ", 1, "r")]
+        assert drop_copies(df.limit(0)).count() == 0
+
+
+def test_drop_near_duplicates_keeps_clashing_columns(spark):
+    text = prose(80, 5)
+    df = spark.createDataFrame([(2, text, 1, "r"), (1, text + " more", 2, "s"), (3, None, 3, "t"), (3, None, 3, "t")], "doc_id long, text string, __raw int, row string")
+    kept = om.drop_near_duplicates(df)
+    assert kept.columns == df.columns and sorted((r.doc_id, r["__raw"]) for r in kept.collect()) == [(1, 2), (3, 3)]
+    assert om.drop_near_duplicates(df.limit(0)).count() == 0
+
+
 def edited(text, n, seed):
     r, w = random.Random(seed), text.split()
     for _ in range(n):

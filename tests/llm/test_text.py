@@ -420,3 +420,69 @@ def test_license_scan_of_null_ids_and_very_long_texts(spark):
     df = documents(spark, [(None, "Released under the MIT License."), (1, long), (2, "Released under the MIT License."), (2, "All rights reserved.")])
     got = sorted(((r.doc_id, r.licences) for r in license_scan.scan(df, license_scan.train(df)).collect()), key=str)
     assert got == [(1, ["MIT"]), (2, ["MIT", "Proprietary"]), (2, ["MIT", "Proprietary"]), (None, [])]
+
+
+ARTICLE = "".join(f"<p>Sentence number {i} of the article that readers came for, long enough to be dense text.</p>" for i in range(8))
+ARTICLE_TEXT = " ".join(f"Sentence number {i} of the article that readers came for, long enough to be dense text." for i in range(8))
+MENU = '<div class="nav"><a href="/">Home</a> <a href="/n">News</a></div>'
+
+
+@pytest.mark.parametrize("name", ["no-sidebar content", "sidebar-right", "with-comments", "ad-free", "hasMenu", "menu page", "not-an-advert"])
+def test_names_of_layouts_do_not_lose_the_article(name):
+    assert html_text.main_text(f'<body>{MENU}<div class="{name}"><div>{ARTICLE}</div></div><p>tiny</p></body>').startswith(ARTICLE_TEXT)
+
+
+def test_forms_hidden_parts_and_headers():
+    controls = '<input name="q"><select><option>Choose me</option></select><button>Send it</button><label>Your name</label>'
+    assert html_text.main_text(f"<body><form action='/p'>{MENU}<div>{ARTICLE}</div>{controls}</form></body>") == ARTICLE_TEXT
+    assert html_text.main_text(f"<body><div>{ARTICLE}</div><form>Sign up for our letter {controls}</form></body>") == ARTICLE_TEXT
+    hidden = "<p hidden>Not shown</p><p hidden=''>Nor this</p><p aria-hidden=true>nor that one here</p><p style='x:y; display : none'>nor these words</p>"
+    shown = '<p class="sm hidden lg">Shown by its class alone, which says nothing about being hidden to anyone at all.</p>'
+    assert html_text.main_text(f"<body><div>{ARTICLE}{hidden}{shown}</div></body>") == f"{ARTICLE_TEXT} Shown by its class alone, which says nothing about being hidden to anyone at all."
+    assert html_text.main_text(f"<body><header>Site name</header><main><header><h1>The headline</h1></header>{ARTICLE}</main></body>") == f"The headline {ARTICLE_TEXT}"
+
+
+def test_reader_comments_go_even_where_they_are_longer():
+    comments = "".join(f"<p>Comment {i}: I have read this and wish to say at length what I think of it, again and again.</p>" for i in range(20))
+    assert html_text.main_text(f'<body><div class="story">{ARTICLE}</div><div class="comments">{comments}</div></body>') == ARTICLE_TEXT
+
+
+def test_density_of_pages_without_article_elements():
+    """The core of generated pages is the node with the largest density sum of a plain recursive computation."""
+    r = random.Random(6)
+
+    def grow(depth):
+        parts = [f"<p>{' '.join(r.choice(WORDS) for _ in range(r.randrange(3, 40)))}</p>" if r.random() < 0.6 else f"<a href=x>{r.choice(WORDS)}</a>" for _ in range(r.randrange(1, 6))]
+        parts += [grow(depth - 1) for _ in range(r.randrange(0, 3))] if depth else []
+        r.shuffle(parts)
+        return f"<div>{''.join(parts)}</div>"
+
+    import math
+
+    def counts(node):
+        chars = tags = links = link_tags = 0
+        for c in node.children:
+            if isinstance(c, str):
+                chars += len("".join(c.split()))
+            else:
+                a, b, x, y = counts(c)
+                chars, tags, links, link_tags = chars + a, tags + b + 1, links + x, link_tags + y + (c.tag == "a")
+        return chars, tags, chars if node.tag == "a" else links, link_tags
+
+    for _ in range(60):
+        root = html_text.tree(f"<body>{grow(3)}</body>")
+        body = root.children[0]
+        body.parent = None
+        nodes = html_text.measure(body)
+        c, _, l, _ = counts(body)
+        ratio = l / max(1, c)
+        for node in nodes:
+            total = 0.0
+            for child in node.children:
+                if not isinstance(child, str):
+                    chars, tags, links, link_tags = counts(child)
+                    if chars:
+                        tags = max(1, tags)
+                        base = math.log(chars / max(1, chars - links) * links + ratio * chars + math.e)
+                        total += chars / tags * math.log(max(1.0, chars / max(1, links) * tags / max(1, link_tags)) + 1) / math.log(max(base, 1.5) + 1)
+            assert abs(node.total - total) < 1e-9

@@ -204,7 +204,11 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", **nam
 
 
 def drop_contaminated(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows, whole, in whose text no window of any item occurs."""
+    """The rows, whole, in whose text no window of any item occurs.
+
+    A null or empty text has no words and stays; very long texts are searched whole; repeated rows and rows without id are
+    judged each; an empty table stays empty, and without items all rows stay; other columns come through as they are.
+    """
     at, blocks = df.columns.index(text_col), Blocks(items, item_id, item_text, block_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

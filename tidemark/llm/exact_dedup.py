@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: ``[\x20\x09-\x0D]``, deleted before texts are compared.
@@ -53,11 +54,16 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, whole, one of each content (of rows with the id that stays and the same content: one of them).
+    """The rows that stay, whole, one of each content; of rows with the id that stays and that content the one with the most
+    code points in its original text, then the least of these texts.
 
-    A row is decided by its content and its id together, so different texts under one id, or without id, each stay.
+    A row is decided by its content and its id together, so different texts under one id, or without id, each stay.  Null
+    counts as empty; very long texts are compared whole; an empty table stays empty; other columns come through as they
+    are, whatever their names.  Besides the grouping, rows cross the network once, to the groups of their content.
     """
-    groups = content_groups(df, id_col, text_col).select(F.col("text_sha256").alias("__content"), F.col("keep_id").alias("__keep"))
-    rows = df.withColumn("__text", F.sha2(normalised(text_col), 256))
-    stay = rows.join(groups, (F.col("__text") == F.col("__content")) & F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
-    return stay.dropDuplicates(["__text", id_col]).drop("__text")
+    groups = content_groups(df, id_col, text_col).select(F.col("text_sha256").alias("content"), F.col("keep_id").alias("keep"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = df.select(F.struct(*df.columns).alias("row"), F.sha2(normalised(text_col), 256).alias("content"), F.col(id_col).cast("long").alias("id"), F.length(text).alias("n"), F.md5(text).alias("raw"))
+    rows = rows.join(groups, "content").where(F.col("id").eqNullSafe(F.col("keep"))).drop("keep")
+    first = F.row_number().over(W.partitionBy("content", "id").orderBy(F.desc("n"), "raw"))
+    return rows.withColumn("place", first).where("place = 1").select(*[F.col("row")[c].alias(c) for c in df.columns])

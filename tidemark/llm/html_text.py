@@ -2,7 +2,9 @@
 
 Every DOM node gets a density: characters per tag, adjusted by how much of them are link text and how that compares
 with the page's body.  What a node is called (its element, class or id) is evidence: it lowers the weight at which its
-density counts, but removes nothing by itself, save the elements that cannot hold an article.  A node's density sum adds
+density counts, but removes nothing by itself, save the elements that cannot hold an article.  Names that speak of menus,
+sidebars, adverts and the like, and being a form, are no evidence against a node that holds most of the page's unlinked
+text, since layouts are named after their parts; names of reader comments always are.  A node's density sum adds
 up its children's weighted densities.  The subtree with the largest sum is the core; the least density on the path from
 it to the body is the threshold that other subtrees, loose text beside the core, and doubtful nodes inside it must reach.
 """
@@ -23,8 +25,8 @@ from tidemark.llm.common import map_batches
 TAG_START = re.compile(r"<(?=!--|[!?]|/?[a-zA-Z])")
 TAG_STOP = re.compile("[>\"']")
 NAME = re.compile(r"</?([^\s/>]+)")
-ATTRIBUTE = re.compile(r"(?i)\b(?:class|id|role|aria-label|itemtype)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-HIDDEN = re.compile(r"(?i)\s(?:hidden(?=[\s/>=])|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+UNSHOWN = re.compile(r"(?i)display\s*:\s*none")
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +46,10 @@ POSSIBLE = frozenset(
     "sponsoring aside widget foot header head related recommended recommendations share sharing social reply replies respond notice notices popup modal overlay "
     "subscribe subscription signup login search skip copyright".split()
 )
+#: Words of reader comments; words that say of a layout what it has or lacks, before or after the part's name.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+BEFORE, AFTER = frozenset("no with without has have hide show not".split()), frozenset("free less off".split())
+NAMING = ("class", "id", "role", "aria-label", "itemtype")
 WEIGHT_CERTAIN, WEIGHT_POSSIBLE = 0.02, 0.7
 CONTAINERS = frozenset("article main section div body td center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
@@ -52,28 +58,55 @@ MOST_DEPTH = 512
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "depth", "children", "chars", "tags", "link_chars", "link_tags", "density", "weight", "total")
+    __slots__ = ("tag", "attrs", "parent", "depth", "children", "chars", "tags", "link_chars", "link_tags", "density", "weight", "total", "unlinked", "shut")
 
     def __init__(self, tag: str, attrs: str = "", parent: Node | None = None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.depth = parent.depth + 1 if parent else 0
         self.children: list[Node | str] = []
 
-    def evidence(self) -> float:
-        """The weight that the node's own names leave it: 1 where they say nothing, 0 where it cannot be article text."""
-        if self.tag in FURNITURE_TAGS:
-            return 1.0 if self.tag == "header" and self.inside("article") else 0.0
+    def attributes(self) -> dict[str, str]:
+        return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(self.attrs)} if self.attrs else {}
+
+    def closed(self) -> bool:
+        """Whether this can't be article text whatever it holds: an element for something else, or a hidden one."""
+        if self.tag in FURNITURE_TAGS and self.tag != "form":
+            return self.tag != "header" or not self.inside("article", "main")
+        if not self.attrs or self.tag in ("body", "html"):
+            return False
+        said = self.attributes()
+        return "hidden" in said or said.get("aria-hidden", "").lower() == "true" or bool(UNSHOWN.search(said.get("style", "")))
+
+    def names(self) -> set[str]:
+        """Words of its class, id and role, without those by which a layout says what it has or lacks."""
+        out: set[str] = set()
+        said = self.attributes()
+        for token in " ".join(said.get(a, "") for a in NAMING).split():
+            parts = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if w]
+            if not (len(parts) > 1 and (parts[0] in BEFORE or parts[-1] in AFTER)):
+                out.update(parts)
+        return out
+
+    def evidence(self, most: int) -> float:
+        """The weight that element and names leave the node: 1 where they say nothing, 0 where it cannot be article text.
+
+        ``most``: a node with more unlinked characters than this holds most of the page.
+        """
+        if self.shut:
+            return 0.0
+        if self.tag == "form":
+            return 1.0 if self.unlinked > most else 0.0
         if not self.attrs or self.tag in ("body", "html", "article", "main"):
             return 1.0
-        if HIDDEN.search(self.attrs):
-            return 0.0
-        words = {w for m in ATTRIBUTE.finditer(self.attrs) for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1] or m[2] or m[3] or "").lower())}
+        words = self.names()
+        if self.unlinked > most:
+            words &= COMMENTS
         return WEIGHT_CERTAIN if words & CERTAIN else WEIGHT_POSSIBLE if words & POSSIBLE else 1.0
 
-    def inside(self, tag: str) -> bool:
+    def inside(self, *tags: str) -> bool:
         node = self.parent
         while node:
-            if node.tag == tag:
+            if node.tag in tags:
                 return True
             node = node.parent
         return False
@@ -200,7 +233,15 @@ def measure(root: Node) -> list[Node]:
     """
     nodes = _walk(root)
     for node in nodes:
-        node.weight = (node.parent.weight if node.parent else 1.0) * node.evidence()
+        node.shut = node.parent.shut if node.parent else False
+        node.shut = node.shut or node.closed()
+    for node in reversed(nodes):
+        own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        below = sum(c.unlinked for c in node.children if isinstance(c, Node))
+        node.unlinked = 0 if node.shut or node.tag == "a" else own + below
+    most = root.unlinked // 2
+    for node in nodes:
+        node.weight = (node.parent.weight if node.parent else 1.0) * node.evidence(most)
     for node in reversed(nodes):  # children before parents
         own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
         below = [c for c in node.children if isinstance(c, Node) and c.weight]
@@ -226,8 +267,6 @@ def density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float
     return chars / tags * (math.log(max(1.0, inner) + 1) / math.log(max(base, 1.5) + 1))
 
 
-
-
 def blocks(parts: list[Node | str], threshold: float) -> list[str]:
     """Text of the parts, cut at block boundaries; nodes in them that are more doubtful than they must reach the threshold."""
     out: list[list[str]] = [[]]

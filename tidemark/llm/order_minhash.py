@@ -290,9 +290,10 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row of each class, whole: the one that ``near_duplicates`` keeps, of repeated equal rows one.
 
     A row is known by its id and its text together, so different texts under one id, or without id, each stay unless
-    they are near each other.
+    they are near each other.  Null and empty texts are one text; very long ones are compared whole; an empty table stays
+    empty; other columns come through as they are, whatever their names.
     """
-    keep = classes_of_rows(df, id_col, text_col).select(F.col("keep_id").alias("__keep"), F.col("keep_raw").alias("__kept")).distinct()
-    rows = df.withColumn("__raw", raw_key(text_col))
-    stay = rows.join(keep, (F.col("__raw") == F.col("__kept")) & F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
-    return stay.dropDuplicates(["__raw", id_col]).drop("__raw")
+    keep = classes_of_rows(df, id_col, text_col).select("keep_id", "keep_raw").distinct()
+    rows = df.select(F.struct(*df.columns).alias("row"), raw_key(text_col).alias("raw"), F.col(id_col).cast("long").alias("id"))
+    stay = rows.join(keep, (F.col("raw") == F.col("keep_raw")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+    return stay.dropDuplicates(["raw", "id"]).select(*[F.col("row")[c].alias(c) for c in df.columns])
