@@ -3,8 +3,9 @@
 Every DOM node gets a density: characters per tag, adjusted by how much of them are link text and how that compares
 with the page's body.  What a node is called (its element, class or id) is evidence: it lowers the weight at which its
 density counts, but removes nothing by itself, save the elements that cannot hold an article.  Names that speak of menus,
-sidebars, adverts and the like, and being a form, are no evidence against a node that holds most of the page's unlinked
-text, since layouts are named after their parts; names of reader comments always are.  A node's density sum adds
+sidebars, adverts and the like, and being a form, are no evidence against a node that holds two thirds of the page's
+unlinked text and all of its articles, since layouts are named after their parts; names of reader comments always are.  A
+node's density sum adds
 up its children's weighted densities.  The subtree with the largest sum is the core; the least density on the path from
 it to the body is the threshold that other subtrees, loose text beside the core, and doubtful nodes inside it must reach.
 """
@@ -58,7 +59,7 @@ MOST_DEPTH = 512
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "depth", "children", "chars", "tags", "link_chars", "link_tags", "density", "weight", "total", "unlinked", "shut")
+    __slots__ = ("tag", "attrs", "parent", "depth", "children", "chars", "tags", "link_chars", "link_tags", "density", "weight", "total", "unlinked", "shut", "mains")
 
     def __init__(self, tag: str, attrs: str = "", parent: Node | None = None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
@@ -87,20 +88,16 @@ class Node:
                 out.update(parts)
         return out
 
-    def evidence(self, most: int) -> float:
-        """The weight that element and names leave the node: 1 where they say nothing, 0 where it cannot be article text.
-
-        ``most``: a node with more unlinked characters than this holds most of the page.
-        """
+    def evidence(self, body: Node) -> float:
+        """The weight that element and names leave the node: 1 where they say nothing, 0 where it cannot be article text."""
+        page = self.unlinked * 3 > body.unlinked * 2 and self.mains == body.mains
         if self.shut:
             return 0.0
         if self.tag == "form":
-            return 1.0 if self.unlinked > most else 0.0
+            return 1.0 if page else 0.0
         if not self.attrs or self.tag in ("body", "html", "article", "main"):
             return 1.0
-        words = self.names()
-        if self.unlinked > most:
-            words &= COMMENTS
+        words = self.names() & (COMMENTS if page else CERTAIN | POSSIBLE)
         return WEIGHT_CERTAIN if words & CERTAIN else WEIGHT_POSSIBLE if words & POSSIBLE else 1.0
 
     def inside(self, *tags: str) -> bool:
@@ -239,9 +236,9 @@ def measure(root: Node) -> list[Node]:
         own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
         below = sum(c.unlinked for c in node.children if isinstance(c, Node))
         node.unlinked = 0 if node.shut or node.tag == "a" else own + below
-    most = root.unlinked // 2
+        node.mains = sum(c.mains for c in node.children if isinstance(c, Node)) + (node.tag in ("article", "main") and node.unlinked > 0)
     for node in nodes:
-        node.weight = (node.parent.weight if node.parent else 1.0) * node.evidence(most)
+        node.weight = (node.parent.weight if node.parent else 1.0) * node.evidence(root)
     for node in reversed(nodes):  # children before parents
         own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
         below = [c for c in node.children if isinstance(c, Node) and c.weight]
