@@ -101,6 +101,7 @@ def test_every_character_is_in_a_window():
     for i in range(len(long) - 8):
         assert any(long[i : i + 8] in w for w in toxicity.windows(text))
     assert toxicity.windows("one") == [" one "] and toxicity.windows("a b c") == [" a b c "] and toxicity.windows("a b c d") == [" a b c ", " c d "]
+    assert toxicity.windows("a b c d e") == [" a b c ", " c d e "] and toxicity.windows("a b") == [" a b "]
     assert toxicity.windows(None) == toxicity.windows(" .") == []
 
 
@@ -130,6 +131,7 @@ def test_dictionaries_are_of_equal_size_and_no_window_is_skipped(spark):
             continue
         parts = [found[i : i + 3] for i in range(0, len(found), 2)]
         parts = [p for i, p in enumerate(parts) if i == 0 or len(p) > 1]  # a last single word is in the window before
+        assert {int.from_bytes(g, "little") for g in toxicity.grams(toxicity.plain(r.text))} == set(toxicity._gram_codes(r.text).tolist())
         raw = [toxicity.BEFORE + f" {' '.join(p)} ".encode() + toxicity.AFTER for p in parts]
         want = Counter(len(pair[1].compress(w)) - len(pair[0].compress(w)) for w in raw)
         assert scorer.margins(r.text) == want

@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+import operator
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -43,7 +44,8 @@ MOST_HELD = 100_000  # strings that a task counts at a time; the sums of what it
 #: Longer runs of word characters, as in scripts without spaces, are taken as overlapping words of so many characters.
 WORD_CHARS, WORD_STEP = 24, 16
 WINDOW_WORDS, WINDOW_STEP = 3, 2
-WINDOWS_AT_ONCE = 4096
+#: Windows compressed in a lot; texts whose features a worker remembers, since corpora hold copies.
+WINDOWS_AT_ONCE, TEXTS_KEPT = 4096, 20_000
 THRESHOLDS = range(2, 9)
 #: Both dictionaries end with these, and each window stands between them: zstd finds no match in the last bytes of
 #: its input and stores very short inputs raw, and what both sides share cancels out of the margin.
@@ -53,8 +55,10 @@ SHORT_WORD = re.compile(rb"(?=( [^ ]{2,%d} ))" % (GRAM - 3))
 
 
 def words(text: str | None) -> list[str]:
-    out = []
-    for w in WORD.findall((text or "").lower()):
+    out, found = [], WORD.findall((text or "").lower())
+    if max(map(len, found), default=0) <= WORD_CHARS:
+        return found
+    for w in found:
         if len(w) <= WORD_CHARS:
             out.append(w)
         else:
@@ -65,7 +69,10 @@ def words(text: str | None) -> list[str]:
 def windows(text: str | None) -> list[str]:
     """Runs of ``WINDOW_WORDS`` words, every ``WINDOW_STEP``, the last one as long as there are words."""
     found = words(text)
-    return [f" {' '.join(found[i : i + WINDOW_WORDS])} " for i in range(0, max(1, len(found) - WINDOW_WORDS + WINDOW_STEP), WINDOW_STEP)] if found else []
+    out = [f" {a} {b} {c} " for a, b, c in zip(found[::2], found[1::2], found[2::2], strict=False)]
+    if len(found) % WINDOW_STEP == 0 or len(found) == 1:
+        out += [f" {' '.join(found[-2:])} "] if found else []
+    return out
 
 
 def plain(text: str | None) -> bytes:
@@ -93,6 +100,7 @@ class Scorer:
     def __init__(self, model: ToxicityModel):
         self.weights = np.array(model.weights)
         self.toxic, self.ordinary = self._compressor(model.toxic), self._compressor(model.ordinary)
+        self.known: dict[bytes, list[float]] = {}
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -110,12 +118,20 @@ class Scorer:
         for at in range(0, len(found), WINDOWS_AT_ONCE):
             raw = [BEFORE + w.encode() + AFTER for w in found[at : at + WINDOWS_AT_ONCE]]
             toxic, ordinary = self.toxic.multi_compress_to_buffer(raw), self.ordinary.multi_compress_to_buffer(raw)
-            out.update(len(ordinary[i]) - len(toxic[i]) for i in range(len(raw)))
+            out.update(map(operator.sub, map(len, ordinary), map(len, toxic)))
         return out
 
     def features(self, text: str | None) -> list[float]:
         """How many windows pass each threshold, by number and by share, the mean margin and the length."""
-        found = self.margins(text)
+        key = hashlib.md5((text or "").encode()).digest()
+        if key not in self.known:
+            if len(self.known) >= TEXTS_KEPT:
+                self.known.clear()
+            self.known[key] = self._features(self.margins(text))
+        return self.known[key]
+
+    @staticmethod
+    def _features(found: Counter) -> list[float]:
         n = max(1, found.total())
         over = [sum(c for m, c in found.items() if m >= t) for t in THRESHOLDS]
         return [1.0, *map(math.log1p, over), *(math.log1p(1000 * x / n) for x in over), sum(m * c for m, c in found.items()) / n, math.log1p(n)]
@@ -161,6 +177,36 @@ def _count(make):
     return run
 
 
+def _gram_codes(text: str | None) -> np.ndarray:
+    """``grams`` of the text as numbers: their bytes, the first one lowest; a text has no zero byte."""
+    data = plain(text)
+    at = np.frombuffer(data, np.uint8).astype(np.uint64)
+    n = len(at) - GRAM + 1
+    long = sum((at[i : n + i] << np.uint64(8 * i) for i in range(1, GRAM)), at[:n].copy()) if n > 0 else at[:0]
+    short = np.array([int.from_bytes(w, "little") for w in set(SHORT_WORD.findall(data))], np.uint64)
+    return np.concatenate([np.unique(long), short])
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_count`` of all grams, by sorting numbers."""
+    held: list[list[np.ndarray]] = [[], []]
+
+    def told() -> Iterator[pa.RecordBatch]:
+        for y in (0, 1):
+            if held[y]:
+                codes, n = np.unique(np.concatenate(held[y]), return_counts=True)
+                mine, none = pa.array(n.astype(np.int64)), pa.array(np.zeros(len(n), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(["g"] * len(n)), pa.array(codes.astype("<u8").view("S8").tolist(), pa.binary()), none if y else mine, mine if y else none], names=["kind", "string", "n0", "n1"])
+                held[y].clear()
+
+    for batch in batches:
+        for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held[y].append(_gram_codes(text))
+        if sum(map(len, held[0])) + sum(map(len, held[1])) > 10 * MOST_HELD:
+            yield from told()
+    yield from told()
+
+
 COUNTS = "kind string, string binary, n0 long, n1 long"
 
 
@@ -231,7 +277,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     fit = chosen.where("__fit").select("__y", text_col)
     leaning: list[dict[bytes, float]] = [{}, {}]
     if all(sizes):
-        counted = materialise(map_batches(fit, _count(lambda y, t: (("g", g) for g in grams(plain(t)))), COUNTS).groupBy("string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-grams")
+        counted = materialise(map_batches(fit, _count_grams, COUNTS).groupBy("string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-grams")
         leaning = [_leaning(counted, sizes, 0, 1.0, 0.0), _leaning(counted, sizes, 1, LEAST_RATIO, 2 * math.log(max(2, counted.count())))]
 
     def parts(y: int, text: str | None) -> Iterator[tuple[str, bytes]]:
