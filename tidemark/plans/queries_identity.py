@@ -50,9 +50,10 @@ def people_from_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.resolve_people(sources, links, aliases, people, members)
 
 
-#: Every order is a game of two nations of one region, and a listing of it that is sometimes misread.
-LISTED = """WITH nt AS (SELECT n_nationkey AS team, n_name, n_regionkey AS r, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS i, upper(substr(n_name, 1, CASE WHEN n_nationkey % 4 = 0 THEN 2 ELSE 3 END)) AS code FROM nation),
-g AS (SELECT o_orderkey AS k, o_custkey % 5 AS r, o_custkey % 3 AS a, 3 + o_orderkey % 2 AS h, CAST(o_orderdate AS DATE) AS day, (18 + o_orderkey % 3) || ':05' AS clock FROM orders),
+#: Every order is a game of two nations of one region, twenty years later since tickers begin in 2000, and a listing of it that is
+#: sometimes misread.
+LISTED = """WITH nt AS (SELECT n_nationkey AS team, n_name, n_regionkey AS r, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS i, ['AB', 'ABC', 'CD', 'XY', 'D'][row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey)] AS code FROM nation),
+g AS (SELECT o_orderkey AS k, o_custkey % 5 AS r, o_custkey % 3 AS a, 3 + o_orderkey % 2 AS h, CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS day, (18 + o_orderkey % 3) || ':05' AS clock FROM orders),
 gm AS (SELECT g.*, a.team AS away, h.team AS home, a.code AS ac, h.code AS hc, a.n_name AS an, h.n_name AS hn, o.n_name AS other FROM g JOIN nt a ON a.r = g.r AND a.i = g.a JOIN nt h ON h.r = g.r AND h.i = g.h JOIN nt o ON o.r = g.r AND o.i = (g.a + 1) % 3),
 e AS (SELECT *, k % 13 AS m, ac || CASE WHEN k % 13 = 3 THEN 'QQ' ELSE hc END AS pair, CASE WHEN k % 13 = 6 THEN NULL ELSE clock END AS told, CASE k % 13 WHEN 2 THEN NULL WHEN 0 THEN hn WHEN 7 THEN hn ELSE an END AS t1,
     CASE k % 13 WHEN 2 THEN NULL WHEN 0 THEN an WHEN 7 THEN an WHEN 1 THEN other ELSE hn END AS t2 FROM gm),
@@ -71,11 +72,11 @@ def listings_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window as W
 
     place = F.row_number().over(W.partitionBy("n_regionkey").orderBy("n_nationkey")) - 1
-    length = F.when(F.col("n_nationkey") % 4 == 0, 2).otherwise(3)
-    nations = F.broadcast(read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("team"), "n_name", F.col("n_regionkey").alias("r"), place.alias("i"), F.upper(F.substr("n_name", F.lit(1), length)).alias("code")))
+    code = F.element_at(F.array(*map(F.lit, ("AB", "ABC", "CD", "XY", "D"))), place + 1)
+    nations = F.broadcast(read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("team"), "n_name", F.col("n_regionkey").alias("r"), place.alias("i"), code.alias("code")))
     key = F.col("k")
     orders = read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 5).alias("r"), (F.col("o_custkey") % 3).alias("a"), (3 + F.col("o_orderkey") % 2).alias("h"), F.col("o_orderdate").cast("date").alias("day"), F.concat(18 + F.col("o_orderkey") % 3, F.lit(":05")).alias("clock")
+        F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 5).alias("r"), (F.col("o_custkey") % 3).alias("a"), (3 + F.col("o_orderkey") % 2).alias("h"), F.add_months(F.col("o_orderdate").cast("date"), 240).alias("day"), F.concat(18 + F.col("o_orderkey") % 3, F.lit(":05")).alias("clock")
     )
     of = lambda i, *names: nations.select("r", F.col("i").alias(i), *[F.col(c).alias(n) for c, n in zip(("team", "code", "n_name"), names, strict=True)])
     games = orders.join(of("a", "away", "ac", "an"), ["r", "a"]).join(of("h", "home", "hc", "hn"), ["r", "h"]).withColumn("o", (F.col("a") + 1) % 3).join(of("o", "_t", "_c", "other"), ["r", "o"])
@@ -87,5 +88,5 @@ def listings_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = games.select(key.alias("event"), series.alias("series"), ticker.alias("ticker"), title.alias("title"), F.lit("p").alias("provider"))
     leagues = nations.select(F.concat(F.lit("KX"), F.col("r").cast("string")).alias("series"), league.alias("league")).distinct()
     codes = nations.select(league.alias("league"), "code", "team")
-    aliases = nations.select(league.alias("league"), F.lower("n_name").alias("name"), F.lit("").alias("suffix"), F.lit("").alias("provider"), F.col("team").alias("entity"), F.lit(False).alias("is_ambiguous"))
+    aliases = nations.select(league.alias("league"), F.replace(F.lower("n_name"), F.lit("_"), F.lit(" ")).alias("name"), F.lit("").alias("suffix"), F.lit("").alias("provider"), F.col("team").alias("entity"), F.lit(False).alias("is_ambiguous"))
     return identity.listed_events(events, leagues, codes, aliases, games.select(key.alias("game"), league.alias("league"), "away", "home", "day", "clock"))
