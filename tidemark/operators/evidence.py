@@ -136,8 +136,8 @@ def population_check(sealed: DataFrame, derived: DataFrame, key: str, cap: int)
 
 
 def exactly_one(rows: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    """``value`` of keys that have exactly one row, and ``none_or_many`` otherwise: a read that must not choose."""
-    per = rows.groupBy(*key).agg(F.count("*").alias("n"), F.min(value).alias("v"))
+    """``value`` of keys that have exactly one row with a value, and ``none_or_many`` otherwise: a read that must not choose."""
+    per = rows.groupBy(*key).agg(F.count(value).alias("n"), F.min(value).alias("v"))
     return per.select(*key, F.when(F.col("n") == 1, F.col("v")).alias(value), F.when(F.col("n") == 1, "one").otherwise("none_or_many").alias("state"))
 
 

@@ -239,8 +239,8 @@ def dataset_grade(events: DataFrame, kind: str, time: str, published: str, key:
     return per.withColumn("n_notes", notes).withColumn("execution_valid", valid).withColumn("score", score).withColumn("grade", grade)
 
 
-def backtest(books: DataFrame, triggers: DataFrame, market: str, time: str, order: str, decide: Column, limit: Column, fair: str, grid_us: Sequence[int], fee: Column | None = None) -> DataFrame:
-    """Replay to latency curves in one plan.
+def backtest(books: DataFrame, triggers: DataFrame, market: str, time: str, order: str, decide: Column, limit: Column, fair: str, grid_us: Sequence[int], fee: Column | None = None, slices: Slices | None = None) -> DataFrame:
+    """Replay of best asks to latency curves; see ``operators.backtest`` for ladders, sizes and both sides.
 
     ``books``: carried-forward views (``timelines``) with ``yes_ask`` and ``status``; ``triggers``: rows that may decide,
     with the fair value.  Each trigger sees the book as of its own time, decides by ``decide`` up to ``limit``, meets the
@@ -248,15 +248,17 @@ def backtest(books: DataFrame, triggers: DataFrame, market: str, time: str, orde
     ask is within the limit.  The last ask is the closing price.  Two as-of joins and one partial aggregate.
     """
     from tidemark.operators.asof import as_of_join, next_trigger
+    from tidemark.operators.windows import checkpointed
 
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    books = checkpointed(books) if slices else books  # a scan in slices reads its input twice
     views = books.select(market, F.col(time).alias("__at"), "yes_ask", "status")
     closing = books.where("yes_ask IS NOT NULL").groupBy(market).agg(F.max(F.struct(time, order, "yes_ask"))["yes_ask"].alias("closing"))
-    timed = next_trigger(triggers.where(F.col(market).isNotNull() & F.col(time).isNotNull()), [market], time)
-    now = as_of_join(timed.select(market, time, order, "next_at", fair), views, [market], time, "__at", ["yes_ask", "status"]).where(F.col("matched_at").isNotNull() & decide)
+    timed = next_trigger(triggers.where(F.col(market).isNotNull() & F.col(time).isNotNull()), [market], time, slices)
+    now = as_of_join(timed.select(market, time, order, "next_at", fair), views, [market], time, "__at", ["yes_ask", "status"], slices=slices).where(F.col("matched_at").isNotNull() & decide)
     points = now.withColumn("limit", limit).join(closing, market, "left").select(market, time, "next_at", fair, "limit", "closing")
     late = points.withColumn("latency_us", F.explode(F.array(*[F.lit(g).cast("long") for g in grid_us]))).withColumn("arrival", F.timestamp_micros(micros(time) + F.col("latency_us")).cast("timestamp_ntz"))
-    met = as_of_join(late, views, [market], "arrival", "__at", ["yes_ask", "status"])
+    met = as_of_join(late, views, [market], "arrival", "__at", ["yes_ask", "status"], slices=slices)
     stale = F.coalesce(F.col("next_at") <= F.col("arrival"), F.lit(False))
     open_ = ~stale & F.coalesce(F.col("status") == "open", F.lit(False))
     fill = open_ & F.coalesce(F.col("yes_ask") <= F.col("limit"), F.lit(False))

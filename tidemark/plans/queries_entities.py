@@ -115,11 +115,13 @@ def directory_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.tiered(c, "c_custkey", [(1.0, by_id), (0.95, by_team), (0.9, by_name)], "s_suppkey").select("c_custkey", "tier", "s_suppkey", "outcome")
 
 
-@query("""WITH p AS (SELECT DISTINCT l_suppkey AS s, l_partkey % 300 + 1 AS t FROM lineitem WHERE l_quantity >= 50 AND l_suppkey % 3 = l_partkey % 3), n AS (SELECT *, count(*) OVER (PARTITION BY s) AS nt, count(*) OVER (PARTITION BY t) AS ns FROM p)
+@query("""WITH p AS (SELECT DISTINCT l_orderkey AS s, l_orderkey // 2 * 3 + l_partkey % 4 // 2 + l_orderkey % 2 AS t FROM lineitem), n AS (SELECT *, count(*) OVER (PARTITION BY s) AS nt, count(*) OVER (PARTITION BY t) AS ns FROM p)
 SELECT s, t, CASE WHEN s % 10 = 0 THEN 'unaudited' WHEN nt > 1 THEN 'source_shared' WHEN ns > 1 THEN 'target_shared' ELSE 'accepted' END AS verdict FROM n""")
 def id_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem").where("l_quantity >= 50 AND l_suppkey % 3 = l_partkey % 3").select(F.col("l_suppkey").alias("s"), (F.col("l_partkey") % 300 + 1).alias("t"))
-    return entities.crosswalk(li, read(spark, sf_dir, "supplier").where("s_suppkey % 10 > 0").select(F.col("s_suppkey").alias("s")), "s", "t")
+    target = F.expr("l_orderkey div 2 * 3 + l_partkey % 4 div 2 + l_orderkey % 2")
+    seen = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("s"), target.alias("t"))
+    audited = read(spark, sf_dir, "orders").where("o_orderkey % 10 > 0").select(F.col("o_orderkey").alias("s"))
+    return entities.crosswalk(seen, audited, "s", "t")
 
 
 @query("""WITH x AS (SELECT n_nationkey AS official_team, n_nationkey % 7 AS team FROM nation WHERE n_nationkey % 6 > 0), o AS (SELECT o_orderkey, o_custkey % 25 AS home, o_orderkey % 25 AS away, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 2 = 0),

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import games
+from tidemark.operators.slices import by_seconds
 from tidemark.plans.registering import LOG, instant, observations, query
 
 NUMBERED = LOG + ", e AS (SELECT user_id AS entity, ts, event_id, event_id % 8 AS m, k, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM log) "
 ORDER = ["ts", "event_id"]
+WEEK = by_seconds(7 * 86_400)
 
 
 def _json(**values) -> F.Column:
@@ -98,17 +100,17 @@ def dataset_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return games.dataset_grade(e, "kind", "at", "published", ["dataset"]).select("dataset", "n", "n_notes", "execution_valid", "score", "grade")
 
 
-BOOKS = LOG + """, b0 AS (SELECT user_id AS market, ts, event_id, event_id % 6 = 0 AS snap, CASE WHEN k % 5 > 0 THEN 20 + k % 40 END AS ask, CASE WHEN k % 7 = 0 THEN 'halted' WHEN k % 7 < 5 THEN 'open' END AS st FROM log WHERE event_id % 3 = 0),
+BOOKS = LOG + """, b0 AS (SELECT user_id AS market, ts, event_id, event_id % 6 = 0 AS snap, CASE WHEN k % 5 > 0 THEN 20 + k % 40 END AS ask, CASE WHEN k % 7 = 0 THEN 'halted' WHEN k % 7 < 5 THEN 'open' END AS st FROM log),
 b1 AS (SELECT *, sum(CAST(snap AS INT)) OVER (PARTITION BY market ORDER BY ts, event_id) AS ep FROM b0),
 b AS (SELECT market, ts, event_id, last_value(ask IGNORE NULLS) OVER w AS yes_ask, last_value(st IGNORE NULLS) OVER w AS status FROM b1 WINDOW w AS (PARTITION BY market, ep ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))"""
 
 
 def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    rows = observations(spark, sf_dir).where("event_id % 3 = 0").select(
+    rows = observations(spark, sf_dir).select(
         F.col("user_id").alias("market"), "ts", "event_id", F.when(k % 5 > 0, 20 + k % 40).alias("yes_ask"), F.when(k % 7 == 0, "halted").when(k % 7 < 5, "open").alias("status"),
     )
-    return games.timelines(rows, "market", "ts", "event_id", F.col("event_id") % 6 == 0, ["yes_ask", "status"])
+    return games.timelines(rows, "market", "ts", "event_id", F.col("event_id") % 6 == 0, ["yes_ask", "status"], WEEK)
 
 
 @query(BOOKS + "SELECT market, ts, event_id, yes_ask, status FROM b")
@@ -117,14 +119,14 @@ def market_timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(BOOKS + """, c AS (SELECT market, arg_max(yes_ask, (ts, event_id)) AS closing FROM b WHERE yes_ask IS NOT NULL GROUP BY 1),
-t AS (SELECT user_id AS market, ts, event_id, k AS fair, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_at FROM log WHERE event_id % 3 = 1),
+t AS (SELECT user_id AS market, ts, event_id, k AS fair, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_at FROM log),
 p AS (SELECT t.market, t.ts, t.fair, t.next_at, t.fair - 2 AS lim FROM t ASOF JOIN b ON t.market = b.market AND t.ts >= b.ts WHERE b.status = 'open' AND t.fair - b.yes_ask >= 2),
 l AS (SELECT p.*, g AS latency_us, ts + to_microseconds(g) AS arrival FROM p, (SELECT unnest([0, 3600000000, 86400000000, 259200000000]) AS g)),
 m AS (SELECT l.*, b.yes_ask AS ask, b.status, closing, coalesce(l.next_at <= l.arrival, false) AS stale FROM l ASOF LEFT JOIN b ON l.market = b.market AND l.arrival >= b.ts LEFT JOIN c ON c.market = l.market),
 f AS (SELECT *, NOT stale AND coalesce(status = 'open', false) AS live, NOT stale AND coalesce(status = 'open', false) AND coalesce(ask <= lim, false) AS fill FROM m)
 SELECT latency_us, count(*) AS n_orders, count(*) FILTER (live) AS n_actionable, count(*) FILTER (fill) AS n_fills, round(avg(CASE WHEN fill THEN fair - ask ELSE 0 END), 9) AS mean_profit, round(avg(fair - ask), 9) AS mean_edge, round(avg(closing - ask) FILTER (fill), 9) AS mean_clv FROM f GROUP BY 1""")
 def full_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    triggers = observations(spark, sf_dir).where("event_id % 3 = 1").select(F.col("user_id").alias("market"), "ts", "event_id", F.col("k").alias("fair"))
+    triggers = observations(spark, sf_dir).select(F.col("user_id").alias("market"), "ts", "event_id", F.col("k").alias("fair"))
     decide = (F.col("status") == "open") & (F.col("fair") - F.col("yes_ask") >= 2)
-    out = games.backtest(_books(spark, sf_dir), triggers, "market", "ts", "event_id", decide, F.col("fair") - 2, "fair", [0, 3_600_000_000, 86_400_000_000, 259_200_000_000])
+    out = games.backtest(_books(spark, sf_dir), triggers, "market", "ts", "event_id", decide, F.col("fair") - 2, "fair", [0, 3_600_000_000, 86_400_000_000, 259_200_000_000], slices=WEEK)
     return out.select("latency_us", "n_orders", "n_actionable", "n_fills", *[F.round(c, 9).alias(c) for c in ("mean_profit", "mean_edge", "mean_clv")])

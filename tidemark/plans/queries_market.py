@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import pricing, units
 from tidemark.operators import market, stats, windows
+from tidemark.operators.slices import by_seconds
 from tidemark.plans.registering import LOG, observations, query, read
 
 GRID = [0, 25_000_000, 50_000_000, 100_000_000, 200_000_000, 400_000_000, 800_000_000, 1_600_000_000]
@@ -16,7 +17,7 @@ GRID = [0, 25_000_000, 50_000_000, 100_000_000, 200_000_000, 400_000_000, 800_00
 SELECT event_id, last_value(bid IGNORE NULLS) OVER w AS bid, last_value(ask IGNORE NULLS) OVER w AS ask FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def book_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = observations(spark, sf_dir).withColumns({"bid": F.when(F.col("event_type") == "view", F.col("k")), "ask": F.when(F.col("event_type") == "click", F.col("k"))})
-    return windows.carry_forward(s, ["user_id"], ["ts", "event_id"], ["bid", "ask"]).select("event_id", "bid", "ask")
+    return windows.carry_forward(s, ["user_id"], ["ts", "event_id"], ["bid", "ask"], by_seconds(7 * 86_400)).select("event_id", "bid", "ask")
 
 
 @query(LOG + "SELECT user_id, coalesce(arg_max(k, (ts, event_id)) FILTER (event_type = 'purchase'), arg_max(k, (ts, event_id)) FILTER (event_type = 'view')) AS closing FROM log GROUP BY user_id")
@@ -284,10 +285,10 @@ def lineup_spacing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.spacing(_points(spark, sf_dir), ["frame"], "x", "y").where("spacing IS NOT NULL").select("frame", F.round("spacing", 9).alias("spacing"))
 
 
-@query(POINTS + "SELECT a.vec_id, a.frame, round(min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))), 9) AS distance FROM p a LEFT JOIN (SELECT * FROM p WHERE vec_id % 10 >= 5) b ON a.frame = b.frame WHERE a.vec_id % 10 = 0 GROUP BY ALL")
+@query(POINTS + "SELECT a.vec_id, a.frame, round(min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))), 9) AS distance FROM p a LEFT JOIN (SELECT * FROM p WHERE vec_id % 10 >= 5) b ON a.frame = b.frame WHERE a.vec_id % 10 < 5 GROUP BY ALL")
 def nearest_defender(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _points(spark, sf_dir)
-    return market.nearest(p.where("vec_id % 10 = 0"), p.where("vec_id % 10 >= 5"), ["frame"], "x", "y").select("vec_id", "frame", F.round("distance", 9).alias("distance"))
+    return market.nearest(p.where("vec_id % 10 < 5"), p.where("vec_id % 10 >= 5"), ["frame"], "x", "y").select("vec_id", "frame", F.round("distance", 9).alias("distance"))
 
 
 @query("SELECT l_orderkey, sum(CAST(l_quantity AS BIGINT)) AS filled, round(sum(l_quantity * l_extendedprice) / sum(l_quantity), 6) AS avg_price FROM lineitem GROUP BY 1")

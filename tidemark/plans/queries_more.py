@@ -55,9 +55,9 @@ def matches_of_other_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.window_matches(h, g, ["o_custkey"], "a", "b", "ht", "bt", [86_400 * 10, 86_400 * 60], ["provider"])
 
 
-@query("""SELECT x.o_orderkey AS a, y.o_orderkey AS b FROM orders x JOIN orders y ON x.o_custkey % 200 = y.o_orderkey % 200 AND x.o_orderkey % 200 = y.o_custkey % 200 AND x.o_orderstatus = 'P' AND y.o_orderstatus = 'P'""")
+@query("""SELECT x.o_orderkey AS a, y.o_orderkey AS b FROM orders x JOIN orders y ON x.o_custkey % 1000 = y.o_orderkey % 1000 AND x.o_orderkey % 1000 = y.o_custkey % 1000""")
 def swapped_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").withColumns({"home": F.col("o_custkey") % 200, "away": F.col("o_orderkey") % 200})
+    o = read(spark, sf_dir, "orders").withColumns({"home": F.col("o_custkey") % 1000, "away": F.col("o_orderkey") % 1000})
     return entities.swapped(o.select("home", "away", F.col("o_orderkey").alias("a")), o.select("home", "away", F.col("o_orderkey").alias("b")), "home", "away").select("a", "b")
 
 
