@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,25 +15,92 @@ SPACED = ".,-/\\_()[]{}:;|–—‐‑+*\""
 SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "v")
 
 
-def _accent_table() -> tuple[str, str]:
-    """Single characters from Latin to Greek Extended whose decomposition is one plain character and marks."""
-    pairs = []
-    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x2000)]:
-        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
-        if len(plain) == 1 and plain != chr(code):
-            pairs.append((chr(code), plain))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+#: Syllables of Hangul are made of parts by rule: so many first, middle and last ones (the first of these being none).
+HANGUL, FIRSTS, MIDDLES, LASTS = 0xAC00, 19, 21, 28
+#: White space that no decomposition turns into a plain space, beside ASCII.
+SPACE = "[\\s\\x1c-\\x1f\\x85\\u1680\\u2028\\u2029]+"
+
+
+def _plain(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
+def _ranges(codes: Sequence[int]) -> str:
+    """A character class of the ascending codes."""
+    out, start, last = "", None, None
+    for code in [*codes, None]:
+        if start is not None and code != last + 1:
+            out += f"\\x{{{start:x}}}-\\x{{{last:x}}}"
+            start = None
+        start, last = code if start is None else start, code
+    return f"[{out}]"
+
+
+@cache
+def _decompositions() -> tuple[str, str, tuple[str, ...], tuple[str, ...], str]:
+    """From the compatibility decomposition of every character, without combining marks: those that become one other
+    character and what they become, with those that vanish behind them; those that become several, and these; their class."""
+    single, vanish, many = {}, [], {}
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
+        c = chr(code)
+        if HANGUL <= code < HANGUL + FIRSTS * MIDDLES * LASTS or not (unicodedata.decomposition(c) or unicodedata.combining(c)):
+            continue
+        plain = _plain(c)
+        if not plain:
+            vanish.append(c)
+        elif len(plain) > 1:
+            many[c] = plain
+        elif plain != c:
+            single[c] = plain
+    codes = sorted([*map(ord, many), *range(HANGUL, HANGUL + FIRSTS * MIDDLES * LASTS)])
+    return "".join(single) + "".join(vanish), "".join(single.values()), tuple(many), tuple(many.values()), _ranges(codes)
+
+
+@cache
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Lower-case characters without accents whose case folding is another character, or several."""
+    one, more = {}, {}
+    for code in (*range(0x80, 0xAC00), *range(0x10000, 0x20000)):
+        for low in {x for c in _plain(chr(code)) for x in c.lower()}:
+            folded = low.casefold()
+            if folded != low:
+                (one if len(folded) == 1 else more)[low] = folded
+    return one, more
 
 
 def strip_accents(text: Column) -> Column:
-    """Without combining marks and with accented letters as plain ones."""
-    return F.regexp_replace(F.translate(text, *_accent_table()), r"\p{Mn}+", "")
+    """Compatibility decomposition without combining marks: accents go, ligatures and wide letters become plain ones.
+
+    Characters that become one are a translation; only texts with others, Hangul or ligatures and the like, are taken
+    apart by character.
+    """
+    single, plain, many, values, class_ = _decompositions()
+    text = F.translate(text, single, plain)
+    held, keys = F.split(F.lit("\0".join(values)), "\0"), F.lit("".join(many))
+    parts = [F.array(*[F.lit(chr(first + k) if k or first != 0x11A7 else "") for k in range(n)]) for first, n in ((0x1100, FIRSTS), (0x1161, MIDDLES), (0x11A7, LASTS))]
+
+    def apart(c: Column) -> Column:
+        n, at = F.ascii(c) - HANGUL, F.call_function("instr", keys, c)
+        places = (F.floor(n / (MIDDLES * LASTS)), F.floor(n % (MIDDLES * LASTS) / LASTS), n % LASTS)
+        syllable = F.concat(*[F.element_at(p, (k + 1).cast("int")) for p, k in zip(parts, places, strict=True)])
+        return F.when((n >= 0) & (n < FIRSTS * MIDDLES * LASTS), syllable).when(at > 0, F.element_at(held, at)).otherwise(c)
+
+    return F.when(text.rlike(class_), F.array_join(F.transform(F.split(text, ""), apart), "")).otherwise(text)
+
+
+def case_fold(text: Column) -> Column:
+    """Full case folding of a text without accents."""
+    one, more = _folds()
+    folded = F.translate(F.lower(text), "".join(one), "".join(one.values()))
+    for low, several in more.items():
+        folded = F.replace(folded, F.lit(low), F.lit(several))
+    return folded
 
 
 def name_tokens(text: Column) -> Column:
-    plain = F.replace(F.replace(F.lower(strip_accents(text)), F.lit("ß"), F.lit("ss")), F.lit("&"), F.lit(" and "))
+    plain = F.replace(case_fold(strip_accents(text)), F.lit("&"), F.lit(" and "))
     folded = F.translate(F.translate(plain, SPACED, " " * len(SPACED)), REMOVED, "")
-    return F.filter(F.split(folded, r"\s+"), lambda t: t != "")
+    return F.filter(F.split(folded, SPACE), lambda t: t != "")
 
 
 def name_suffix(text: Column) -> Column:
