@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache
 
 from pyspark.sql import Column
@@ -68,6 +68,11 @@ def _folds() -> tuple[dict[str, str], dict[str, str]]:
     return one, more
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip_accents(text: Column) -> Column:
     """Compatibility decomposition without combining marks: accents go, ligatures and wide letters become plain ones.
 
@@ -75,7 +80,6 @@ def strip_accents(text: Column) -> Column:
     apart by character.
     """
     single, plain, many, values, class_ = _decompositions()
-    text = F.translate(text, single, plain)
     held, keys = F.split(F.lit("\0".join(values)), "\0"), F.lit("".join(many))
     parts = [F.array(*[F.lit(chr(first + k) if k or first != 0x11A7 else "") for k in range(n)]) for first, n in ((0x1100, FIRSTS), (0x1161, MIDDLES), (0x11A7, LASTS))]
 
@@ -85,7 +89,8 @@ def strip_accents(text: Column) -> Column:
         syllable = F.concat(*[F.element_at(p, (k + 1).cast("int")) for p, k in zip(parts, places, strict=True)])
         return F.when((n >= 0) & (n < FIRSTS * MIDDLES * LASTS), syllable).when(at > 0, F.element_at(held, at)).otherwise(c)
 
-    return F.when(text.rlike(class_), F.array_join(F.transform(F.split(text, ""), apart), "")).otherwise(text)
+    several = lambda t: F.when(t.rlike(class_), F.array_join(F.transform(F.split(t, ""), apart), "")).otherwise(t)
+    return _once(F.translate(text, single, plain), several)
 
 
 def case_fold(text: Column) -> Column:
@@ -103,18 +108,24 @@ def name_tokens(text: Column) -> Column:
     return F.filter(F.split(folded, SPACE), lambda t: t != "")
 
 
+def _suffix(tokens: Column) -> Column:
+    last = F.try_element_at(tokens, F.lit(-1))
+    return F.when((F.size(tokens) > 1) & last.isin(*SUFFIXES), last).otherwise("")
+
+
 def name_suffix(text: Column) -> Column:
-    t = name_tokens(text)
-    last = F.try_element_at(t, F.lit(-1))
-    return F.when((F.size(t) > 1) & last.isin(*SUFFIXES), last).otherwise("")
+    return _once(name_tokens(text), _suffix)
 
 
 def normalized_name(text: Column) -> Column:
     """Plain lower-case name without its generational suffix; a name of single letters only is one word."""
-    t = name_tokens(text)
-    kept = F.when(name_suffix(text) != "", F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0)))).otherwise(t)
-    initials = (F.size(kept) > 1) & F.forall(kept, lambda x: F.length(x) == 1)
-    return F.when(initials, F.array_join(kept, "")).otherwise(F.array_join(kept, " "))
+
+    def join(kept: Column) -> Column:
+        initials = (F.size(kept) > 1) & F.forall(kept, lambda x: F.length(x) == 1)
+        return F.when(initials, F.array_join(kept, "")).otherwise(F.array_join(kept, " "))
+
+    drop = lambda t: F.when(_suffix(t) != "", F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0)))).otherwise(t)
+    return _once(_once(name_tokens(text), drop), join)
 
 
 def slug(text: Column) -> Column:
