@@ -65,6 +65,27 @@ def test_pipeline_precedence():
     ]
 
 
+def test_released_events_are_never_lost():
+    """Positions 1, 3 (fails), 4, then 2, which releases them: 3 and 4 wait in line, 3 is given up after three failures."""
+
+    def run(steps, most=3):
+        fold, out = PipelineFold(most=most), []
+        for step in steps:
+            out.append(fold.step(*step)[1:])
+            fold = PipelineFold(json.loads(json.dumps(fold.dump())), most=most)
+        return out, fold
+
+    told = [(1, "a", False), (3, "c", True), (4, "d", False), (2, "b", False), (2, "b", False), (5, "e", False), (6, "f", False)]
+    got, fold = run([(n, True, c, False, False, q, f, 1) for n, (q, c, f) in enumerate(told)])
+    assert got == [("ack", "delivered", 1), ("ack", "buffered_gap", 0), ("ack", "buffered_gap", 0), ("ack", "delivered", 1), ("ack", "duplicate", 0), ("ack", "delivered+dead_letter", 2), ("ack", "delivered", 1)]
+    assert not fold.line and not fold.held and list(fold.processed) == ["a", "b", "d", "e", "f"]
+    # The releasing event itself fails: the others wait for its redelivery, and a later one does not overtake.
+    steps = [(1, True, "a", False, False, 1, False, 1), (2, True, "c", False, False, 3, False, 1), (3, True, "b", False, False, 2, True, 1), (4, True, "d", False, False, 4, False, 1), (5, True, "b", True, False, 2, False, 2)]
+    got, fold = run(steps)
+    assert got == [("ack", "delivered", 1), ("ack", "buffered_gap", 0), ("retry", "retry", 0), ("ack", "in_line", 0), ("ack", "delivered", 3)]
+    assert list(fold.processed) == ["a", "b", "c", "d"]
+
+
 def test_pipeline_stream_equals_batch(spark, tmp_path):
     rows = [("s", i, i % 9 > 0, str(i % 6), False, i % 5 == 0, i - (i % 4 == 1), i % 7 == 0, 1 + i % 3) for i in range(1, 25)]
     schema = "stream_key string, arrival long, supported boolean, content string, redelivered boolean, corrects boolean, sequence long, fails boolean, deliveries long"

@@ -230,6 +230,11 @@ class PipelineFold:
     Gives (arrival, action, status, events delivered).  ``action`` is ``ack``, ``retry`` or ``term``; a failing handler is
     retried until ``most`` deliveries and then goes to the dead letters.  Contents count as processed once delivered, so a
     retry is not a duplicate.  Held back are only the events beyond a gap; contents known are the last ``keep``.
+
+    An event that closes a gap releases those behind it.  If one of these fails, or the event itself is to be retried, what
+    was not delivered waits in line: the line is tried again with every later event of the stream, and its head, after
+    ``most`` failures, is a dead letter (``+dead_letter`` in the status).  While there is a line, events in order join it, so
+    none is lost and none overtakes; a transport that only redelivers the releasing event would lose them.
     """
 
     def __init__(self, state: dict | None = None, most: int = 3, keep: int = 10_000):
@@ -238,22 +243,52 @@ class PipelineFold:
         self.processed: dict[str, None] = dict.fromkeys(s.get("processed", ()))
         self.contents: dict[int, str] = {int(k): v for k, v in s.get("contents", {}).items()}
         self.held: dict[int, list] = {int(k): v for k, v in s.get("held", {}).items()}
+        self.line: list[list] = s.get("line", [])  # [content, fails, failures so far]
+        self.awaited: str | None = s.get("awaited")  # the event that must be redelivered before the line moves
         self.sequence = SequenceFold(s.get("sequence"), keep=0)
 
     def dump(self) -> dict:
-        return {"processed": list(self.processed), "contents": self.contents, "held": self.held, "sequence": self.sequence.dump()}
+        return {"processed": list(self.processed), "contents": self.contents, "held": self.held, "line": self.line, "awaited": self.awaited, "sequence": self.sequence.dump()}
+
+    def _done(self, content: str) -> None:
+        self.processed[content] = None
+        while len(self.processed) > self.keep:
+            self.processed.pop(next(iter(self.processed)))
+
+    def _move(self) -> tuple[int, bool]:
+        """Deliver the line as far as it goes: how many, and whether its head was given up."""
+        n, gave_up = 0, False
+        while self.line and self.awaited is None:
+            content, fails, failures = self.line[0]
+            if fails and failures + 1 < self.most:
+                self.line[0][2] += 1
+                break
+            self.line.pop(0)
+            gave_up |= fails
+            if not fails:
+                self._done(content)
+                n += 1
+        return n, gave_up
 
     def _deliver(self, ready: list, deliveries: int, status: str) -> tuple[str, str, int]:
-        for done, (content, fails) in enumerate(ready):
-            if fails:
-                return ("term", "dead_letter", done) if deliveries >= self.most else ("retry", "retry", done)
-            self.processed[content] = None
-            while len(self.processed) > self.keep:
-                self.processed.pop(next(iter(self.processed)))
-        return "ack", status, len(ready)
+        (content, fails), behind = ready[0], [[c, f, 0] for c, f in ready[1:]]
+        if fails and deliveries < self.most:
+            self.line += behind
+            self.awaited = content if behind else self.awaited
+            return "retry", "retry", 0
+        if not fails:
+            self._done(content)
+        if self.awaited == content:
+            self.awaited = None
+        self.line += behind
+        n, gave_up = self._move()
+        action, said = ("term", "dead_letter") if fails else ("ack", status)
+        return action, f"{said}+dead_letter" if gave_up else said, n + (not fails)
 
     def step(self, arrival: int, supported: bool, content: str, redelivered: bool, corrects: bool, sequence: int | None, fails: bool, deliveries: int) -> tuple:
-        return arrival, *self._decide(supported, content, redelivered, corrects, sequence, fails, deliveries)
+        before, gave_up = self._move()
+        action, status, n = self._decide(supported, content, redelivered, corrects, sequence, fails, deliveries)
+        return arrival, action, f"{status}+dead_letter" if gave_up and not status.endswith("+dead_letter") else status, n + before
 
     def _decide(self, supported: bool, content: str, redelivered: bool, corrects: bool, sequence: int | None, fails: bool, deliveries: int) -> tuple[str, str, int]:
         if not supported:
@@ -279,4 +314,8 @@ class PipelineFold:
             self.held[sequence] = [content, fails]
             return "ack", "buffered_gap", 0
         first = sequence if before is None else before
-        return self._deliver(one + [tuple(self.held.pop(n)) for n in range(first + 1, released) if n in self.held], deliveries, "delivered")
+        ready = one + [tuple(self.held.pop(n)) for n in range(first + 1, released) if n in self.held]
+        if self.line:
+            self.line += [[c, f, 0] for c, f in ready]
+            return "ack", "in_line", 0
+        return self._deliver(ready, deliveries, "delivered")
