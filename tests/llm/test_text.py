@@ -408,6 +408,22 @@ def test_license_families_flat_and_wrapped(spark):
     assert not any(got[i] for i, _ in prosaic)
 
 
+def test_every_fitted_notice_is_found(spark):
+    """All names in all phrases; other licences in the same phrases are unknown."""
+    made = [(f, p.format(n)) for f, names in license_scan.NAMES.items() for n in names for p in license_scan.PHRASES]
+    rows = [(k, prose(15, k) + "\n" + t) for k, (_, t) in enumerate(made)]
+    rows += [(10_000 + k, prose(15, k) + "\n" + p.format(n)) for k, (n, p) in enumerate((n, p) for n in license_scan.OTHER for p in license_scan.PHRASES)]
+    rows += [(20_000, "Apache-2.0 OR MIT"), (20_001, "Distributed under Apache-2.0."), (20_002, "Released under the MIT/X11 terms"), (20_003, 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.')]
+    df = documents(spark, rows)
+    model = license_scan.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert 0 < model.threshold < 1 and model.threshold != 0.5
+    got = {r.doc_id: r.licences for r in license_scan.scan(df, model).collect()}
+    missed = [(t, got[k]) for k, (f, t) in enumerate(made) if f not in got[k]]
+    assert missed == []
+    assert [(rows[len(made) + k][1], got[10_000 + k]) for k in range(len(license_scan.OTHER) * len(license_scan.PHRASES)) if got[10_000 + k]] == []
+    assert "Apache-2.0" in got[20_000] and got[20_001] == ["Apache-2.0"] and got[20_002] == ["MIT"] and got[20_003] == ["MIT"]
+
+
 def test_license_scan_equals_a_search_for_the_lines_of_the_tables(spark):
     """Brute force over the whole table: its licence lines are known, and nothing else is one."""
     lines = {"Licensed under the Apache License": "Apache-2.0", "Released under the MIT License": "MIT", "Licensed under CC BY-NC": "CC-BY-NC", "under the GNU General Public License": "GPL", "All rights reserved.": "Proprietary"}

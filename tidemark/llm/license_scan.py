@@ -10,6 +10,8 @@ comparing the unit's word pairs with templates, licence names and canonical text
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
@@ -20,7 +22,6 @@ from pyspark.sql import functions as F
 #: Bounds of the fit: ordinary paragraphs taken from the corpus (those of least hash), and hashed features.
 ORDINARY_ROWS = 1000
 FEATURES = 1 << 14
-LEAST_PROBABILITY = 0.5
 #: The share of unlike units whose probability may exceed the threshold, and what is unlike: its highest similarity.
 EXCESS, UNLIKE = 0.001, 0.34
 #: The share of a name's, or of a text's, word pairs that a unit must hold; or of its own pairs that a text must hold.
@@ -36,7 +37,7 @@ UNKNOWN = "unknown"
 # The names of licence families, their identifiers, and the texts by which some are declared.
 NAMES = {
     "Apache-2.0": ("Apache License", "Apache License 2.0", "Apache License Version 2.0", "Apache 2.0 license", "Apache-2.0", "Apache licensed"),
-    "MIT": ("MIT License", "MIT licensed", "MIT licence", "MIT/X11 license", "The MIT License (MIT)"),
+    "MIT": ("MIT License", "MIT licensed", "MIT licence", "MIT/X11 license", "MIT/X11", "The MIT License (MIT)"),
     "GPL": ("GNU General Public License", "GNU General Public License version 3", "GNU GPL", "GPLv3", "GPLv2", "GPL-3.0-or-later", "GPL-2.0-only", "GPL v3", "GPL license"),
     "LGPL": ("GNU Lesser General Public License", "GNU Library General Public License", "GNU LGPL", "LGPLv3", "LGPL-2.1-or-later", "LGPL v2.1", "LGPL license"),
     "BSD": ("BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "BSD-3-Clause", "BSD-2-Clause", "BSD-style license", "BSD licensed", "New BSD License"),
@@ -52,6 +53,7 @@ TEXTS = {
     "MIT": (
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
         "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        'The software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.',
     ),
     "GPL": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
@@ -66,6 +68,7 @@ TEXTS = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        'This software is provided by the copyright holders and contributors "as is" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.',
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",),
     "CC0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",),
@@ -116,8 +119,19 @@ ORDINARY = (
     "Permission to copy the keys was refused by the landlord.",
     "The table by the window was reserved, and all rights of way are closed.",
 )
-#: Blocks without any of these hold no notice.
-NOTICE = r"(?i)licen[cs]|copyright|spdx|rights\s+reserved|permission|redistribut|gpl|public\s+domain|creative\s+commons|\bcc[ -]?(by|0)|strictly\s+prohibited|waived|permitted\s+provided|hereby\s+granted|without\s+restriction"
+#: Words of notices.
+WORDS = r"licen[cs]|copyright|spdx|rights\s+reserved|permission|redistribut|gpl|public\s+domain|creative\s+commons|\bcc[ -]?(by|0)|strictly\s+prohibited|waived|permitted\s+provided|hereby\s+granted|without\s+restriction|merchantability|without\s+warranty"
+
+
+def _gate() -> str:
+    """A pattern that every fitted notice matches: the words of notices, and the names that hold none of them."""
+    apart = lambda name: r"[^\p{L}\p{N}]*".join(re.findall(r"[^\W\d_]+|\d+", name))
+    bare = sorted({apart(n) for names in NAMES.values() for n in names if not re.search(WORDS, n, re.I)})
+    return rf"(?i){WORDS}|(?<![\p{{L}}\p{{N}}])(?:{'|'.join(bare)})(?![\p{{L}}\p{{N}}])"
+
+
+#: Units without any of these are like none that was fitted, and are not scored.
+NOTICE = _gate()
 
 
 def tokens(text: Column) -> Column:
@@ -229,12 +243,12 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
     ready.unpersist()
     templates = [(f, kind, t) for kind, table in (("name", NAMES), ("text", TEXTS)) for f, some in table.items() for t in some]
     whole = spark.createDataFrame(templates, "template_family string, kind string, part string").select("template_family", "kind", pairs(tokens(F.col("part"))).alias("template_pairs"))
-    model = LicenseModel(stages, names, LEAST_PROBABILITY, whole)
+    model = LicenseModel(stages, names, 0.0, whole)
     unlike = model.compared(units(df.where(F.col(id_col).isNotNull()), id_col, text_col)).where(F.col("alike") < UNLIKE)
     further = spark.createDataFrame([(p.format(x),) for x in FURTHER for p in PHRASES], "part string").select(tokens(F.col("part")).alias("words"))
     highest = unlike.agg(F.percentile_approx("probability", 1 - EXCESS, 100_000)).first()[0] or 0.0
     strange = model.compared(further).where(F.greatest("name", "text", "part") >= OF_NAME).agg(F.max("probability")).first()[0] or 0.0
-    model.threshold = min(0.95, max(LEAST_PROBABILITY, highest + 1e-6, strange + 1e-6))
+    model.threshold = max(highest, strange) + 1e-6
     return model
 
 
