@@ -71,7 +71,7 @@ def shot_zone(x: Column, y: Column) -> Column:
 
 
 def batted_ball(speed: Column, angle: Column) -> tuple[Column, Column]:
-    """(hard hit, barrel), null where an input is."""
+    """(hard hit, barrel), null where an input is.  The bounds are fixed values."""
     return speed >= 95, F.when(speed.isNotNull() & angle.isNotNull(), (speed >= 98) & angle.between(26, 30))
 
 

@@ -22,7 +22,7 @@ def admissible_basis(kind: Column, basis: Column) -> Column:
 
 
 def admission(rows: DataFrame, cutoff: Column) -> DataFrame:
-    """``decision`` on each requested input, one of fifteen.
+    """``decision`` on each requested input, one of sixteen (fixed values).
 
     ``rows``, after left joins on the request: ``superseded``, ``family_kind``, ``family_league``, ``league``, ``as_label``,
     ``certified``, ``eligibility``, ``lane``, ``basis``, ``crosswalk``, ``crosswalk_corpus``, ``corpus``, ``digest_ok``,
