@@ -105,6 +105,11 @@ class BoundedCache(dict):
 _HELD: dict = {}
 
 
+def release() -> None:
+    """Let go of what the worker has kept for other operators."""
+    _HELD.clear()
+
+
 def worker_cache(key, make: Callable):
     """What a Python worker keeps between tasks: the object of the operator it works for now, no other's."""
     if key not in _HELD:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, materialise, worker_cache
+from tidemark.llm.common import map_batches, materialise, release, worker_cache
 
 TRAIN_ROWS = 20_000  # bound of the labelled sample: the labelled ids of lowest hash
 #: One labelled document in so many calibrates; the others make the dictionaries.
@@ -157,6 +157,7 @@ def _count(make):
     """A batch function that sums per task in how many documents of either class each byte string occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         counts: dict[tuple[str, bytes], list[int]] = {}
 
         def told() -> pa.RecordBatch:
@@ -189,6 +190,7 @@ def _gram_codes(text: str | None) -> np.ndarray:
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """As ``_count`` of all grams, by sorting numbers."""
+    release()
     held: list[list[np.ndarray]] = [[], []]
 
     def told() -> Iterator[pa.RecordBatch]:
@@ -202,7 +204,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             held[y].append(_gram_codes(text))
-        if sum(map(len, held[0])) + sum(map(len, held[1])) > 10 * MOST_HELD:
+        if sum(map(len, held[0])) + sum(map(len, held[1])) > 3 * MOST_HELD:
             yield from told()
     yield from told()
 
@@ -300,6 +302,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = ToxicityModel(toxic[len(toxic) - equal :] + base, ordinary[len(ordinary) - equal :] + base, [0.0] * n_weights)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scorer = Scorer(model)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scorer.features(t) for t in batch.column(1).to_pylist()], pa.list_(pa.float64()))], names=["y", "x"])
