@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import pricing
-from tidemark.operators import adapters, evidence
+from tidemark.operators import adapters, digests, evidence
 from tidemark.plans.registering import LOG, instant, observations, query, read
 from tidemark.sources import store
 
@@ -230,3 +230,32 @@ def frame_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").select((F.col("user_id") % 12).alias("part"), "ts", "event_type", "event_id")
     held, new = store.frame_manifest(e, ["part"], "ts"), store.frame_manifest(e.where("event_type = 'view' AND part < 4"), ["part"], "ts")
     return store.upsert_manifest(held, new, ["part"]).select("part", "n_rows", "first_at", "last_at")
+
+
+#: Orders against a copy of them in which some are gone, some new, some told twice and some changed.
+COPIES = """WITH l AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s FROM orders), r AS (SELECT k, c, CASE WHEN k % 89 = 0 THEN 'X' ELSE s END AS s FROM l WHERE k % 97 > 0
+    UNION ALL SELECT k, c, s FROM l WHERE k % 83 = 0 AND k % 97 > 0 UNION ALL SELECT -k, c, s FROM l WHERE k % 79 = 0), """
+
+
+def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    one = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("s"))
+    two = one.where("k % 97 > 0").withColumn("s", F.when(F.col("k") % 89 == 0, "X").otherwise(F.col("s")))
+    two = two.unionByName(one.where("k % 83 = 0 AND k % 97 > 0")).unionByName(one.where("k % 79 = 0").withColumn("k", -F.col("k")))
+    return one, two
+
+
+@query(COPIES + """p AS (SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right, a.v AS v, b.v AS w FROM (SELECT k, count(*) AS n, list(c || s ORDER BY c || s) AS v FROM l GROUP BY 1) a
+FULL JOIN (SELECT k, count(*) AS n, list(c || s ORDER BY c || s) AS v FROM r GROUP BY 1) b ON a.k = b.k)
+SELECT k, CASE WHEN n_right = 0 THEN 'only_left' WHEN n_left = 0 THEN 'only_right' WHEN n_left <> n_right THEN 'repeated' ELSE 'changed' END AS kind, n_left, n_right FROM p WHERE v IS DISTINCT FROM w""")
+def certified_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.differences(*_copies(spark, sf_dir), ["k"], ["c", "s"])
+
+
+@query(COPIES + """x AS (SELECT count(*) FILTER (k % 97 = 0) AS gone, count(*) FILTER (k % 97 > 0 AND k % 89 = 0 AND s <> 'X') AS changed FROM l)
+SELECT (SELECT count(*) FROM l) AS n_left, (SELECT count(*) FROM r) AS n_right, (SELECT gone + changed = 0 FROM x) AS equal, true AS equal_to_itself""")
+def table_certification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roots of both tables' digests, and of one table in another order of rows and partitions."""
+    one, two = _copies(spark, sf_dir)
+    root = lambda df, name: digests.table_digest(digests.bucket_digests(df, ["k"], ["c", "s"])).select(F.col("n").alias(f"n_{name}"), F.col("digest").alias(name))
+    all_ = root(one, "left").crossJoin(root(two, "right")).crossJoin(root(one.repartition(7, "s"), "again"))
+    return all_.select("n_left", "n_right", (F.col("left") == F.col("right")).alias("equal"), (F.col("left") == F.col("again")).alias("equal_to_itself"))
