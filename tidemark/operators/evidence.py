@@ -14,6 +14,32 @@ from tidemark.operators.quality import first_reason
 BASES = {"static": ("static_identity",), "event_derived": ("event_derived",), "versioned_snapshot": ("versioned_snapshot",), "label_only": (), "forward_only": ()}
 
 
+# The reviewed families of features, how each may be used, and the league it is for (none: any).
+FAMILIES = (
+    ("static_identity", "static", None), ("target_schedule_anchor", "versioned_snapshot", None), ("prior_results", "event_derived", None), ("team_rolling_stats", "event_derived", None),
+    ("rest_schedule_density", "event_derived", None), ("sportsbook_moneyline", "versioned_snapshot", None), ("kalshi_market", "versioned_snapshot", None), ("final_result", "label_only", None),
+    ("pitcher_rolling_stats", "event_derived", "lg_mlb"), ("batter_rolling_stats", "event_derived", "lg_mlb"), ("bullpen_prior_usage", "event_derived", "lg_mlb"), ("weather_forecast", "versioned_snapshot", "lg_mlb"),
+    ("probable_pitchers", "forward_only", "lg_mlb"), ("player_rolling_stats", "event_derived", "lg_nba"), ("advanced_rolling_stats", "event_derived", "lg_nba"), ("plays_derived_stats", "event_derived", "lg_nba"),
+    ("lineups", "forward_only", None), ("injuries", "forward_only", None), ("rosters", "forward_only", None),
+)
+
+
+def with_family(requests: DataFrame, family: str, asked_at: str | None = None, reviews: DataFrame | None = None) -> DataFrame:
+    """Requests with ``family_kind`` and ``family_league``, null for a family that nobody has reviewed.
+
+    ``reviews``: (``family``, ``kind``, ``league``, ``valid_from``, ``valid_to``) instead of the fixed table, which holds at all
+    times; of a request the review counts whose interval, closed below and open above, holds ``asked_at``.  The dimension
+    has a row per family and review, so it is broadcast where it is the fixed one.
+    """
+    if reviews is None:
+        spark = requests.sparkSession
+        held = F.broadcast(spark.createDataFrame(FAMILIES, "__f string, family_kind string, family_league string"))
+        return requests.join(held, F.col(family) == F.col("__f"), "left").drop("__f")
+    held = reviews.select(F.col("family").alias("__f"), F.col("kind").alias("family_kind"), F.col("league").alias("family_league"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
+    within = (F.col("__from").isNull() | (F.col("__from") <= F.col(asked_at))) & (F.col("__to").isNull() | (F.col(asked_at) < F.col("__to")))
+    return requests.join(held, (F.col(family) == F.col("__f")) & within, "left").drop("__f", "__from", "__to")
+
+
 def admissible_basis(kind: Column, basis: Column) -> Column:
     out = F.lit(False)
     for k, bases in BASES.items():

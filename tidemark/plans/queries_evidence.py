@@ -43,6 +43,29 @@ def admission_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.admission(rows, instant(CUT)).select("l_orderkey", "l_linenumber", "decision")
 
 
+#: Families by their place in the table, the last one unreviewed; everything but family, league and clock is in order.
+BY_FAMILY = """WITH a AS (SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey % 20 AS f, l_suppkey % 2 AS nba, l_linenumber % 4 = 0 AS as_label, l_quantity >= 5 AS certified FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN f = 19 THEN 'unknown_family' WHEN f IN (12, 16, 17, 18) THEN 'forward_only_family' WHEN f BETWEEN 8 AND 11 AND nba = 1 OR f BETWEEN 13 AND 15 AND nba = 0 THEN 'wrong_league_for_family'
+WHEN f = 7 AND NOT as_label THEN 'label_requested_as_feature' WHEN f <> 7 AND as_label THEN 'feature_requested_as_label' WHEN NOT certified THEN 'no_certification' WHEN f IN (0, 7) THEN 'admitted'
+WHEN l_shipdate > TIMESTAMP '2000-01-01 00:00:00' THEN 'not_yet_available' ELSE 'admitted' END AS decision FROM a"""
+
+
+@query(BY_FAMILY)
+def family_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests by the name of a family, classified by the reviewed table and then admitted or not."""
+    c = F.col
+    names = F.array(*[F.lit(f) for f, _, _ in evidence.FAMILIES], F.lit("unheard_of"))
+    li = read(spark, sf_dir, "lineitem").withColumn("family", F.element_at(names, (c("l_partkey") % 20 + 1).cast("int")))
+    asked = evidence.with_family(li, "family").withColumn("as_label", c("l_linenumber") % 4 == 0)
+    basis = F.when(c("family_kind") == "static", "static_identity").otherwise(c("family_kind"))
+    rows = asked.select(
+        "l_orderkey", "l_linenumber", "family_kind", "family_league", "as_label", F.when(c("l_suppkey") % 2 == 1, "lg_nba").otherwise("lg_mlb").alias("league"), (c("l_quantity") >= 5).alias("certified"),
+        F.lit(False).alias("superseded"), F.lit("eligible").alias("eligibility"), F.when(c("as_label"), "label_only").otherwise("reconstructed").alias("lane"), basis.alias("basis"), F.lit("x1").alias("crosswalk"), F.lit("c1").alias("crosswalk_corpus"),
+        F.lit("c1").alias("corpus"), F.lit(True).alias("digest_ok"), c("l_shipdate").alias("completed_at"), F.lit("r").alias("rule"), F.lit(False).alias("own_evidence"), c("l_shipdate").alias("snapshot_at"), c("l_shipdate").alias("available_at"),
+    )
+    return evidence.admission(rows, instant(CUT)).select("l_orderkey", "l_linenumber", "decision")
+
+
 @query("""WITH g AS (SELECT o_orderkey AS game, CASE WHEN o_orderkey % 17 > 0 THEN o_custkey END AS identity, o_orderdate + INTERVAL 60 DAY AS cutoff FROM orders), r AS (SELECT l_orderkey AS game, l_shipdate AS observed_at, l_linestatus = 'F' AS final FROM lineitem),
 l AS (SELECT game, arg_max(final, observed_at) AS last FROM (SELECT game, observed_at, max(final) AS final FROM r GROUP BY ALL) GROUP BY 1), c AS (SELECT user_id, date_trunc('day', ts) AS day FROM events GROUP BY ALL HAVING count(DISTINCT event_type) > 2)
 SELECT 'result_before_cutoff' AS rule, 'blocking' AS severity, 'game' AS entity_type, CAST(game AS VARCHAR) AS entity_id FROM g WHERE identity IS NOT NULL AND EXISTS (SELECT 1 FROM r WHERE r.game = g.game AND final AND observed_at <= cutoff)
