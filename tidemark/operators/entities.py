@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.resolve import resolve_tiers, window_tiers
+from tidemark.operators.resolve import resolve_tiers, window_sets
 
 
 def scoped_or_neutral(column: Column, scope: Column) -> Column:
@@ -48,8 +48,8 @@ def contradictions(matched: DataFrame, pairs: dict[str, tuple[str, str]]) -> Col
 def match_or_create(left: DataFrame, right: DataFrame, key: Sequence[str], left_id: str, right_id: str, left_time: str, right_time: str, windows_s: Sequence[int], scores: Sequence[float], cap: Column | None = None, capped: float = 1.0) -> DataFrame:
     """Games matched within nested windows with the tier's score, at most ``capped`` where ``cap`` (over the left row)
     holds; ``create`` where no candidate is in any window, ``review`` where several are."""
-    tiers = window_tiers(left, right, key, left_id, right_id, left_time, right_time, windows_s)
-    found = resolve_tiers(tiers, [left_id], "tier", right_id, scores=dict(enumerate(scores, 1)))
+    tiers = window_sets(left, right, key, left_id, right_id, left_time, right_time, windows_s)
+    found = resolve_tiers(tiers, [left_id], "tier", right_id, scores=dict(enumerate(scores, 1)), last="last")
     flagged = left.select(left_id, F.coalesce(cap if cap is not None else F.lit(False), F.lit(False)).alias("__cap"))
     out = flagged.join(found, left_id, "left")
     score = F.when(F.col("__cap") & (F.col("score") > capped), F.lit(capped)).otherwise(F.col("score"))
@@ -60,11 +60,11 @@ def match_or_create(left: DataFrame, right: DataFrame, key: Sequence[str], left_
 def match_with_swaps(events: DataFrame, games: DataFrame, sides: tuple[str, str], event_id: str, game_id: str, event_time: str, game_time: str, near_s: int, far_s: int, neutral: str) -> DataFrame:
     """Listed events to games: same sides within ``near_s``, then within ``far_s``, then with sides swapped at a neutral
     site; a weaker tier never repairs an ambiguous one."""
-    direct = window_tiers(events, games, sides, event_id, game_id, event_time, game_time, [near_s, far_s])
+    direct = window_sets(events, games, sides, event_id, game_id, event_time, game_time, [near_s, far_s])
     a, b = sides
     turned = games.where(F.col(neutral)).withColumns({a: F.col(b), b: F.col(a)})
-    swapped = window_tiers(events, turned, sides, event_id, game_id, event_time, game_time, [far_s]).withColumn("tier", F.lit(3))
-    found = resolve_tiers(direct.unionByName(swapped), [event_id], "tier", game_id)
+    swapped = window_sets(events, turned, sides, event_id, game_id, event_time, game_time, [far_s]).withColumn("tier", F.lit(3))
+    found = resolve_tiers(direct.unionByName(swapped), [event_id], "tier", game_id, last="last")
     return events.select(event_id).join(found, event_id, "left").withColumn("outcome", F.coalesce("outcome", F.lit("unmatched"))).withColumn("swapped", F.coalesce(F.col("tier") == 3, F.lit(False)))
 
 

@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def resolve_tiers(candidates: DataFrame, source: Sequence[str], tier: str, entity: str, flagged: str | None = None, scores: dict[int, float] | None = None) -> DataFrame:
+def resolve_tiers(candidates: DataFrame, source: Sequence[str], tier: str, entity: str, flagged: str | None = None, scores: dict[int, float] | None = None, last: str | None = None) -> DataFrame:
     """The strongest tier with candidates decides: several entities or a flag make it ambiguous, one matches.
 
-    One partial aggregate per (source, tier) and one per source; weaker tiers never repair an ambiguous one.
+    One partial aggregate per (source, tier) and one per source; weaker tiers never repair an ambiguous one.  With ``last`` a
+    row stands for a set of candidates, ``entity`` being its least and ``last`` its greatest: one entity is where they are equal.
     """
     flag = F.bool_or(flagged) if flagged else F.lit(False)
-    tiers = candidates.groupBy(*source, tier).agg(F.count_distinct(entity).alias("__n"), F.min(entity).alias("__e"), F.coalesce(flag, F.lit(False)).alias("__f"))
-    best = tiers.groupBy(*source).agg(F.min(F.struct(tier, "__n", "__e", "__f")).alias("b"))
-    clear = (F.col("b.__n") == 1) & ~F.col("b.__f")
+    tiers = candidates.groupBy(*source, tier).agg(F.min(entity).alias("__e"), F.max(last or entity).alias("__l"), F.coalesce(flag, F.lit(False)).alias("__f"))
+    best = tiers.groupBy(*source).agg(F.min(F.struct(tier, "__e", "__l", "__f")).alias("b"))
+    clear = F.coalesce(F.col("b.__e") == F.col("b.__l"), F.lit(False)) & ~F.col("b.__f")
     out = best.select(*source, F.col(f"b.{tier}").alias(tier), F.when(clear, F.col("b.__e")).alias(entity), F.when(clear, "matched").otherwise("ambiguous").alias("outcome"))
     if scores:
         value = None
@@ -44,6 +46,37 @@ def window_tiers(left: DataFrame, right: DataFrame, key: Sequence[str], left_id:
     return both.select(left_id, right_id, tier.alias("tier"))
 
 
+def window_sets(left: DataFrame, right: DataFrame, key: Sequence[str], left_id: str, right_id: str, left_time: str, right_time: str, windows_s: Sequence[int]) -> DataFrame:
+    """Per left row the narrowest of nested time windows with right rows, as ``tier``, and the least and greatest id in it, as
+    ``right_id`` and ``last``.  Left rows without any are not there.
+
+    No pairs are made, so a busy key costs its rows and not their product.  Per window, time is cut into blocks just as wide:
+    what lies around an instant is the end of one block and the start of the next, and a running least and greatest id from
+    either side of each block tell both.  Equal instants of a key are asked, and held, once.
+    """
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    present = lambda df: df.where(F.col("__at").isNotNull()).dropna(subset=list(key))
+    widths = [w * 1_000_000 for w in sorted(windows_s)]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("tier"), F.lit(w).cast("long").alias("w")) for i, w in enumerate(widths, 1)]))
+    held = present(right.select(*key, right_id, at(right_time).alias("__at"))).groupBy(*key, "__at").agg(F.min(right_id).alias("__lo"), F.max(right_id).alias("__hi"))
+    held = held.withColumn("__w", each).select(*key, "__w", F.col("__at").alias("__p"), "__lo", "__hi", F.lit(1).alias("__held"), F.lit(None).cast("long").alias("__at"), F.lit(None).cast("boolean").alias("__ends"))
+    asked = present(left.select(*key, at(left_time).alias("__at"))).distinct().withColumn("__w", each)
+    sides = F.explode(F.array(F.struct((F.col("__at") - F.col("__w.w")).alias("p"), F.lit(False).alias("e")), F.struct((F.col("__at") + F.col("__w.w")).alias("p"), F.lit(True).alias("e"))))
+    asked = asked.withColumn("__s", sides).select(*key, "__w", F.col("__s.p").alias("__p"), F.lit(None).alias("__lo"), F.lit(None).alias("__hi"), F.lit(None).cast("int").alias("__held"), "__at", F.col("__s.e").alias("__ends"))
+    rows = held.unionByName(asked).select(*key, F.col("__w.tier").alias("__tier"), "__p", (F.col("__p") - F.pmod("__p", 2 * F.col("__w.w") + 1)).alias("__block"), "__lo", "__hi", "__held", "__at", "__ends")
+
+    block = W.partitionBy(*key, "__tier", "__block")
+    upto, since = (block.orderBy(o).rangeBetween(W.unboundedPreceding, W.currentRow) for o in (F.col("__p").asc(), F.col("__p").desc()))
+    seen = lambda f, c: F.when(F.col("__ends"), f(c).over(upto)).otherwise(f(c).over(since))
+    told = rows.withColumns({"__l": seen(F.min, "__lo"), "__h": seen(F.max, "__hi"), "__n": seen(F.max, "__held")}).where("__at IS NOT NULL AND __n IS NOT NULL")
+    tiers = range(1, len(widths) + 1)
+    of = lambda f, c, i: f(F.when(F.col("__tier") == i, F.col(c))).alias(f"{c}{i}")
+    per = told.groupBy(*key, "__at").agg(F.min("__tier").alias("tier"), *[of(F.min, "__l", i) for i in tiers], *[of(F.max, "__h", i) for i in tiers])
+    pick = lambda c: F.coalesce(*[F.when(F.col("tier") == i, F.col(f"{c}{i}")) for i in tiers])
+    per = per.select(*key, "__at", "tier", pick("__l").alias(right_id), pick("__h").alias("last"))
+    return left.select(left_id, *key, at(left_time).alias("__at")).join(per, [*key, "__at"]).select(left_id, right_id, "last", "tier")
+
+
 def with_unmatched(left: DataFrame, left_id: str, resolved: DataFrame) -> DataFrame:
     """Every left row once, those without candidates as ``unmatched``."""
     return left.select(left_id).join(resolved, left_id, "left").withColumn("outcome", F.coalesce("outcome", F.lit("unmatched")))

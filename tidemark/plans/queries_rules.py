@@ -183,8 +183,8 @@ SELECT l.o_orderkey, b.tier, CASE WHEN n = 1 THEN other END AS other, CASE WHEN
 def range_match_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     left, right = o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("other"), "o_custkey", F.col("o_orderdate").alias("d"))
-    found = resolve.window_tiers(left, right, ["o_custkey"], "o_orderkey", "other", "o_orderdate", "d", [20 * 86_400, 60 * 86_400])
-    return resolve.with_unmatched(left, "o_orderkey", resolve.resolve_tiers(found, ["o_orderkey"], "tier", "other")).select("o_orderkey", "tier", "other", "outcome")
+    found = resolve.window_sets(left, right, ["o_custkey"], "o_orderkey", "other", "o_orderdate", "d", [20 * 86_400, 60 * 86_400])
+    return resolve.with_unmatched(left, "o_orderkey", resolve.resolve_tiers(found, ["o_orderkey"], "tier", "other", last="last")).select("o_orderkey", "tier", "other", "outcome")
 
 
 @query("""WITH e AS (SELECT event_id, CAST(props->>'k' AS INT) AS game, event_id % 17 = 0 AS swapped FROM events) SELECT event_id, game FROM e WHERE game IN (SELECT game FROM e GROUP BY game HAVING count(DISTINCT swapped) > 1)""")
