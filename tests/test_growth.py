@@ -59,3 +59,12 @@ def test_window_sets_are_those_of_all_pairs(spark, seed):
     frames = spark.createDataFrame(left, "a long, k string, at timestamp_ntz"), spark.createDataFrame(right, "b long, k string, bt timestamp_ntz")
     sets = resolve.window_sets(*frames, ["k"], "a", "b", "at", "bt", [20, 10])
     assert {r.a: (r.tier, r.b, r.outcome) for r in resolve.resolve_tiers(sets, ["a"], "tier", "b", last="last").collect()} == want
+
+
+def test_a_roster_of_namesakes_makes_no_pairs(spark, tmp_path):
+    from tidemark.plans import catalogue
+
+    spark.range(1500).selectExpr("id * 70 AS c_custkey", "CAST(id % 3 AS INT) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1500).selectExpr("id * 70 AS s_suppkey", "CAST(id % 2 AS INT) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    rows, most = most_rows(spark, catalogue.QUERIES["directory_match"](spark, str(tmp_path)))
+    assert len(rows) == 1500 and most < 10 * 1500

@@ -31,12 +31,16 @@ def narrow(candidates: DataFrame, source: Sequence[str], entity: str, breakers:
 
 
 def tiered(sources: DataFrame, source: str, tiers: Sequence[tuple[float, DataFrame]], entity: str) -> DataFrame:
-    """Every source once, by the strongest tier (score, frame of (source, entity)) that has candidates, else ``unmatched``."""
+    """Every source once, by the strongest tier (score, frame of (source, entity)) that has candidates, else ``unmatched``.
+
+    Where many entities share what they are found by, the frames should hold ``resolve.sets`` of them: a frame with a column
+    ``last`` has the least entity of a set in ``entity`` and the greatest in ``last``, and a row per source, not per pair.
+    """
     candidates = None
     for k, (_, frame) in enumerate(tiers, 1):
-        rows = frame.select(source, entity, F.lit(k).alias("tier"))
+        rows = frame.select(source, entity, F.col("last" if "last" in frame.columns else entity).alias("last"), F.lit(k).alias("tier"))
         candidates = rows if candidates is None else candidates.unionByName(rows)
-    found = resolve_tiers(candidates, [source], "tier", entity, scores={k: s for k, (s, _) in enumerate(tiers, 1)})
+    found = resolve_tiers(candidates, [source], "tier", entity, scores={k: s for k, (s, _) in enumerate(tiers, 1)}, last="last")
     return sources.select(source).join(found, source, "left").withColumn("outcome", F.coalesce("outcome", F.lit("unmatched")))
 
 

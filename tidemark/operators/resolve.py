@@ -28,6 +28,11 @@ def resolve_tiers(candidates: DataFrame, source: Sequence[str], tier: str, entit
     return out
 
 
+def sets(rows: DataFrame, key: Sequence[str], entity: str) -> DataFrame:
+    """Per key the least and greatest ``entity``, the latter as ``last``: what ``resolve_tiers`` needs to know of a set."""
+    return rows.groupBy(*key).agg(F.min(entity).alias(entity), F.max(entity).alias("last"))
+
+
 def window_tiers(left: DataFrame, right: DataFrame, key: Sequence[str], left_id: str, right_id: str, left_time: str, right_time: str, windows_s: Sequence[int]) -> DataFrame:
     """Candidates within nested time windows, tier 1 being the narrowest.
 

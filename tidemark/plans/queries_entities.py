@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import entities
+from tidemark.operators import entities, resolve
 from tidemark.plans.registering import instant, query, read
 
 CUT = "2000-01-01 00:00:00"
@@ -111,7 +111,10 @@ def directory_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roster names by id, by name and team, by name."""
     c, s = read(spark, sf_dir, "customer"), read(spark, sf_dir, "supplier")
     key, sup = F.col("c_custkey"), F.col("s_suppkey")
-    by_id, by_team, by_name = c.where(key % 20 == 0).join(s, sup == key % 100), c.join(s, (key % 50 == sup % 50) & (F.col("c_nationkey") == F.col("s_nationkey"))), c.where(key % 2 == 0).join(s, key % 70 == sup % 70)
+    held = lambda n, *also: resolve.sets(s.withColumn("by", sup % n), ["by", *also], "s_suppkey")
+    by_id = c.where(key % 20 == 0).withColumn("s_suppkey", key % 100).join(s.select("s_suppkey"), "s_suppkey")
+    by_team = c.withColumns({"by": key % 50, "s_nationkey": F.col("c_nationkey")}).join(held(50, "s_nationkey"), ["by", "s_nationkey"])
+    by_name = c.where(key % 2 == 0).withColumn("by", key % 70).join(held(70), "by")
     return entities.tiered(c, "c_custkey", [(1.0, by_id), (0.95, by_team), (0.9, by_name)], "s_suppkey").select("c_custkey", "tier", "s_suppkey", "outcome")
 
 
