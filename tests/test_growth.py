@@ -68,3 +68,13 @@ def test_a_roster_of_namesakes_makes_no_pairs(spark, tmp_path):
     spark.range(1500).selectExpr("id * 70 AS s_suppkey", "CAST(id % 2 AS INT) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
     rows, most = most_rows(spark, catalogue.QUERIES["directory_match"](spark, str(tmp_path)))
     assert len(rows) == 1500 and most < 10 * 1500
+
+
+def test_a_busy_slate_makes_no_pairs(spark):
+    n = 1500
+    official = spark.createDataFrame([(k, 10, 20 + k % 2, day(0)) for k in range(n)] + [(n, 10, 99, day(0)), (n + 1, 10, 22, day(0)), (n + 2, 10, 20, None)], "o long, home long, away long, day timestamp_ntz")
+    games = spark.createDataFrame([(k, 1, 2, day(0)) for k in range(n)] + [(n, 1, 3, day(0)), (n, 1, 3, day(0)), (None, 1, 3, day(0)), (None, 1, 4, day(0))], "g long, home long, away long, day timestamp_ntz")
+    teams = spark.createDataFrame([(10, 1), (20, 2), (21, 3), (22, 4)], "official_team long, team long")
+    rows, most = most_rows(spark, entities.game_crosswalk(official, games, teams, "o", "g", "home", "away", "day"))
+    want = {k: ("matched", n) if k % 2 else ("ambiguous", None) for k in range(n)} | {n: ("team_unknown", None), n + 1: ("no_game", None), n + 2: ("no_game", None)}
+    assert {r.o: (r.verdict, r.g) for r in rows} == want and most < 10 * n

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.resolve import resolve_tiers, window_sets
+from tidemark.operators.resolve import resolve_tiers, sets, window_sets
 
 
 def scoped_or_neutral(column: Column, scope: Column) -> Column:
@@ -122,10 +122,11 @@ def crosswalk(observed: DataFrame, audited: DataFrame, source: str, target: str)
 
 def game_crosswalk(official: DataFrame, games: DataFrame, teams: DataFrame, official_id: str, game_id: str, home: str, away: str, day: str) -> DataFrame:
     """Official games to canonical ones through an audited team crosswalk (``official_team``, ``team``): ``matched``,
-    ``team_unknown``, ``no_game`` or ``ambiguous``."""
+    ``team_unknown``, ``no_game`` or ``ambiguous``.  Games of one pairing and day meet the official ones as one set."""
     team = lambda c: teams.select(F.col("official_team").alias(c), F.col("team").alias(f"__{c}"))
     named = official.join(team(home), home, "left").join(team(away), away, "left")
-    held = games.select(F.col(home).alias(f"__{home}"), F.col(away).alias(f"__{away}"), day, F.col(game_id).alias("__g"))
-    found = named.join(held, [f"__{home}", f"__{away}", day], "left").groupBy(official_id, f"__{home}", f"__{away}").agg(F.count_distinct("__g").alias("n"), F.min("__g").alias("g"))
-    verdict = F.when(F.col(f"__{home}").isNull() | F.col(f"__{away}").isNull(), "team_unknown").when(F.col("n") == 0, "no_game").when(F.col("n") > 1, "ambiguous").otherwise("matched")
+    slate = [f"__{home}", f"__{away}", day]
+    held = sets(games.select(F.col(home).alias(f"__{home}"), F.col(away).alias(f"__{away}"), day, F.col(game_id).alias("__g")), slate, "__g")
+    found = named.join(held, slate, "left").groupBy(official_id, f"__{home}", f"__{away}").agg(F.min("__g").alias("g"), F.max("last").alias("last"))
+    verdict = F.when(F.col(f"__{home}").isNull() | F.col(f"__{away}").isNull(), "team_unknown").when(F.col("g").isNull(), "no_game").when(F.col("g") != F.col("last"), "ambiguous").otherwise("matched")
     return found.select(official_id, F.when(verdict == "matched", F.col("g")).alias(game_id), verdict.alias("verdict"))
