@@ -78,3 +78,32 @@ def test_a_busy_slate_makes_no_pairs(spark):
     rows, most = most_rows(spark, entities.game_crosswalk(official, games, teams, "o", "g", "home", "away", "day"))
     want = {k: ("matched", n) if k % 2 else ("ambiguous", None) for k in range(n)} | {n: ("team_unknown", None), n + 1: ("no_game", None), n + 2: ("no_game", None)}
     assert {r.o: (r.verdict, r.g) for r in rows} == want and most < 10 * n
+
+
+def test_namesakes_make_no_pairs(spark, tmp_path):
+    from tidemark.plans import catalogue
+
+    spark.range(1500).selectExpr("id * 50 AS c_custkey", "CAST(id % 3 AS INT) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1500).selectExpr("id * 50 AS s_suppkey", "CAST(id % 2 AS INT) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    rows, most = most_rows(spark, catalogue.QUERIES["player_resolution"](spark, str(tmp_path)))
+    assert len(rows) == 1500 and most < 20 * 1500
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_narrowing_by_sets_is_that_of_all_pairs(spark, seed):
+    """Missing traits, keys and ids, and ids that occur several times."""
+    rng = random.Random(seed)
+    one = lambda n: rng.choice([*range(n), None])
+    sources = [(one(40), one(3), one(3), one(3)) for _ in range(60)]
+    held = [(one(8), one(3), one(3), one(3)) for _ in range(15)]
+    want = {}
+    for a in {r[0] for r in sources}:
+        left = [(e, s, h) for s in sources for e, *h in held if s[0] == a and s[1] is not None and s[1] == h[0]]
+        for i in (2, 3):
+            met = [x for x in left if x[1][i] is not None and x[1][i] == x[2][i - 1]]
+            left = met or left
+        ids = {e for e, *_ in left} - {None}
+        if left:
+            want[a] = (min(ids), "matched") if len(ids) == 1 else (None, "ambiguous")
+    frames = spark.createDataFrame(sources, "a long, name long, team long, born long"), spark.createDataFrame(held, "e long, name long, team long, born long")
+    assert {r.a: (r.e, r.outcome) for r in entities.narrow_by(*frames, ["name"], ["team", "born"], "a", "e").collect()} == want

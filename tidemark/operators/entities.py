@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.resolve import resolve_tiers, sets, window_sets
+from tidemark.operators.resolve import resolve_tiers, sets, sets_by, window_sets
 
 
 def scoped_or_neutral(column: Column, scope: Column) -> Column:
@@ -15,6 +15,11 @@ def scoped_or_neutral(column: Column, scope: Column) -> Column:
     return F.coalesce(column == scope, F.lit(False)) | F.coalesce(column == "", F.lit(True))
 
 
+def scopes(scope: Column) -> Column:
+    """The keys under which ``scoped_or_neutral`` rows are found, where these hold '' for null."""
+    return F.array_distinct(F.array(F.lit(""), F.coalesce(scope, F.lit(""))))
+
+
 def narrow(candidates: DataFrame, source: Sequence[str], entity: str, breakers: Sequence[Column]) -> DataFrame:
     """One entity per source, narrowed by tie breakers in turn, or ``ambiguous``.
 
@@ -30,6 +35,18 @@ def narrow(candidates: DataFrame, source: Sequence[str], entity: str, breakers:
     return out.select(*source, F.when(F.col("n") == 1, F.col("e")).alias(entity), F.when(F.col("n") == 1, "matched").otherwise("ambiguous").alias("outcome"))
 
 
+def narrow_by(sources: DataFrame, held: DataFrame, on: Sequence[str], breakers: Sequence[str], source: str, entity: str) -> DataFrame:
+    """``narrow`` for breakers that are equal columns of sources and held entities: the same rows without their pairs."""
+
+    def left(i: int, met: int) -> Column:
+        if i == len(breakers):
+            return F.when(F.col(f"e{met}") == F.col(f"l{met}"), F.col(f"e{met}"))
+        return F.when(F.col(f"n{met | 1 << i}"), left(i + 1, met | 1 << i)).otherwise(left(i + 1, met))
+
+    out = sets_by(sources, held, on, breakers, source, entity).select(source, left(0, 0).alias(entity))
+    return out.withColumn("outcome", F.when(F.col(entity).isNotNull(), "matched").otherwise("ambiguous"))
+
+
 def tiered(sources: DataFrame, source: str, tiers: Sequence[tuple[float, DataFrame]], entity: str) -> DataFrame:
     """Every source once, by the strongest tier (score, frame of (source, entity)) that has candidates, else ``unmatched``.
 

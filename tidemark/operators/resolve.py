@@ -33,6 +33,34 @@ def sets(rows: DataFrame, key: Sequence[str], entity: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.min(entity).alias(entity), F.max(entity).alias("last"))
 
 
+def sets_by(sources: DataFrame, held: DataFrame, on: Sequence[str], breakers: Sequence[str], source: str, entity: str) -> DataFrame:
+    """Per source, for every subset of the columns ``breakers``, what held rows equal to it in ``on`` and in the subset are: ``n``
+    (whether there are any), ``e`` and ``l`` (the least and greatest entity), each followed by the subset's number, bit ``i``
+    standing for breaker ``i``.  Sources without held rows under ``on`` are not there.
+
+    Held rows are first aggregated by what they are found by, so a source meets one row per subset however many namesakes
+    there are.  A null equals nothing.
+    """
+    subsets, bits = range(1 << len(breakers)), [f"__b{i}" for i in range(len(breakers))]
+
+    def keyed(df: DataFrame, *keep: str) -> DataFrame:
+        each = [F.struct(F.lit(m).alias("m"), *[F.when(F.lit(bool(m >> i & 1)), F.col(c)).alias(b) for i, (b, c) in enumerate(zip(bits, breakers, strict=True))]) for m in subsets]
+        rows = df.select(*on, *keep, F.explode(F.array(*each)).alias("__k")).select(*on, *keep, F.col("__k.m").alias("__m"), *[F.col(f"__k.{b}").alias(b) for b in bits])
+        for i, b in enumerate(bits):
+            rows = rows.where((F.col("__m").bitwiseAND(1 << i) == 0) | F.col(b).isNotNull())
+        return rows
+
+    known = keyed(held, entity).groupBy(*on, "__m", *bits).agg(F.min(entity).alias("__e"), F.max(entity).alias("__l")).alias("h")
+    asked, match = keyed(sources, source).alias("s"), F.lit(True)
+    for c in [*on, "__m"]:
+        match = match & (F.col(f"s.{c}") == F.col(f"h.{c}"))
+    for b in bits:
+        match = match & F.col(f"s.{b}").eqNullSafe(F.col(f"h.{b}"))
+    met = asked.join(known, match).select(F.col(f"s.{source}").alias(source), F.col("s.__m").alias("__m"), "__e", "__l")
+    of = lambda m, c: F.when(F.col("__m") == m, F.col(c))
+    return met.groupBy(source).agg(*[x for m in subsets for x in (F.bool_or(F.col("__m") == m).alias(f"n{m}"), F.min(of(m, "__e")).alias(f"e{m}"), F.max(of(m, "__l")).alias(f"l{m}"))])
+
+
 def window_tiers(left: DataFrame, right: DataFrame, key: Sequence[str], left_id: str, right_id: str, left_time: str, right_time: str, windows_s: Sequence[int]) -> DataFrame:
     """Candidates within nested time windows, tier 1 being the narrowest.
 

@@ -17,11 +17,11 @@ SELECT c_custkey, CASE WHEN count(DISTINCT s_suppkey) = 1 THEN min(s_suppkey) EN
 def player_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Namesakes of the source's scope or of none, told apart by team, then by date of birth."""
     c, s = read(spark, sf_dir, "customer"), read(spark, sf_dir, "supplier")
-    both = c.join(s, F.col("c_custkey") % 50 == F.col("s_suppkey") % 50)
     scope = F.when(F.col("s_suppkey") % 4 > 0, (F.col("s_suppkey") % 4).cast("string")).otherwise("")
-    candidates = both.where(entities.scoped_or_neutral(scope, (F.col("c_custkey") % 4).cast("string")))
-    born = lambda k: F.floor(F.col(k) / 50) % 3
-    return entities.narrow(candidates, ["c_custkey"], "s_suppkey", [F.col("c_nationkey") == F.col("s_nationkey"), born("c_custkey") == born("s_suppkey")])
+    traits = lambda k, team: {"name": F.col(k) % 50, "team": F.col(team), "born": F.floor(F.col(k) / 50) % 3}
+    sources = c.withColumns(traits("c_custkey", "c_nationkey")).withColumn("scope", F.explode(entities.scopes((F.col("c_custkey") % 4).cast("string"))))
+    held = s.withColumns(traits("s_suppkey", "s_nationkey")).withColumn("scope", scope)
+    return entities.narrow_by(sources, held, ["name", "scope"], ["team", "born"], "c_custkey", "s_suppkey")
 
 
 @query("""WITH t AS (SELECT s_suppkey, n_nationkey, CASE WHEN s_suppkey % 10 = 0 AND n_nationkey = s_nationkey THEN 1 WHEN s_suppkey % 3 = 0 AND n_nationkey % 5 = s_suppkey % 5 THEN 2 WHEN n_nationkey = s_suppkey % 40 THEN 3 END AS tier FROM supplier, nation),
