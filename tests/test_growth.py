@@ -107,3 +107,22 @@ def test_narrowing_by_sets_is_that_of_all_pairs(spark, seed):
             want[a] = (min(ids), "matched") if len(ids) == 1 else (None, "ambiguous")
     frames = spark.createDataFrame(sources, "a long, name long, team long, born long"), spark.createDataFrame(held, "e long, name long, team long, born long")
     assert {r.a: (r.e, r.outcome) for r in entities.narrow_by(*frames, ["name"], ["team", "born"], "a", "e").collect()} == want
+
+
+def test_people_of_one_name_make_no_pairs(spark):
+    from tidemark.operators import identity
+
+    n = 1200
+    sources = spark.range(n).selectExpr("id AS source", "concat('p', id % 3) AS provider", "CAST(id AS STRING) AS ref", "'L' AS league", "'Ann Lee' AS raw_name", "concat('T', id % 9) AS team", "concat('b', id % 5) AS birth_date", "concat(2000 + id % 2, '-01-01') AS season_low", "concat(2000 + id % 2, '-12-31') AS season_high")
+    entity = spark.range(n).withColumnRenamed("id", "entity")
+    aliases = entity.selectExpr("'L' AS league", "'ann lee' AS name", "'' AS suffix", "CASE WHEN entity = 7 THEN 'p1' ELSE '' END AS provider", "entity", "entity = 7 AS is_ambiguous")
+    people = entity.selectExpr("entity", "'L' AS league", "CASE WHEN entity > 1 THEN '2005-01-01' WHEN entity = 1 THEN '2001-06-01' END AS debut", "CAST(NULL AS STRING) AS final", "concat('b', entity % 5) AS birth_date")
+    members = entity.selectExpr("entity", "'T1' AS team", "'2001-07-01' AS on_date")
+    links = spark.createDataFrame([], "provider string, ref string, entity long")
+    rows, most = most_rows(spark, identity.resolve_people(sources, links, aliases, people, members))
+    want = {}
+    for k in range(n):  # in 2000 only 0 is there; in 2001 also 1, and both were of team T1; their births differ
+        born = {0: 0, 1: 1}.get(k % 5) if k % 2 else None
+        told = ("flagged_alias", None) if k % 3 == 1 else ("found", 0) if k % 2 == 0 else ("found", born) if born is not None else ("several", None)
+        want[k] = told
+    assert {r.source: (r.reason, r.entity) for r in rows} == want and most < 30 * n

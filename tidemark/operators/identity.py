@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts
-from tidemark.operators.entities import scoped_or_neutral
-from tidemark.operators.resolve import seasons_overlap
+from tidemark.operators.entities import scopes
+from tidemark.operators.resolve import seasons_overlap, sets_by
 
 # Tiers and their scores.
 SCORES = {"exact_provider_id": 1.0, "team_normalized_name": 0.95, "league_normalized_name": 0.9}
 
+# What an alias is found under.
+KEYS = ["league", "name", "suffix", "provider"]
+
 
 def _same(pairs: Sequence[tuple[str, str]]) -> Column:
     out = F.lit(True)
@@ -22,16 +25,20 @@ def _same(pairs: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
-def named_candidates(sources: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Sources with the aliases that may be meant: ``entity`` and ``flagged``.
+def alias_keys(aliases: DataFrame) -> DataFrame:
+    """Aliases under what sources ask for them by (see ``asked_keys``): ``league``, ``name``, ``suffix``, ``provider``.
 
     An alias is one of the source's league, under the normalised name, of the source's own provider or of none.  A suffix
-    in the name binds; without one any will do.  ``sources``: (``source``, ``provider``, ``league``, ``name``, ``suffix``);
-    ``aliases``: (``league``, ``name``, ``suffix``, ``provider``, ``entity``, ``is_ambiguous``).
+    in the name binds; without one any will do, so an alias stands under '' and under its own.  ``aliases``: (``league``,
+    ``name``, ``suffix``, ``provider``, ``entity``, ``is_ambiguous``).
     """
-    held = aliases.select("league", "name", F.col("suffix").alias("held_suffix"), F.col("provider").alias("held_provider"), "entity", F.col("is_ambiguous").alias("flagged"))
-    both = sources.where("name <> ''").join(held, ["league", "name"]).where(scoped_or_neutral(F.col("held_provider"), F.col("provider")))
-    return both.where((F.col("suffix") == "") | (F.col("suffix") == F.col("held_suffix")))
+    suffixes = F.array_distinct(F.array_compact(F.array(F.lit(""), F.col("suffix"))))
+    return aliases.select("league", "name", F.explode(suffixes).alias("suffix"), F.coalesce("provider", F.lit("")).alias("provider"), "entity", F.col("is_ambiguous").alias("flagged"))
+
+
+def asked_keys(sources: DataFrame) -> DataFrame:
+    """Sources with a name, (``source``, ``provider``, ``league``, ``name``, ``suffix``), once for their provider and once for none."""
+    return sources.where("name <> ''").withColumn("provider", F.explode(scopes(F.col("provider"))))
 
 
 def resolve_people(sources: DataFrame, links: DataFrame, aliases: DataFrame, people: DataFrame, memberships: DataFrame) -> DataFrame:
@@ -42,32 +49,34 @@ def resolve_people(sources: DataFrame, links: DataFrame, aliases: DataFrame, peo
     ``birth_date``); ``memberships``: (``entity``, ``team``, ``on_date``).
 
     A linked id decides alone: a link into another league is no match but a ``wrong_league`` conflict.  Names come next (see
-    ``named_candidates``): one flagged alias makes the source ambiguous; people whose career misses the season are out, open
+    ``alias_keys``): one flagged alias makes the source ambiguous; people whose career misses the season are out, open
     careers are not; membership of the source's team within the season narrows several and confirms one; the date of birth
-    only breaks what is still tied.  Partial aggregates: per source a count and a least entity for each narrowing, so a
-    name that a third of all sources bear is no collected group.
+    only breaks what is still tied.  People meet the distinct seasons that are asked of their name, not the sources; of what is
+    found under equal keys only the least and greatest entity are kept, which tell none, one and several (``n_``: 0, 1, 2).
     """
     named = sources.withColumns({"name": texts.normalized_name(F.col("raw_name")), "suffix": texts.name_suffix(F.col("raw_name"))})
     held = links.select(F.col("provider").alias("__p"), F.col("ref").alias("__r"), F.col("entity").alias("linked"))
     known = people.select(F.col("entity").alias("linked"), F.col("league").alias("linked_league"), F.lit(True).alias("is_person"))
     named = named.join(held, _same([("provider", "__p"), ("ref", "__r")]), "left").join(known, "linked", "left")
 
-    rows = named_candidates(named.where("linked IS NULL"), aliases)
-    rows = rows.join(people.select("entity", "debut", "final", F.col("birth_date").alias("held_birth")), "entity", "left")
-    rows = rows.withColumns({"in_season": seasons_overlap(F.col("debut"), F.col("final"), F.col("season_low"), F.col("season_high")), "born": F.coalesce(F.col("held_birth") == F.col("birth_date"), F.lit(False))})
-    of_team = memberships.select(F.col("entity").alias("__e"), F.col("team").alias("__t"), "on_date")
-    within = F.col("on_date").between(F.col("season_low"), F.col("season_high")) | F.col("season_low").isNull()
-    rows = rows.join(of_team, (F.col("entity") == F.col("__e")) & (F.col("team") == F.col("__t")) & F.coalesce(within, F.lit(False)), "left")
-    per = rows.groupBy("source", "entity").agg(F.bool_or("flagged").alias("flagged"), F.bool_or("in_season").alias("in_season"), F.bool_or("born").alias("born"), F.bool_or(F.col("__e").isNotNull()).alias("on_team"))
-    season, team, born = F.col("in_season"), F.col("in_season") & F.col("on_team"), F.col("in_season") & F.col("born")
-    sets = {"season": season, "team": team, "born": born, "team_born": team & F.col("born")}
-    counted = per.groupBy("source").agg(F.bool_or("flagged").alias("flagged"), *[F.count_if(t).alias(f"n_{k}") for k, t in sets.items()], *[F.min(F.when(t, F.col("entity"))).alias(f"e_{k}") for k, t in sets.items()])
+    asked = asked_keys(named.where("linked IS NULL").withColumn("season", F.struct("season_low", "season_high")))
+    known_as = alias_keys(aliases)
+    rows = known_as.join(asked.select("league", "name", "season").distinct(), ["league", "name"])
+    rows = rows.join(people.select("entity", "debut", "final"), "entity", "left").where(seasons_overlap(F.col("debut"), F.col("final"), F.col("season.season_low"), F.col("season.season_high")))
+    rows = rows.join(people.where("birth_date IS NOT NULL").select("entity", "birth_date").distinct(), "entity", "left")
+    of_team = memberships.select(F.col("entity").alias("__e"), "team", "on_date")
+    within = F.col("on_date").between(F.col("season.season_low"), F.col("season.season_high")) | F.col("season.season_low").isNull()
+    rows = rows.join(of_team, (F.col("entity") == F.col("__e")) & F.coalesce(within, F.lit(False)), "left")
+    found = sets_by(asked, rows, [*KEYS, "season"], ["team", "birth_date"], "source", "entity")
+    n_of = lambda m: F.when(F.col(f"e{m}").isNull(), 0).when(F.col(f"e{m}") == F.col(f"l{m}"), 1).otherwise(2)
+    counted = found.select("source", *[x for m, k in enumerate(("season", "team", "born", "team_born")) for x in (n_of(m).alias(f"n_{k}"), F.col(f"e{m}").alias(f"e_{k}"))])
+    doubtful = asked.join(known_as.where("flagged").select(*KEYS).distinct(), KEYS, "left_semi").select("source", F.lit(True).alias("flagged")).distinct()
 
     n = lambda k: F.coalesce(F.col(f"n_{k}"), F.lit(0))
     narrowed = (n("season") > 1) & (n("team") > 0)
     size, one = F.when(narrowed, n("team")).otherwise(n("season")), F.when(narrowed, F.col("e_team")).otherwise(F.col("e_season"))
     births, of_birth = F.when(narrowed, n("team_born")).otherwise(n("born")), F.when(narrowed, F.col("e_team_born")).otherwise(F.col("e_born"))
-    out = named.join(counted, "source", "left").withColumns({"size": size, "one": F.when(size == 1, one).when(births == 1, of_birth)})
+    out = named.join(counted, "source", "left").join(doubtful, "source", "left").withColumns({"size": size, "one": F.when(size == 1, one).when(births == 1, of_birth)})
     linked, wrong = F.col("linked").isNotNull(), F.col("linked_league").isNotNull() & (F.col("linked_league") != F.col("league"))
     nobody, flagged = n("season") == 0, F.coalesce("flagged", F.lit(False))
     told = F.when(linked & wrong, "wrong_league").when(linked, "linked").when(F.col("name") == "", "empty_name").when(flagged, "flagged_alias").when(nobody, "no_candidate")
@@ -85,8 +94,9 @@ def resolve_people(sources: DataFrame, links: DataFrame, aliases: DataFrame, peo
 def team_of_name(names: DataFrame, aliases: DataFrame) -> DataFrame:
     """(``source``, ``team``): the one team that a name means in its league; null where none or several do, or a flag says so."""
     named = names.withColumns({"name": texts.normalized_name(F.col("raw_name")), "suffix": F.lit("")})
-    per = named_candidates(named, aliases).groupBy("source").agg(F.count_distinct("entity").alias("n"), F.min("entity").alias("e"), F.bool_or("flagged").alias("f"))
-    return names.select("source").distinct().join(per, "source", "left").select("source", F.when((F.col("n") == 1) & ~F.col("f"), F.col("e")).alias("team"))
+    held = alias_keys(aliases).groupBy(*KEYS).agg(F.min("entity").alias("e"), F.max("entity").alias("l"), F.bool_or("flagged").alias("f"))
+    per = asked_keys(named).join(held, KEYS).groupBy("source").agg(F.min("e").alias("e"), F.max("l").alias("l"), F.bool_or("f").alias("f"))
+    return names.select("source").distinct().join(per, "source", "left").select("source", F.when((F.col("e") == F.col("l")) & ~F.col("f"), F.col("e")).alias("team"))
 
 
 def listed_events(events: DataFrame, series: DataFrame, codes: DataFrame, aliases: DataFrame, games: DataFrame) -> DataFrame:
