@@ -126,3 +126,17 @@ def test_people_of_one_name_make_no_pairs(spark):
         told = ("flagged_alias", None) if k % 3 == 1 else ("found", 0) if k % 2 == 0 else ("found", born) if born is not None else ("several", None)
         want[k] = told
     assert {r.source: (r.reason, r.entity) for r in rows} == want and most < 30 * n
+
+
+def test_large_certifications_are_dealt_by_rows(spark, monkeypatch):
+    from tidemark.operators import provenance, slices
+
+    expected = spark.range(900).selectExpr("id AS k").where("k <> 5")
+    bytes_ = spark.range(900).selectExpr("id AS k", "CASE WHEN id <> 8 THEN concat('body ', id) END AS body").where("k <> 9")
+    found = spark.range(900).selectExpr("id AS k", "CASE WHEN id > 10 THEN sha2(concat('body ', id), 256) WHEN id > 3 THEN 'else' END AS body_hash").where("k <> 6")
+    found = found.unionByName(found.where("k = 7"))
+    want = sorted([(5, "unplanned"), (6, "not_acquired"), (7, "acquired_twice"), (8, "body_missing"), (9, "body_missing")] + [(k, "hash_differs") for k in (4, 5, 7, 7, 10)])
+    assert sorted(map(tuple, provenance.certification_failures(expected, found, bytes_, ["k"]).collect())) == want
+    monkeypatch.setattr(slices, "ROWS_PER_TASK", 100)
+    large = provenance.certification_failures(expected, found, bytes_, ["k"])
+    assert sorted(map(tuple, large.collect())) == want and large.rdd.getNumPartitions() == 2 * 27

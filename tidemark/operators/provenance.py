@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import first_reason
+from tidemark.operators.slices import dealt
 from tidemark.operators.windows import checkpointed
 
 
@@ -153,11 +154,12 @@ def completion_verdict(plays: DataFrame, game: str, order: Sequence[str], state:
 
 def certification_failures(expected: DataFrame, found: DataFrame, bytes_: DataFrame, key: Sequence[str]) -> DataFrame:
     """Every way in which an acquisition differs from its plan, in one list of (key, ``failure``): membership, a body that
-    is missing, a stored hash that is not the body's.  None means certified."""
-    body = found.join(bytes_.select(*key, F.col("body")), list(key), "left")
-    bad = body.where(F.col("body").isNull()).select(*key, F.lit("body_missing").alias("failure"))
-    off = body.where(F.sha2("body", 256) != F.col("body_hash")).select(*key, F.lit("hash_differs").alias("failure"))
-    return certify(expected, found, key).unionByName(bad).unionByName(off)
+    is missing, a stored hash that is not the body's.  None means certified.  Bodies are hashed where they lie and are not moved."""
+    now = bytes_.select(*key, F.sha2("body", 256).alias("__now"))
+    expected, found, now = dealt(key, expected.select(*key), found.select(*key, "body_hash"), now)
+    why = F.when(F.col("__now").isNull(), "body_missing").when(F.col("__now") != F.col("body_hash"), "hash_differs")
+    bad = found.join(now, list(key), "left").select(*key, why.alias("failure")).where("failure IS NOT NULL")
+    return certify(expected, found, key).unionByName(bad)
 
 
 def credit_bounds(families: DataFrame, requests_low: str, requests_high: str, cost_low: str, cost_high: str, cap: int, key: Sequence[str] = ()) -> DataFrame:

@@ -16,6 +16,20 @@ from pyspark.sql import functions as F
 
 Slices = Callable[[Column], Column]
 
+# Rows of all sides together that a task of a large join gets, so that what it sorts and holds does not grow with the tables.
+ROWS_PER_TASK = 500_000
+
+
+def dealt(key: Sequence[str], *frames: DataFrame) -> list[DataFrame]:
+    """Frames that are about to be joined by ``key``, dealt by it into as many partitions as their rows need.
+
+    Spark joins partitions until they are as many as the cores or 64 MB each, packed; a task's memory then grows with the
+    tables, and packed keys take many times those 64 MB.  Rows are counted first, which on files reads what the filters need.  Tables that
+    fit a task are left alone.
+    """
+    parts = -(-sum(df.count() for df in frames) // ROWS_PER_TASK)
+    return [df.repartition(parts, *key) for df in frames] if parts > 1 else list(frames)
+
 
 def by_seconds(seconds: int) -> Slices:
     """Slices of so many seconds."""
