@@ -140,3 +140,17 @@ def test_large_certifications_are_dealt_by_rows(spark, monkeypatch):
     monkeypatch.setattr(slices, "ROWS_PER_TASK", 100)
     large = provenance.certification_failures(expected, found, bytes_, ["k"])
     assert sorted(map(tuple, large.collect())) == want and large.rdd.getNumPartitions() == 2 * 27
+
+
+def test_large_leakage_checks_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    from tidemark.operators import slices
+    from tidemark.plans import catalogue
+
+    spark.range(1000).selectExpr("id AS o_orderkey", "TIMESTAMP_NTZ '2024-01-05 00:00:00' AS o_orderdate").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS o_orderkey, TIMESTAMP_NTZ '2024-01-05 00:00:00' AS o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(2000).selectExpr("CASE WHEN id < 1998 THEN id div 2 END AS l_orderkey", "CASE WHEN id > 0 THEN TIMESTAMP_NTZ '2024-01-05 00:00:00' - make_dt_interval(IF(id IN (1, 4, 5, 1999), 1, 0)) END AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = sorted([("label_before_cutoff", "blocking", k) for k in ("0", "2", "2")] + [("unlabelled", "note", "999")]) + [("unlabelled", "note", None)]
+    read = lambda df: sorted(map(tuple, df.collect()), key=lambda r: (r[0], r[2] is None, r[2]))
+    assert read(catalogue.QUERIES["leakage_findings"](spark, str(tmp_path))) == want
+    monkeypatch.setattr(slices, "ROWS_PER_TASK", 100)
+    large = catalogue.QUERIES["leakage_findings"](spark, str(tmp_path))
+    assert read(large) == want and large.rdd.getNumPartitions() == 31

@@ -31,6 +31,12 @@ def findings(checks: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.select(F.lit(r).alias("rule"), F.lit(s).alias("severity"), F.col(i).cast("string").alias("entity_id")) for r, s, df, i in checks])
 
 
+def judged(rows: DataFrame, rules: Sequence[tuple[str, str, Column, str]]) -> DataFrame:
+    """``findings`` of several rules (rule, severity, condition, id column) over the same rows, in one pass."""
+    each = [F.when(when, F.struct(F.lit(r).alias("rule"), F.lit(s).alias("severity"), F.col(i).cast("string").alias("entity_id"))) for r, s, when, i in rules]
+    return rows.select(F.explode(F.array_compact(F.array(*each))).alias("f")).select("f.rule", "f.severity", "f.entity_id")
+
+
 def admit(rows: DataFrame, ladder: Sequence[tuple[str, Column]], admitted: str = "admitted") -> DataFrame:
     return rows.withColumn("decision", F.coalesce(first_reason(ladder), F.lit(admitted)))
 

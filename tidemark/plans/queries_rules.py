@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import pricing, texts, times, units
 from tidemark.operators import provenance, resolve
 from tidemark.operators.quality import first_reason
+from tidemark.operators.slices import dealt
 from tidemark.plans.registering import LOG, instant, observations, query, read
 
 ODDS = "WITH o AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey % 601 - 300 AS INT) AS odds FROM lineitem) "
@@ -219,10 +220,10 @@ def pregame_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT 'label_before_cutoff' AS rule, 'blocking' AS severity, CAST(l_orderkey AS VARCHAR) AS entity_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate
 UNION ALL SELECT 'unlabelled', 'note', CAST(o_orderkey AS VARCHAR) FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def leakage_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li, o = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
-    on = F.col("l_orderkey") == F.col("o_orderkey")
-    early = li.join(o, on).where("l_shipdate < o_orderdate")
-    return provenance.findings([("label_before_cutoff", "blocking", early, "l_orderkey"), ("unlabelled", "note", o.join(li, on, "left_anti"), "o_orderkey")])
+    li = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", F.lit(True).alias("labelled"))
+    o, li = dealt(["o_orderkey"], read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), li)
+    early = F.col("l_shipdate") < F.col("o_orderdate")
+    return provenance.judged(o.join(li, "o_orderkey", "left"), [("label_before_cutoff", "blocking", early, "o_orderkey"), ("unlabelled", "note", F.col("labelled").isNull(), "o_orderkey")])
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 19 = 0 THEN 'unknown_namespace' WHEN o_orderstatus = 'P' THEN 'not_audited' WHEN o_orderdate > TIMESTAMP '2000-06-01' THEN 'after_cutoff' ELSE 'admitted' END AS decision FROM orders""")
