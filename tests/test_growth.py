@@ -154,3 +154,17 @@ def test_large_leakage_checks_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(slices, "ROWS_PER_TASK", 100)
     large = catalogue.QUERIES["leakage_findings"](spark, str(tmp_path))
     assert read(large) == want and large.rdd.getNumPartitions() == 31
+
+
+def test_listings_of_a_busy_slate_make_no_pairs(spark):
+    from tidemark.operators import identity
+
+    n = 1500
+    series, codes = spark.createDataFrame([("KXL", "L")], "series string, league string"), spark.createDataFrame([("L", "AB", 1), ("L", "XYZ", 2)], "league string, code string, team long")
+    aliases = spark.createDataFrame([("L", "alpha", "", "", 1, False)], "league string, name string, suffix string, provider string, entity long, is_ambiguous boolean")
+    tickers = "element_at(array('KXL-24MAY01ABXYZ', 'KXL-24MAY011905ABXYZ', 'KXL-24MAY012005ABXYZ', 'KXL-24MAY012105ABXYZ', 'KXL-24MAY02ABXYZ'), CAST(id % 5 + 1 AS INT))"
+    events = spark.range(n).selectExpr("id AS event", "'KXL' AS series", f"{tickers} AS ticker", "CAST(NULL AS STRING) AS title", "'p' AS provider")
+    games = spark.range(n).selectExpr("id AS game", "'L' AS league", "CAST(1 AS BIGINT) AS away", "CAST(2 AS BIGINT) AS home", "DATE '2024-05-01' AS day", "CASE WHEN id = 3 THEN '20:05' WHEN id > 5 THEN '19:05' END AS clock")
+    rows, most = most_rows(spark, identity.listed_events(events, series, codes, aliases, games))
+    told = [("several_games", None), ("several_games", None), ("agreed", 3), ("clock_differs", None), ("no_game", None)]
+    assert {r.event: (r.reason, r.game) for r in rows} == {k: told[k % 5] for k in range(n)} and most < 20 * n

@@ -107,7 +107,8 @@ def listed_events(events: DataFrame, series: DataFrame, codes: DataFrame, aliase
 
     The ticker's joined codes are split at every place, and the pairs looked up; exactly one pair must fit.  A title, where
     there is one, is read by itself: both names must mean a team, the same two, and ``at`` the same sides.  Games are
-    then found on the date's slate of the league by the pair; a clock in the ticker must be theirs.
+    then found on the date's slate of the league by the pair; a clock in the ticker must be theirs.  Games of one pair, day
+    and clock meet the events as one count.
 
     ``unsupported``: no such series; ``incomplete``: something needed can't be read or is not there; ``conflict``: two
     readings disagree; ``ambiguous``: several pairs or games; else ``matched``.
@@ -125,9 +126,13 @@ def listed_events(events: DataFrame, series: DataFrame, codes: DataFrame, aliase
     titles = read.groupBy(F.col("source.event").alias("event")).agg(*[F.max(F.when(F.col("source.side") == s, F.col("team"))).alias(f"title_{s}") for s in ("first", "second")])
 
     out = rows.join(pairs, "event", "left").join(titles, "event", "left").withColumns({"away": F.col("teams.away"), "home": F.col("teams.home")})
-    slate = games.select("game", "league", "away", "home", "day", "clock")
-    met = out.where("n_pairs = 1").select("event", "league", "away", "home", "day", "told_clock").join(slate, ["league", "away", "home", "day"])
-    met = met.groupBy("event").agg(F.count("*").alias("n_day"), F.count_if(F.col("told_clock").isNull() | (F.col("clock") == F.col("told_clock"))).alias("n_games"), F.min(F.when(F.col("told_clock").isNull() | (F.col("clock") == F.col("told_clock")), F.col("game"))).alias("g"))
+    slate = ["league", "away", "home", "day"]
+    clocks = games.groupBy(*slate, F.col("clock").alias("told_clock")).agg(F.count("*").alias("n"), F.min("game").alias("g"))
+    days = clocks.groupBy(*slate).agg(F.sum("n").alias("n_all"), F.min("g").alias("g_all"))
+    met = out.where("n_pairs = 1").select("event", *slate, "told_clock").join(days, slate).join(clocks, [*slate, "told_clock"], "left")
+    any_clock = F.col("told_clock").isNull()
+    n_games, first = F.when(any_clock, F.col("n_all")).otherwise(F.coalesce("n", F.lit(0))), F.when(any_clock, F.col("g_all")).otherwise(F.col("g"))
+    met = met.groupBy("event").agg(F.sum("n_all").alias("n_day"), F.sum(n_games).alias("n_games"), F.min(first).alias("g"))
     out = out.join(met, "event", "left")
     one, two = F.col("title_first"), F.col("title_second")
     straight, turned = (one == F.col("away")) & (two == F.col("home")), (one == F.col("home")) & (two == F.col("away"))
